@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import near_dedup
+from tidewatch.llm import near_dedup, quality
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,8 +12,60 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, words=3, percent=85)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {
+    "op6_quality_rules": op6_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d
+), wins AS (
+  SELECT r, i, ws[i : i + 4] AS g FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 3)) AS i) WHERE len(ws) >= 5
+), again AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM wins) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r
+), texts AS (
+  SELECT host, t, any_value(ls) AS ls FROM w GROUP BY host, t
+), hosts AS (
+  SELECT host, count(*) AS n FROM texts GROUP BY host
+), held AS (
+  SELECT host, k, count(*) AS n FROM (
+    SELECT DISTINCT host, t, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k
+    FROM (SELECT host, t, unnest(ls) AS l FROM texts)
+  ) GROUP BY host, k
+), frequent AS (
+  SELECT host, k FROM held JOIN hosts USING (host) WHERE held.n > 20 AND held.n * 100 > hosts.n
+), lost AS (
+  SELECT r, count(*) AS n_lines, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS n_words
+  FROM (SELECT r, host, unnest(ls) AS l FROM w) x
+  WHERE EXISTS (SELECT 1 FROM frequent f WHERE f.host = x.host
+                AND f.k = lower(trim(regexp_replace(x.l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')))
+  GROUP BY r
+), m AS (
+  SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(lost.n_lines, 0)::BIGINT AS n_removed_lines,
+         (len(ws) - coalesce(lost.n_words, 0))::BIGINT AS left_words
+  FROM w LEFT JOIN covered USING (r) LEFT JOIN lost USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND NOT (n_removed_lines > 0 AND (left_words < 10 OR 100 * left_words < 25 * n_words)) AS kept,
+       n_removed_lines, left_words
+FROM m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6}
