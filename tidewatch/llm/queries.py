@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import near_dedup, quality
+from tidewatch.llm import near_dedup, quality, vector_dedup
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,11 +12,16 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, words=3, percent=85)
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
 }
