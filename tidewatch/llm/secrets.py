@@ -183,11 +183,11 @@ def _coded(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def _runner(path: str, min_bits: float):
+def _runner(path: str | None, min_bits: float):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        words = ranks(path)
+        words = ranks(path or vocabulary_path())
         for batch in batches:
             rows = []
             for x in batch.column(1):
@@ -212,12 +212,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def scan(docs: DataFrame, vocabulary: str | None = None, min_bits: float = MIN_BITS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): counts by kind, digest of the base spans, all spans."""
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
-    return docs.select("doc_id", "text").mapInArrow(_runner(vocabulary or vocabulary_path(), min_bits), schema)
+    return docs.select("doc_id", "text").mapInArrow(_runner(vocabulary, min_bits), schema)
 
 
 def redacted(docs: DataFrame, vocabulary: str | None = None, min_bits: float = MIN_BITS, mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns of ``docs``; every span (overlapping ones as one) in ``text`` is ``mark``."""
-    path = vocabulary or vocabulary_path()
+    path = vocabulary
 
     def clean(text: str, words) -> str:
         out, at = [], 0
@@ -230,7 +230,7 @@ def redacted(docs: DataFrame, vocabulary: str | None = None, min_bits: float = M
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        words = ranks(path)
+        words = ranks(path or vocabulary_path())
         for batch in batches:
             at = batch.schema.get_field_index("text")
             new = pa.array([None if (t := x.as_py()) is None else clean(t, words) for x in batch.column(at)], pa.string())
