@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import near_dedup, quality, secrets, vector_dedup
+from tidewatch.llm import near_dedup, packing, quality, secrets, vector_dedup
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +20,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_quality_rules": op6_quality_rules,
