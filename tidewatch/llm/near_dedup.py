@@ -34,6 +34,7 @@ from tidewatch.llm.components import components
 SIGNATURE = 64
 MISS = 1e-6
 STAR_ROUNDS = 3
+BLOCK_ROWS, BLOCK_GRAMS, SUB = 2048, 2_000_000, 256
 _MULT = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -122,6 +123,125 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: i
     )
 
 
+def _tile_links(percent: int, need: int):
+    """Over rows sorted by (value, t, u): the links between labels that join local components."""
+
+    def group(rows: dict) -> list[tuple[int, int]]:
+        ids, label, block, sig, grams = (rows[c] for c in ("id", "label", "block", "sig", "grams"))
+        t, u, value = rows["t"][0], rows["u"][0], rows["value"][0]
+        order = np.argsort(block, kind="stable")
+        n = np.array([len(g) for g in grams])
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while (y := parent.get(x, x)) != x:
+                parent[x] = parent.get(y, y)
+                x = y
+            return x
+
+        width = max(len(p) for p in rows["prefix"])
+        prefix = np.full((len(ids), width), np.iinfo(np.int64).min)
+        for k, p in enumerate(rows["prefix"]):
+            prefix[k, : len(p)] = p
+        blank, never = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+        cut = int((block == t).sum()) if t != u else len(ids)
+        out = []
+        for a in range(0, cut, SUB):
+            left = order[a : min(a + SUB, cut)]
+            for b in range(a if t == u else cut, len(ids), SUB):
+                right = order[b : b + SUB]
+                same = np.zeros((len(left), len(right)), np.int16)
+                for c in range(sig.shape[1]):
+                    same += sig[left, c][:, None] == sig[right, c][None, :]
+                ok = (same >= need) & (label[left][:, None] != label[right][None, :])
+                lo = np.minimum(n[left][:, None], n[right][None, :])
+                ok &= 100 * lo >= percent * np.maximum(n[left][:, None], n[right][None, :])
+                i, j = np.nonzero(ok)
+                if a == b and t == u:
+                    i, j = i[j > i], j[j > i]
+                for k in range(0, len(i), 4096):
+                    x, y = left[i[k : k + 4096]], right[j[k : k + 4096]]
+                    both = (prefix[x][:, :, None] == prefix[y][:, None, :]).any(axis=2) & (prefix[x] != blank)
+                    here = np.where(both, prefix[x], never).min(axis=1) == value
+                    for p, q in zip(x[here].tolist(), y[here].tolist()):
+                        rp, rq = root(int(label[p])), root(int(label[q]))
+                        if rp == rq:
+                            continue
+                        common = len(np.intersect1d(grams[p], grams[q], assume_unique=True))
+                        if 100 * common >= percent * (n[p] + n[q] - common):
+                            parent[max(rp, rq)] = min(rp, rq)
+                            out.append((int(min(ids[p], ids[q])), int(max(ids[p], ids[q]))))
+        return out
+
+    def rows_of(batch, a: int, b: int) -> dict:
+        out = {c: batch.column(c)[a:b] for c in ("value", "t", "u", "block", "id", "label")}
+        out = {c: v.to_numpy() for c, v in out.items()}
+        out["sig"] = batch.column("sig")[a:b].flatten().to_numpy().reshape(b - a, -1)
+        for c in ("prefix", "grams"):
+            col = batch.column(c)[a:b]
+            flat = col.flatten().to_numpy()
+            ends = np.cumsum(np.diff(col.offsets.to_numpy()))
+            out[c] = np.split(flat, ends[:-1])
+        return out
+
+    def joined(parts: list[dict]) -> dict:
+        if len(parts) == 1:
+            return parts[0]
+        return {c: sum((p[c] for p in parts), []) if isinstance(parts[0][c], list) else np.concatenate([p[c] for p in parts])
+                for c in parts[0]}
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held, key = [], None
+
+        def finish():
+            got = group(joined(held)) if held else []
+            return pa.record_batch([pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64())],
+                                   names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("value", "t", "u")])
+            at = np.r_[0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, batch.num_rows]
+            for a, b in zip(at[:-1], at[1:]):
+                now = tuple(keys[:, a])
+                if now != key and held:
+                    yield finish()
+                    held = []
+                key = now
+                held.append(rows_of(batch, int(a), int(b)))
+        yield finish()
+
+    return run
+
+
+def _across(now: DataFrame, hubs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, need: int) -> DataFrame:
+    """Links between members of a list that are in different components, all of them compared.
+
+    A list is cut into blocks of at most BLOCK_ROWS members and about BLOCK_GRAMS windows; two
+    blocks are one unit of work. A pair is compared in the first of its common lists only, and
+    only links that join components come out, so the output is no longer than the members.
+    """
+    lists = (
+        now.join(hubs.select("value"), "value").groupBy("value")
+        .agg(F.count("*").alias("g"), F.sum("n").alias("grams"))
+        .select("value", F.greatest(F.ceil(F.col("g") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).alias("blocks"))
+    )
+    tiles = (
+        now.join(lists, "value").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("value", F.least("block", "other").alias("t"), F.greatest("block", "other").alias("u"), "block", "id", "label")
+        .join(classes.select("id", "sig", F.slice("values", F.lit(1), F.size("values") - need + 1).alias("prefix")), "id")
+        .join(sets, "id")
+    )
+    return (
+        tiles.repartition("value", "t", "u").sortWithinPartitions("value", "t", "u")
+        .mapInArrow(_tile_links(percent, need), "a long, b long")
+    )
+
+
 def _labelled(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return posted.withColumn("label", F.col("id"))
@@ -138,7 +258,7 @@ def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int
         held.join(shared, "value").groupBy("id", "n")
         .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
         .where(F.size("v") >= need)
-        .select("id", "n", F.col("v.value").alias("values")),
+        .select("id", "n", F.col("v.value").alias("values")).join(signed.select("id", "n", "sig"), ["id", "n"]),
         "classes",
     )
     posted = store.saved(
@@ -167,23 +287,9 @@ def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int
                 now.join(hubs.select("value", "hub").join(tags, "hub"), "value").where("label <> hub_label")
                 .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
             )
+            found = store.saved(_confirmed(pairs, classes, sets, percent, need), "links")
         else:
-            rest = (
-                now.join(hubs.select("value"), "value")
-                .join(classes.select("id", "values"), "id")
-                .withColumn("prefix", F.slice("values", F.lit(1), F.size("values") - need + 1))
-            )
-            rest = store.saved(rest, "rest")
-            other = rest.select(*[F.col(c).alias(f"o_{c}") for c in rest.columns])
-            pairs = (
-                rest.join(other, F.expr(
-                    f"value = o_value and label < o_label and 100 * least(n, o_n) >= {percent} * greatest(n, o_n)"
-                    f" and size(array_intersect(values, o_values)) >= {need}"
-                    " and value = array_min(array_intersect(prefix, o_prefix))"
-                ))
-                .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
-            )
-        found = store.saved(_confirmed(pairs, classes, sets, percent, need), "links")
+            found = store.saved(_across(now, hubs, classes, sets, percent, need), "links")
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(links)
