@@ -35,7 +35,7 @@ from tidewatch.llm import store, wordhash
 
 CAPACITY = 4096
 END_ID = 1
-GROUPS = 64
+GROUPS = 256
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker keeps; beyond that it starts afresh.
 KEPT_WORDS = 400_000
