@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import near_dedup, packing, quality, secrets, vector_dedup
+from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, vector_dedup
+
+
+def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.budgeted(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
@@ -83,4 +88,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": _OP6}
+def _op1_level(k: int) -> str:
+    """One level of the tree: children of each node of the level above, filled to a common level."""
+    names = ["domain", "lang", "source"][: k + 1]
+    cols, up = ", ".join(names), ", ".join(names[:-1]) or "1"
+    weight = "CASE WHEN lang = 'en' THEN 4 ELSE 1 END" if names[-1] == "lang" else "1"
+    above = f"JOIN l{k - 1} USING ({', '.join(names[:-1])})" if k else "CROSS JOIN total"
+    window = f"PARTITION BY {up}"
+    running = f"({window} ORDER BY cap / w, cap, {cols} ROWS UNBOUNDED PRECEDING)"
+    return f"""
+n{k} AS (
+  SELECT {cols}, cap::HUGEINT AS cap, ({weight})::HUGEINT AS w, budget::HUGEINT AS budget
+  FROM (SELECT {cols}, sum(tokens * 2) AS cap FROM leaves GROUP BY {cols}) {above}
+), f{k} AS (
+  SELECT *, (sum(cap) OVER {running} * w + cap * (sum(w) OVER ({window}) - sum(w) OVER {running}) <= budget * w) AS is_full FROM n{k}
+), l{k} AS (
+  SELECT {cols}, CASE WHEN is_full THEN cap ELSE least(cap,
+    (budget - coalesce(sum(cap) FILTER (WHERE is_full) OVER ({window}), 0)) * w
+    // greatest(coalesce(sum(w) FILTER (WHERE NOT is_full) OVER ({window}), 0), 1)) END AS budget
+  FROM f{k}
+)"""
+
+
+_OP1 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) = '' THEN 'other'
+         ELSE 'domain' || (regexp_extract(source, '([0-9]{1,9})$', 1)::INT % 4)::VARCHAR END AS domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL HAVING sum(n_tokens) > 0
+), total AS (
+  SELECT floor(sum(tokens) * 80 / 100)::BIGINT AS budget FROM leaves
+),""" + ",".join(map(_op1_level, range(3))) + r""", spent AS (
+  SELECT domain, lang, source, budget // tokens AS e, budget % tokens AS tail FROM l2 JOIN leaves USING (domain, lang, source)
+), h AS (
+  SELECT d.*, coalesce(e, 0) AS e, coalesce(tail, 0) AS tail, md5('17:' || coalesce(e, 0)::BIGINT::VARCHAR || ':' || doc_id::VARCHAR) AS h
+  FROM d LEFT JOIN spent USING (domain, lang, source)
+), c AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h
+)
+SELECT doc_id, domain, lang, source, n_tokens, e::BIGINT AS full_epochs,
+       greatest(0, least(n_tokens, tail - before))::BIGINT AS tail_tokens
+FROM c
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_hierarchical_mixing": _OP1,
+    "op6_quality_rules": _OP6}
