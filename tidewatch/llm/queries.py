@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, vector_dedup
+from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +28,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 QUERIES = {
+    "op9_extendible_sharding": op9_extendible_sharding,
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
@@ -135,6 +140,21 @@ SELECT doc_id, domain, lang, source, n_tokens, e::BIGINT AS full_epochs,
 FROM c
 """
 
+_OP9 = """
+WITH r AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+         right(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT::BIT::VARCHAR, 32) AS b
+  FROM documents
+), n AS (
+  SELECT d, left(b, d) AS p, sum(n_bytes)::BIGINT AS bytes FROM r, range(0, 25) t(d) GROUP BY ALL
+), s AS (
+  SELECT b, min(d) AS d FROM (SELECT DISTINCT b FROM r) r2 JOIN n ON left(r2.b, n.d) = n.p AND n.bytes <= 33554432 GROUP BY b
+)
+SELECT doc_id, n_bytes, left(r.b, s.d) AS shard, s.d::INT AS depth, n.bytes AS shard_bytes, false AS oversized
+FROM r JOIN s ON r.b = s.b JOIN n ON n.d = s.d AND n.p = left(r.b, s.d)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_extendible_sharding": _OP9,
     "op1_hierarchical_mixing": _OP1,
     "op6_quality_rules": _OP6}
