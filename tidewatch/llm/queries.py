@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup
+from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op7_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -37,6 +41,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_warc_reassembly": op7_warc_reassembly,
     "op9_extendible_sharding": op9_extendible_sharding,
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -154,7 +159,20 @@ SELECT doc_id, n_bytes, left(r.b, s.d) AS shard, s.d::INT AS depth, n.bytes AS s
 FROM r JOIN s ON r.b = s.b JOIN n ON n.d = s.d AND n.p = left(r.b, s.d)
 """
 
+_OP7 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages
+), t AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS top, count(*) OVER (PARTITION BY h) AS c FROM p
+)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN n >= 1000 AND c > 1 AND top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND c > 1 AND page_id IS DISTINCT FROM top THEN top END AS refers_to, true AS complete
+FROM t
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_warc_reassembly": _OP7,
     "op9_extendible_sharding": _OP9,
     "op1_hierarchical_mixing": _OP1,
     "op6_quality_rules": _OP6}
