@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
+from tidewatch.llm import langid, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, words=3, percent=85)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -41,6 +45,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op7_warc_reassembly": op7_warc_reassembly,
     "op9_extendible_sharding": op9_extendible_sharding,
     "op1_hierarchical_mixing": op1_hierarchical_mixing,
