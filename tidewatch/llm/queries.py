@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import langid, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
+from tidewatch.llm import langid, lm_scoring, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    return lm_scoring.scored(spark.read.parquet(f"{sf_dir}/documents.parquet"), good)
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.linked_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -45,6 +50,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_lm_scoring": op4_lm_scoring,
     "op3_language_id": op3_language_id,
     "op7_warc_reassembly": op7_warc_reassembly,
     "op9_extendible_sharding": op9_extendible_sharding,
