@@ -23,6 +23,7 @@ any other row; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -37,14 +38,27 @@ CAPACITY = 4096
 END_ID = 1
 GROUPS = 256
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker keeps; beyond that it starts afresh.
-KEPT_WORDS = 400_000
+#: Words whose ids a worker keeps; beyond that it forgets the later half.
+KEPT_WORDS = 500_000
+#: Letters whose lower case and composed form are the same by any table: ASCII and Latin-1.
+PLAIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_alphabet() -> list[str]:
+    """One visible character per byte: itself if it is printable Latin-1, else the next from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
+BYTES = _byte_alphabet()
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer file whose tokens never cross ASCII white space.
+    """Ids of texts by a tokenizer file that lower-cases and splits at white space and after words.
 
-    Each distinct run of other bytes is encoded once by the tokenizer itself and then reused.
+    No token of it crosses ASCII white space or joins an ASCII letter to a following mark; each
+    distinct run between such places is encoded once by the tokenizer itself and then reused.
     """
 
     def __init__(self, path: str):
@@ -52,43 +66,60 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self):
         self.at: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _room(self, new: int):
+        """Before too many words are kept, forget all but those learned first, which are the common ones."""
+        if len(self.at) + new > KEPT_WORDS:
+            keep = KEPT_WORDS // 2
+            self.at = {key: k for key, k in self.at.items() if k < keep}
+            self.ends = self.ends[: len(self.at) + 1]
+            self.flat = self.flat[: self.ends[-1]]
 
     def _learn(self, keys: list[int], words: list[bytes]):
-        got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for key, enc in zip(keys, got):
-            ids = enc.ids
-            k, n = len(self.at), len(ids)
-            if k == len(self.starts):
-                self.starts, self.sizes = np.resize(self.starts, 2 * k), np.resize(self.sizes, 2 * k)
-            while self.used + n > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + n] = ids
-            self.starts[k], self.sizes[k] = self.used, n
-            self.used += n
-            self.at[key] = k
+        """Plain words go to the merges at once, in the byte alphabet; all others through the whole tokenizer."""
+        merges, whole, plain, alphabet = self.tokenizer.model.tokenize, self.tokenizer.encode, PLAIN_WORD.fullmatch, BYTES
+        flat: list[int] = []
+        ends = []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            if plain(text):
+                text = text.lower()
+                if not text.isascii():
+                    text = "".join([alphabet[b] for b in text.encode()])
+                flat += [t.id for t in merges(text)]
+            else:
+                flat += whole(text, add_special_tokens=False).ids
+            ends.append(len(flat))
+        base = len(self.at)
+        self.at.update(zip(keys, range(base, base + len(keys))))
+        self.ends = np.concatenate([self.ends, np.array(ends, np.int64) + self.ends[-1]])
+        self.flat = np.concatenate([self.flat, np.array(flat, np.uint32)])
 
     def encode(self, data: np.ndarray, offs: np.ndarray):
         """(ids of all texts, offsets of the texts in them)."""
-        h, first, starts, ends = wordhash.words(data, offs, wordhash.PLAIN)
+        # special tokens are the only place where case matters; all of them start alike
+        table = wordhash.PLAIN if b"<|" in data.tobytes() else wordhash.LOWER
+        h, first, starts, ends = wordhash.words(data, offs, table, stops=True)
         keys, place, which = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.at) + len(keys) > KEPT_WORDS:
-            self._clear()
+        self._room(len(keys))
         listed = keys.tolist()
-        new = [k for k, key in enumerate(listed) if key not in self.at]
+        at = list(map(self.at.get, listed))
+        new = [k for k, v in enumerate(at) if v is None]
         if new:
+            new.sort(key=place.tolist().__getitem__)
             raw = data.tobytes()
-            self._learn([listed[k] for k in new], [raw[starts[place[k]] : ends[place[k]]] for k in new])
-        at = np.array([self.at[key] for key in listed], np.int64)[which] if len(h) else np.zeros(0, np.int64)
-        n = self.sizes[at]
+            lo, hi = starts[place[new]].tolist(), ends[place[new]].tolist()
+            self._learn([listed[k] for k in new], [raw[a:b] for a, b in zip(lo, hi)])
+            at = list(map(self.at.get, listed))
+        at = np.array(at, np.int64)[which] if len(h) else np.zeros(0, np.int64)
+        begin = self.ends[at]
+        n = self.ends[at + 1] - begin
         to = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=to[1:])
-        ids = self.flat[np.repeat(self.starts[at] - to[:-1], n) + np.arange(to[-1])]
+        ids = self.flat[np.repeat(begin - to[:-1], n) + np.arange(to[-1])]
         return ids, to[first]
 
 

@@ -17,6 +17,9 @@ _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+MARK, LETTER = np.zeros(256, bool), np.zeros(256, bool)
+MARK[list(b".,:;!?")] = True
+LETTER[65:91] = LETTER[97:123] = True
 _rng = np.random.default_rng(20240501)
 PLAIN = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = PLAIN.copy()
@@ -77,8 +80,11 @@ def chunks(offs: np.ndarray) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-def words(data: np.ndarray, offs: np.ndarray, table: np.ndarray = LOWER):
-    """(hashes of all words in order, first word of each text with the end, starts, ends)."""
+def words(data: np.ndarray, offs: np.ndarray, table: np.ndarray = LOWER, stops: bool = False):
+    """(hashes of all words in order, first word of each text with the end, starts, ends).
+
+    With ``stops`` a word also ends between an ASCII letter and one of the marks . , : ; ! ?
+    """
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
@@ -89,10 +95,14 @@ def words(data: np.ndarray, offs: np.ndarray, table: np.ndarray = LOWER):
     before = np.empty(n, bool)
     before[0] = True
     before[1:] = gap[:-1]
-    starts = np.flatnonzero(~gap & (before | edge[:n]))
     after = np.empty(n, bool)
     after[-1] = True
     after[:-1] = gap[1:]
+    if stops:
+        cut = MARK[data[1:]] & LETTER[data[:-1]]
+        before[1:] |= cut
+        after[:-1] |= cut
+    starts = np.flatnonzero(~gap & (before | edge[:n]))
     ends = np.flatnonzero(~gap & (after | edge[1:])) + 1
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(table[data] * _power(_P, n), out=sums[1:])
