@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("catalogue", "merges")
+MODULES = ("catalogue", "merges", "cohorts")
 
 
 def _all(name: str) -> dict:
