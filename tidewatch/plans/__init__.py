@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("catalogue", "merges", "cohorts")
+MODULES = ("catalogue", "merges", "cohorts", "joining", "statistics")
 
 
 def _all(name: str) -> dict:
