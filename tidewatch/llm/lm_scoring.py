@@ -1,140 +1,208 @@
 """Cross-entropy difference between a target and a background n-gram model.
 
-Both are word bigram models over one shared vocabulary (all words of the corpus) with the same
-smoothing, and matched in size: counts of the larger part are scaled down to the smaller one's
-total. The target part are the documents named by the caller, the background all others. With
-c the scaled counts, N their total and V the vocabulary size,
-
-    p(w)     = (c(w) + 1) / (N + V + 1)
-    p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU)
-
-A document's own counts are taken out of its own part first, so that no text vouches for
-itself. Losses are bits a token; the score is target loss minus background loss: low is like the target.
-
-Counts cover all documents and grow with them, so no model is broadcast. Documents are dealt into
-parts of about ``PART_BYTES`` by a hash; a part sends each distinct n-gram once with its counts, the
-n-gram's totals are summed over the parts that have it (at most one row a part, whatever its
-frequency), and each part gets back only the totals of its own n-grams. Both exchanges are linear.
-
-Defined cases: null or blank texts have no tokens and null losses; a null id is never in the target;
-rows that repeat are documents each; empty parts give the uniform distribution; extra columns are ignored.
+Both are models of order four over one shared vocabulary, the 256 bytes (A-Z in lower case), with
+the same smoothing, and matched in size: counts of the larger part are scaled down to the smaller
+one's total. The target part are the documents named by the caller, the background all
+others. With c the scaled counts, h the history and h' the history without its first token,
+
+    p(w)     = (c(w) + 1) / (N + 256)
+    p(w | h) = (c(h w) + MU * p(w | h')) / (c(h) + MU)
+
+Losses are bits a token, over all tokens of a text, the first three with a history padded with
+zeros; the score is the target loss minus the background loss: low is like the target.
+
+Counts cover all documents. They are combined in each task and again before the shuffle, so what
+moves is a row per distinct n-gram and task; lower orders are sums of the highest one, and the
+losses of all n-grams come from joins of count tables. Every n-gram of a document is in that table.
+Up to ``TABLE_ROWS`` n-grams (12 bytes each) it goes to the workers as a broadcast; beyond that documents
+are dealt into parts by a hash, each part asks for its own distinct n-grams only, and both ways of
+that exchange are linear in the text.
+
+Defined cases: null or empty texts have no tokens and null losses; a null id is never in the target;
+rows that repeat are documents each; an empty part gives the uniform distribution; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import store, wordhash
 
 MU = 4.0
-PART_BYTES = 6 << 20
+TABLE_ROWS = 6_000_000
+PART_BYTES = 16 << 20
+_FOLD = np.arange(256, dtype=np.uint32)
+_FOLD[65:91] += 32
+
+
+def _grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The n-gram that ends at each byte, as 32 bits; zeros stand before a text."""
+    b = _FOLD[data]
+    out = b.copy()
+    text_start = np.repeat(offs[:-1], np.diff(offs))
+    place = np.arange(len(b)) - text_start
+    for k in (1, 2, 3):
+        back = np.zeros(len(b), np.uint32)
+        back[k:] = b[:-k] if k < len(b) else 0
+        out |= np.where(place >= k, back, np.uint32(0)) << np.uint32(8 * k)
+    return out
 
 
-def _grams(data: np.ndarray, offs: np.ndarray):
-    """(word hashes, bigram hashes, text of each, place of each bigram's first word)."""
-    h, first, _, _ = wordhash.words(data, offs)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    inside = np.flatnonzero(text[1:] == text[:-1]) if len(h) else np.zeros(0, np.int64)
-    with np.errstate(over="ignore"):
-        pair = wordhash.mix(h[inside] * wordhash.COEFFS[0] + h[inside + 1] * wordhash.COEFFS[1]) if len(inside) else h[:0]
-    return h, pair, text, inside
+def _merged(parts: list):
+    keys = np.concatenate([p[0] for p in parts])
+    u, which = np.unique(keys, return_inverse=True)
+    return u, *(np.bincount(which, np.concatenate([p[c] for p in parts]), len(u)).astype(np.int64) for c in (1, 2))
 
 
-def _counted(key, table):
+def _counter(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
-    data, offs = wordhash.string_buffers(table.column("text"))
-    target = np.array(table.column("target").to_pylist(), bool)
-    keys, hits, kinds = [], [], []
+    held: list = []
+    for batch in batches:
+        data, offs = wordhash.string_buffers(batch.column(0))
+        target = np.array(batch.column(1).to_pylist(), bool)
+        for i, j in wordhash.chunks(offs):
+            local = offs[i : j + 1] - offs[i]
+            g = _grams(data[offs[i] : offs[j]], local)
+            flag = np.repeat(target[i:j], np.diff(local))
+            for side, c in ((g[flag], 1), (g[~flag], 2)):
+                u, n = np.unique(side, return_counts=True)
+                z = np.zeros(len(u), np.int64)
+                held.append((u, n, z) if c == 1 else (u, z, n))
+            if sum(len(p[0]) for p in held) > 4_000_000:
+                held = [_merged(held)]
+    if held:
+        u, t, b = _merged(held)
+        for k in range(0, len(u), 1 << 17):
+            s = slice(k, k + (1 << 17))
+            yield pa.record_batch([pa.array(u[s].astype(np.int64)), pa.array(t[s]), pa.array(b[s])], names=["gram", "t", "b"])
+
+
+def _losses(counts: DataFrame, totals: dict) -> DataFrame:
+    """(gram, lt, lb): bits of each n-gram's last token in both models, by joins of count tables."""
+    least = max(1, min(totals["t"], totals["b"]))
+    scale = {c: least / max(totals[c], 1) for c in "tb"}
+    d = counts.select("gram", *[(F.col(c) * scale[c]).alias(c) for c in "tb"])
+
+    def order(bits: int, history: bool) -> DataFrame:
+        key = F.shiftright("gram", 8) if history else F.col("gram")
+        return d.groupBy(key.bitwiseAND(F.lit((1 << bits) - 1)).alias("k")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+
+    # p(w), then one token of history more each time; the key of a step is the last tokens of the n-gram
+    size = F.lit(float(least)) + 256
+    p = order(8, False).select("k", *[((F.col(c) + 1) / size).alias(f"p{c}") for c in "tb"])
+    for n in (2, 3, 4):
+        own = order(8 * n, False) if n < 4 else d.withColumnRenamed("gram", "k")
+        past = order(8 * (n - 1), True).select(F.col("k").alias("h"), *[F.col(c).alias(f"h{c}") for c in "tb"])
+        joined = (
+            own.withColumn("h", F.shiftright("k", 8)).withColumn("s", F.col("k").bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1)))
+            .join(past, "h").join(p.withColumnRenamed("k", "s"), "s")
+        )
+        p = joined.select("k", *[((F.col(c) + MU * F.col(f"p{c}")) / (F.col(f"h{c}") + MU)).alias(f"p{c}") for c in "tb"])
+    return p.select(F.col("k").alias("gram"), *[(-F.log2(f"p{c}")).cast("float").alias(f"l{c}") for c in "tb"])
+
+
+class _Table:
+    """Losses by n-gram in an open-addressing table, looked up for many n-grams at once."""
+
+    def __init__(self, grams: np.ndarray, target: np.ndarray, background: np.ndarray):
+        self.keys = np.append(grams, 0).astype(np.uint32)
+        self.losses = np.stack([np.append(target, 0), np.append(background, 0)], axis=1).astype(np.float64)
+        bits = max(4, int(2 * len(grams) + 1).bit_length())
+        self.shift, self.mask = np.uint32(32 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int64)
+        left, at = np.arange(len(grams)), self._home(self.keys[:-1])
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            stay = self.slots[at] != left
+            left, at = left[stay], (at[stay] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint32(2654435769)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._home(keys)
+        got = self.slots[at]
+        wrong = np.flatnonzero((self.keys[got] != keys) & (got >= 0))
+        at = at[wrong]
+        while len(wrong):
+            at = (at + 1) & self.mask
+            got[wrong] = self.slots[at]
+            stay = (self.keys[got[wrong]] != keys[wrong]) & (got[wrong] >= 0)
+            wrong, at = wrong[stay], at[stay]
+        return self.losses[got]
+
+
+def _text_scores(ids, text, table: _Table) -> Iterator:
+    import pyarrow as pa
+
+    data, offs = wordhash.string_buffers(text)
     for i, j in wordhash.chunks(offs):
-        h, pair, text, inside = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-        flag = target[i:j][text]
-        for x, f, kind in ((h, flag, 1), (pair, flag[inside], 2)):
-            keys.append(x)
-            hits.append(f)
-            kinds.append(np.full(len(x), kind, np.int8))
-    x, f, kind = (np.concatenate(a) for a in (keys, hits, kinds))
-    u, place, which = np.unique(x, return_index=True, return_inverse=True)
-    t = np.bincount(which, f, len(u)).astype(np.int64)
-    n = np.bincount(which, minlength=len(u)).astype(np.int64)
-    return pa.table({"part": pa.array(np.full(len(u), key[0].as_py(), np.int64)), "gram": pa.array(u.view(np.int64)),
-                     "words": pa.array(kind[place] == 1), "t": pa.array(t.astype(np.int32)), "b": pa.array((n - t).astype(np.int32))})
-
-
-def _own(x: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """How often each gram occurs in its own text."""
-    with np.errstate(over="ignore"):
-        both = wordhash.mix(x + text.astype(np.uint64) * wordhash.COEFFS[7])
-    _, which, n = np.unique(both, return_inverse=True, return_counts=True)
-    return n[which]
-
-
-def _scored(totals: dict):
-    nt, nb, vocab = totals["t"], totals["b"], totals["v"]
-    least = max(1, min(nt, nb))
-    scale = {"t": least / max(nt, 1), "b": least / max(nb, 1)}
-
-    def run(key, docs, model):
-        import pyarrow as pa
+        local = offs[i : j + 1] - offs[i]
+        n = np.diff(local)
+        rows = table.find(_grams(data[offs[i] : offs[j]], local)) if local[-1] else np.zeros((0, 2))
+        some = np.flatnonzero(n)
+        mean = np.full((j - i, 2), np.nan)
+        if len(some):
+            mean[some] = np.add.reduceat(rows, local[:-1][some], axis=0) / n[some, None]
+        cols = [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
+        yield pa.record_batch([ids.slice(i, j - i), pa.array(n), *cols],
+                              names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-        grams = model.column("gram").to_numpy().view(np.uint64)
-        order = np.argsort(grams)
-        grams = grams[order]
-        counts = {c: model.column(c).to_numpy()[order].astype(float) for c in ("t", "b")}
-        data, offs = wordhash.string_buffers(docs.column("text"))
-        target = np.array(docs.column("target").to_pylist(), bool)
-        n_tokens = np.zeros(len(target), np.int64)
-        loss = {c: np.full(len(target), np.nan) for c in ("t", "b")}
-        for i, j in wordhash.chunks(offs):
-            h, pair, text, inside = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            if not len(h):
-                continue
-            n = np.bincount(text, minlength=j - i)
-            n_tokens[i:j] = n
-            at, at2 = np.searchsorted(grams, h), np.searchsorted(grams, pair)
-            own, own2 = _own(h, text), _own(pair, text[inside])
-            for c in ("t", "b"):
-                mine = (target[i:j] == (c == "t"))[text]
-                s = scale[c]
-                word = (counts[c][at] - mine * own) * s
-                p = (word + 1) / (((nt if c == "t" else nb) - mine * n[text]) * s + vocab + 1)
-                bits = -np.log2(p)
-                two = (counts[c][at2] - mine[inside] * own2) * s
-                bits[inside + 1] = -np.log2((two + MU * p[inside + 1]) / (word[inside] + MU))
-                loss[c][i:j] = np.where(n > 0, np.bincount(text, bits, j - i) / np.maximum(n, 1), np.nan)
-        cols = {"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n_tokens)}
-        for name, v in (("target_loss", loss["t"]), ("background_loss", loss["b"]), ("score", loss["t"] - loss["b"])):
-            cols[name] = pa.array(v, pa.float64(), mask=np.isnan(v))
-        return pa.table(cols)
-
-    return run
-
-
-def scored(docs: DataFrame, target_ids: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+
+_SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+
+
+def scored(docs: DataFrame, target_ids: DataFrame, table_rows: int = TABLE_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs`` (doc_id, text).
 
     ``target_ids`` has the ids (doc_id) of the target part.
     """
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
     ids = target_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    dealt = (
-        docs.select("doc_id", "text").join(store.hinted(ids), "doc_id", "left")
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("target", F.lit(False)).alias("target"),
-                F.pmod(F.xxhash64(F.lit(5), "doc_id", F.octet_length("text")), F.lit(parts)).alias("part"))
-    )
+    flagged = docs.select("doc_id", "text").join(store.hinted(ids), "doc_id", "left").select(
+        "text", F.coalesce("target", F.lit(False)).alias("target"))
     counts = store.saved(
-        dealt.groupBy("part").applyInArrow(_counted, "part long, gram long, words boolean, t int, b int"), "ngrams")
-    whole = Window.partitionBy("gram")
-    model = counts.select(
-        "part", "gram", F.sum("t").over(whole).alias("t"), F.sum("b").over(whole).alias("b"),
-        (F.row_number().over(whole.orderBy("part")) == 1).alias("first"), "words")
-    model = store.saved(model, "model")
-    row = model.where("words and first").agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count("*").alias("v")).first()
-    totals = {k: int(row[k] or 0) for k in ("t", "b", "v")}
-    return (
-        dealt.groupBy("part").cogroup(model.select("part", "gram", "t", "b").groupBy("part"))
-        .applyInArrow(_scored(totals), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+        flagged.mapInArrow(_counter, "gram long, t long, b long").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b")),
+        "ngrams",
     )
+    row = counts.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count("*").alias("n")).first()
+    losses = store.saved(_losses(counts, {c: int(row[c] or 0) for c in "tb"}), "losses")
+    texts = docs.select("doc_id", "text")
+    if row["n"] <= table_rows:
+        got = losses.toPandas()
+        shared = docs.sparkSession.sparkContext.broadcast(
+            (got["gram"].to_numpy(np.uint32), got["lt"].to_numpy(np.float32), got["lb"].to_numpy(np.float32)))
+
+        def run(batches: Iterator) -> Iterator:
+            table = _Table(*shared.value)
+            for batch in batches:
+                yield from _text_scores(batch.column(0), batch.column(1), table)
+
+        return texts.mapInArrow(run, _SCHEMA)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-total // part_bytes))
+    dealt = texts.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "doc_id", F.octet_length("text")), F.lit(parts)))
+
+    def asked(key, table):
+        import pyarrow as pa
+
+        data, offs = wordhash.string_buffers(table.column("text"))
+        u = np.unique(np.concatenate([np.unique(_grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]))
+                                      for i, j in wordhash.chunks(offs)] or [np.zeros(0, np.uint32)]))
+        return pa.table({"part": pa.array(np.full(len(u), key[0].as_py())), "gram": pa.array(u.astype(np.int64))})
+
+    def answer(key, own, model):
+        import pyarrow as pa
+
+        table = _Table(*(model.column(c).to_numpy() for c in ("gram", "lt", "lb")))
+        return pa.Table.from_batches(list(_text_scores(own.column("doc_id").combine_chunks(), own.column("text"), table)))
+
+    wanted = dealt.groupBy("part").applyInArrow(asked, "part long, gram long")
+    model = wanted.join(losses, "gram").select("part", "gram", "lt", "lb")
+    return dealt.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, _SCHEMA)
