@@ -146,9 +146,11 @@ def mixed(docs: DataFrame, budget_percent: int = 80, max_epochs: int = 1, seed:
     _, draw = _drawn(docs, budget_percent, max_epochs, seed)
     takes = F.concat(F.array_repeat("_tokens", F.col("_full").cast("int")),
                      F.when(F.col("_part") > 0, F.array("_part")).otherwise(F.array().cast("array<bigint>")))
-    d = _given(_leafed(docs), draw, seed).withColumn("_take", F.explode(takes))
+    # the row travels as one struct, so no column of it can clash with a helper
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", "lang", "source")
+    d = _given(_leafed(rows), draw, seed).withColumn("_take", F.explode(takes))
     head = F.array_join(F.slice(
         F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.col("_take").cast("int")), "")
     clean = F.when(F.col("_take") < F.col("_tokens"), head).otherwise(F.col("text"))
-    out = d.select(*[F.col(c) if c != "text" else clean.alias("text") for c in docs.columns])
+    out = d.select(*[F.col("_row")[c].alias(c) if c != "text" else clean.alias("text") for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

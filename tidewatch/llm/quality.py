@@ -144,10 +144,12 @@ def quality(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT,
 def filtered(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT,
              min_words: int = MIN_WORDS, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """The kept rows with all their columns; frequent lines are gone from ``text``."""
-    d = _judged(docs, min_docs, percent, min_words, left_percent).where("_kept")
+    # the row travels as one struct, so no column of it can clash with a helper; and rows are dropped by
+    # a generator: a filter would be pushed below and repeat all that the verdict is made of
+    d = _judged(docs.select(F.struct(*docs.columns).alias("_row"), "text", "source"), min_docs, percent, min_words, left_percent)
     f = F.col("_frequent")
     clean = F.when(F.size("_removed") == 0, F.col("text")).otherwise(F.array_join(
         F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(f, _key(x))), "\n"))
-    keep = [F.col(c) if c != "text" else clean.alias("text") for c in docs.columns]
-    out = d.select(*keep)
+    keep = F.struct(*[F.col("_row")[c].alias(c) if c != "text" else clean.alias("text") for c in docs.columns])
+    out = d.select(F.inline(F.when(F.col("_kept"), F.array(keep))))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
