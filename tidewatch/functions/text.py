@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 #: Legal forms that carry no identity.
 LEGAL_FORMS = ("inc", "llc", "ltd", "limited", "corp", "corporation", "co", "company", "gmbh", "ag", "sa", "sas", "srl", "spa", "bv", "nv", "plc", "pty", "lp", "llp")
@@ -95,24 +96,24 @@ def grounded(quote: str | None, document: str | None, value: float | None, cue:
     return "negated" if cue and negated(q, cue) else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normal_name_udf(names: pd.Series) -> pd.Series:
     seen = {n: normal_name(n) for n in names.dropna().unique()}
     return names.map(seen)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     seen: dict = {}
     return pd.Series([None if x is None or y is None else seen.setdefault((x, y), jaro_winkler(x, y)) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def numbers_udf(texts: pd.Series) -> pd.Series:
     return texts.map(numbers_in)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def grounded_udf(quote: pd.Series, document: pd.Series, value: pd.Series) -> pd.Series:
     return pd.Series([grounded(q, d, None if pd.isna(v) else float(v)) for q, d, v in zip(quote, document, value)], dtype=object)
 

@@ -30,13 +30,13 @@ def average_ranks(rows: DataFrame, value: str, by: list[str], out: str) -> DataF
 
 
 def auc(rows: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
-    """(by, positives, negatives, auc) by the rank sum."""
+    """(by, positives, negatives, auc) by the rank sum; null without both kinds."""
     d = average_ranks(rows, score, by, "_r")
     p = F.sum(F.col(label).cast("double"))
     n = F.count("*") - p
     return d.groupBy(*by).agg(
         p.cast("long").alias("positives"), n.cast("long").alias("negatives"),
-        ((F.sum(F.when(F.col(label) == 1, F.col("_r"))) - p * (p + 1) / 2) / (p * n)).alias("auc"))
+        F.try_divide(F.sum(F.when(F.col(label) == 1, F.col("_r"))) - p * (p + 1) / 2, p * n).alias("auc"))
 
 
 def spearman(rows: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
@@ -48,7 +48,7 @@ def gini(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Concentration of a non-negative value within groups."""
     d = average_ranks(rows, value, by, "_r")
     n, s = F.count("*"), F.sum(value)
-    return d.groupBy(*by).agg((2 * F.sum(F.col("_r") * F.col(value)) / (n * s) - (n + 1) / n).alias("gini"))
+    return d.groupBy(*by).agg((F.try_divide(2 * F.sum(F.col("_r") * F.col(value)), n * s) - (n + 1) / n).alias("gini"))
 
 
 def fdr_prefix(rows: DataFrame, p: str, by: list[str], key: str, level: float) -> DataFrame:
@@ -161,7 +161,7 @@ def bootstrap_rate(rows: DataFrame, by: list[str], hit: str, cluster: str, draws
     kinds = ", ".join(f"{c} {t}" for c, t in sums.select(*by).dtypes)
     parts = sums.mapInPandas(weigh, kinds + ", ks array<double>, ns array<double>")
     at = parts.select(*by, F.posexplode(F.arrays_zip("ks", "ns")).alias("draw", "x")).groupBy(*by, "draw").agg(
-        (F.sum("x.ks") / F.sum("x.ns")).alias("rate"))
+        F.try_divide(F.sum("x.ks"), F.sum("x.ns")).alias("rate"))
     return at.groupBy(*by).agg(F.max(F.when(F.col("draw") == 0, F.col("rate"))).alias("rate"),
                                F.percentile(F.when(F.col("draw") > 0, F.col("rate")), 0.025).alias("low"),
                                F.percentile(F.when(F.col("draw") > 0, F.col("rate")), 0.975).alias("high"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidewatch.operators import windows
 from tidewatch.plans.tables import ASSERTIONS, CENSORED, OBSERVATIONS, assertions, observations, table
 
-_C = F.lit(CENSORED).cast("date")
+def _censored():
+    return F.lit(CENSORED).cast("date")
 
 
 def _months(a, day: str):
@@ -21,7 +22,7 @@ def corpus_cohorts(spark, sf_dir):
     first = a.where("not withdrawn").groupBy("vuln").agg(F.min("added").alias("d"))
     both = first.select(F.lit("kev_entered").alias("metric"), "d").unionByName(
         a.select(F.lit("cves_published").alias("metric"), F.col("added").alias("d")))
-    end = F.add_months(F.trunc(F.date_add(_C, 1), "month"), -1)
+    end = F.add_months(F.trunc(F.date_add(_censored(), 1), "month"), -1)
     counts = both.where(F.col("d") < F.add_months(end, 1)).groupBy("metric", F.trunc("d", "month").alias("m")).agg(F.count("*").alias("n"))
     grid = counts.groupBy("metric").agg(F.min("m").alias("lo")).select(
         "metric", F.explode(F.sequence(F.trunc("lo", "year"), end, F.expr("interval 1 month"))).alias("m"))
@@ -44,7 +45,7 @@ FROM g LEFT JOIN c USING (metric, m)"""
 def corpus_weekly(spark, sf_dir):
     """Two rows for each ISO week up to the last complete one before the censoring date, zero weeks too."""
     a = assertions(spark, sf_dir)
-    last = F.date_sub(F.trunc(F.date_add(_C, 1), "week"), 7)
+    last = F.date_sub(F.trunc(F.date_add(_censored(), 1), "week"), 7)
     weeks = spark.range(1).select(F.explode(F.sequence(F.lit("1997-01-06").cast("date"), last, F.expr("interval 7 days"))).alias("week"))
     metrics = F.array(F.lit("listed"), F.lit("withdrawn"))
     grid = weeks.select("week", F.explode(metrics).alias("metric"))
@@ -71,7 +72,7 @@ f AS (SELECT * FROM a JOIN l USING (entry))"""
 
 def lag_points(spark, sf_dir):
     """Per vulnerability: earliest publication, earliest live listing by the censoring date, lag and half years."""
-    d = _fixes(spark, sf_dir).where(~F.col("withdrawn") & (F.col("added") <= _C)).groupBy("vuln").agg(
+    d = _fixes(spark, sf_dir).where(~F.col("withdrawn") & (F.col("added") <= _censored())).groupBy("vuln").agg(
         F.min("published").alias("published"), F.min("added").alias("listed"))
     half = lambda c: F.concat(F.year(c).cast("string"), F.when(F.month(c) <= 6, "H1").otherwise("H2"))
     return d.select("vuln", "published", "listed", F.datediff("listed", "published").alias("lag_days"),
@@ -88,7 +89,7 @@ def severity_windows(spark, sf_dir):
     """Attacked within 90 and 180 days by price band and year; only cohorts with the whole window count as mature."""
     band = F.when(F.col("price") >= 300000, "critical").when(F.col("price") >= 200000, "high").when(F.col("price") >= 100000, "medium").otherwise("low")
     d = _fixes(spark, sf_dir).withColumn("band", band).withColumn("win", F.explode(F.array(F.lit(90), F.lit(180))))
-    mature = F.datediff(_C, "published") >= F.col("win")
+    mature = F.datediff(_censored(), "published") >= F.col("win")
     hit = mature & (F.datediff("added", "published").between(0, F.col("win")))
     return d.groupBy("win", F.year("published").alias("cohort_year"), "band").agg(
         F.count("*").alias("published_all"), F.count_if(mature).alias("published_mature"), F.count_if(hit).alias("attacked")
@@ -106,7 +107,7 @@ FROM e GROUP BY ALL"""
 
 def patch_window_bands(spark, sf_dir):
     """emergency + out_of_band + scheduled make up all attacked within 90 days; maturity at 0, 29 and 90 days."""
-    d = _fixes(spark, sf_dir).withColumn("lag", F.datediff("added", "published")).withColumn("age", F.datediff(_C, "published"))
+    d = _fixes(spark, sf_dir).withColumn("lag", F.datediff("added", "published")).withColumn("age", F.datediff(_censored(), "published"))
     m = lambda n: F.round(F.count_if(F.col("age") >= n) / F.count("*"), 9).alias(f"maturity_{n}d")
     return d.groupBy(F.year("published").alias("cohort_year")).agg(
         F.count_if(F.col("lag") <= 0).alias("emergency"), F.count_if(F.col("lag").between(1, 29)).alias("out_of_band"),

@@ -8,7 +8,7 @@ from tidewatch.operators import merge
 from tidewatch.plans.tables import ASSERTIONS, OBSERVATIONS, assertions, observations
 
 OLD, NEW, STAMP = "1998-06-30", "1998-01-01", "2001-01-01"
-_STAMP = F.lit(STAMP)
+
 
 
 def _state(spark, sf_dir):
@@ -31,7 +31,7 @@ new AS (SELECT source, vuln, entry, price FROM a WHERE added >= DATE '{NEW}'
 
 def upsert_merge(spark, sf_dir):
     old, new = _state(spark, sf_dir)
-    return merge.upsert(old, new, ["source", "vuln"], "hash", _STAMP).drop("hash")
+    return merge.upsert(old, new, ["source", "vuln"], "hash", F.lit(STAMP)).drop("hash")
 
 
 _UPSERT = f"""WITH {_BASE}
@@ -44,7 +44,7 @@ FROM old FULL JOIN new USING (source, vuln)"""
 def owned_column_upsert(spark, sf_dir):
     """The batch owns only ``entry``; a row seen again stays withdrawn; the price is the least seen."""
     old, new = _state(spark, sf_dir)
-    return merge.upsert(old, new, ["source", "vuln"], "hash", _STAMP, owned=["entry", "hash"], least=("price",), revive=False).drop("hash")
+    return merge.upsert(old, new, ["source", "vuln"], "hash", F.lit(STAMP), owned=["entry", "hash"], least=("price",), revive=False).drop("hash")
 
 
 _OWNED = f"""WITH {_BASE}
@@ -55,7 +55,7 @@ SELECT source, vuln, coalesce(new.entry, old.entry) AS entry, least(old.price, n
 
 def snapshot_withdrawal(spark, sf_dir):
     old, new = _state(spark, sf_dir)
-    return merge.withdraw_missing(old, new, ["source", "vuln"], _STAMP, complete=True).select("source", "vuln", "entry", "withdrawn_at")
+    return merge.withdraw_missing(old, new, ["source", "vuln"], F.lit(STAMP), complete=True).select("source", "vuln", "entry", "withdrawn_at")
 
 
 _WITHDRAW = f"""WITH {_BASE} SELECT source, vuln, old.entry,

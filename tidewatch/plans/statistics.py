@@ -64,7 +64,7 @@ def rank_auc(spark, sf_dir):
 
 
 _RANKED = """(SELECT *, {x} AS v, rank() OVER (PARTITION BY {by} ORDER BY {x}) + (count(*) OVER (PARTITION BY {by}, {x}) - 1) / 2 AS r FROM {t})"""
-_AUC = "SELECT lang, sum(quality)::BIGINT AS positives, (count(*) - sum(quality))::BIGINT AS negatives, round((sum(r) FILTER (WHERE quality = 1) - sum(quality) * (sum(quality) + 1) / 2) / (sum(quality) * (count(*) - sum(quality))), 9) AS auc FROM " + _RANKED.format(
+_AUC = "SELECT lang, sum(quality)::BIGINT AS positives, (count(*) - sum(quality))::BIGINT AS negatives, round((sum(r) FILTER (WHERE quality = 1) - sum(quality) * (sum(quality) + 1) / 2) / nullif(sum(quality) * (count(*) - sum(quality)), 0), 9) AS auc FROM " + _RANKED.format(
     x="n_chars", by="lang", t="(SELECT d.doc_id, lang, n_chars, quality FROM documents d JOIN labels USING (doc_id))") + " GROUP BY lang"
 
 

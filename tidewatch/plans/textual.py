@@ -80,12 +80,12 @@ def rule_precision(spark, sf_dir):
     j = d.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
     hit = F.count_if(F.col("rule") & (F.col("quality") == 1))
     return j.groupBy("lang").agg(
-        F.count("*").alias("n"), F.round(hit / F.count_if("rule"), 6).alias("precision"), F.round(hit / F.count_if(F.col("quality") == 1), 6).alias("recall"))
+        F.count("*").alias("n"), F.round(F.try_divide(hit, F.count_if("rule")), 6).alias("precision"), F.round(F.try_divide(hit, F.count_if(F.col("quality") == 1)), 6).alias("recall"))
 
 
 _PRECISION = """WITH j AS (SELECT lang, n_chars >= 400 AND NOT regexp_matches(text, '[#$%&*]{3}|!!') AS rule, quality = 1 AS q FROM documents JOIN labels USING (doc_id))
-SELECT lang, count(*) AS n, round(count(*) FILTER (WHERE rule AND q) / count(*) FILTER (WHERE rule), 6) AS precision,
-  round(count(*) FILTER (WHERE rule AND q) / count(*) FILTER (WHERE q), 6) AS recall FROM j GROUP BY lang"""
+SELECT lang, count(*) AS n, round(count(*) FILTER (WHERE rule AND q) / nullif(count(*) FILTER (WHERE rule), 0), 6) AS precision,
+  round(count(*) FILTER (WHERE rule AND q) / nullif(count(*) FILTER (WHERE q), 0), 6) AS recall FROM j GROUP BY lang"""
 
 
 def page_domains(spark, sf_dir):
