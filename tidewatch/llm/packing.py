@@ -39,7 +39,7 @@ END_ID = 1
 GROUPS = 256
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker keeps; beyond that it forgets the later half.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 #: Letters whose lower case and composed form are the same by any table: ASCII and Latin-1.
 PLAIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00df-\u00f6\u00f8-\u00ff]+")
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
