@@ -16,7 +16,7 @@ document is cut to the tokens that are left.
 Tables of the tree have a row per node; documents meet them by a join on the leaf. Buckets
 per leaf: 4,096, so a leaf of a third of 10**10 documents orders under 10**6 rows.
 
-Defined cases: null texts have no tokens and get none; null language or source is a leaf of its
+Defined cases: texts without tokens (null ones too) add nothing and are in no mixture; null language or source is a leaf of its
 own; leaves without tokens or weight get nothing; rows that repeat are drawn one by one, in any
 order among equals; an empty table gives an empty result; other columns are ignored by
 ``budgeted`` and kept by ``mixed``.
@@ -148,7 +148,7 @@ def mixed(docs: DataFrame, budget_percent: int = 80, max_epochs: int = 1, seed:
                      F.when(F.col("_part") > 0, F.array("_part")).otherwise(F.array().cast("array<bigint>")))
     # the row travels as one struct, so no column of it can clash with a helper
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", "lang", "source")
-    d = _given(_leafed(rows), draw, seed).withColumn("_take", F.explode(takes))
+    d = _given(_leafed(rows), draw, seed).where("_tokens > 0").withColumn("_take", F.explode(takes))
     head = F.array_join(F.slice(
         F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.col("_take").cast("int")), "")
     clean = F.when(F.col("_take") < F.col("_tokens"), head).otherwise(F.col("text"))
