@@ -132,13 +132,13 @@ def quality(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT,
             min_words: int = MIN_WORDS, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): counts, removed lines, verdict."""
     d = _judged(docs.select("doc_id", "text", "source"), min_docs, percent, min_words, left_percent)
-    return d.select(
+    # a generator, which later filters on the verdict can't be pushed below: they would repeat all it is made of
+    return d.select(F.inline(F.array(F.struct(
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_word_chars").alias("word_chars"),
         F.col("_n_symbols").alias("n_symbols"), F.col("_n_dup_lines").alias("n_dup_lines"),
         F.col("_n_repeat_words").alias("n_repeat_words"), F.col("_base_failed").alias("base_failed"),
         F.col("_kept").alias("kept"), F.size("_removed").cast("long").alias("n_removed_lines"),
-        F.col("_left_words").cast("long").alias("left_words"),
-    )
+        F.col("_left_words").cast("long").alias("left_words")))))
 
 
 def filtered(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT,
