@@ -27,11 +27,11 @@ def gammaln(x) -> np.ndarray:
 
 
 def digamma(x) -> np.ndarray:
-    """Recurrence up to 6, then the asymptotic series."""
+    """Recurrence up to 12, then the asymptotic series."""
     x = np.array(x, float)
     out = np.zeros(x.shape)
-    for _ in range(6):
-        low = x < 6
+    for _ in range(12):
+        low = x < 12
         out = out - np.where(low, 1 / x, 0)
         x = np.where(low, x + 1, x)
     i = 1 / (x * x)

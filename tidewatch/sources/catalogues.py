@@ -91,7 +91,7 @@ def cvelist_bundle(spark, path, baseline: bool = True):
     if baseline and files.isEmpty():
         raise SourceError("an empty baseline")
     r = files.select("member", F.from_json("text", schema).alias("r")).select("member", "r.cveMetadata.*", "r.containers.cna.*")
-    score = F.coalesce(*[F.get(F.filter(F.transform("metrics", lambda m, v=v: m[v]["baseScore"]), lambda x: x.isNotNull()), F.lit(0))
+    score = F.coalesce(*[F.get(F.filter(F.expr(f"transform(metrics, m -> m.{v}.baseScore)"), lambda x: x.isNotNull()), F.lit(0))
                          for v in ("cvssV4_0", "cvssV3_1", "cvssV3_0", "cvssV2_0")])
     english = F.get(F.filter("descriptions", lambda d: F.lower(d["lang"]).startswith("en")), F.lit(0))["value"]
     rows = r.select(
