@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("catalogue", "merges", "cohorts", "joining", "statistics", "textual", "quality_gates")
+MODULES = ("catalogue", "merges", "cohorts", "joining", "statistics", "textual", "quality_gates", "monitoring")
 
 
 def _all(name: str) -> dict:
