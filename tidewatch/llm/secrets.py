@@ -38,7 +38,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 CONTEXT = re.compile(
     r"""(?:passphrase|passcode|passwd|password|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
     r"""|credentials?|bearer|auth(?:orization)?|login)(?:["'`)\]]{0,2}\x20{0,3}(?:[:=]{1,2}>?|->)|\x20+(?:is|was|to|be|as)\b:?"""
-    r"""|\x20(?=[^\x20]*[0-9]))\x20{0,3}["'`]?([^\s"'`<>]{8,200})""", re.I | re.A)
+    r"""|\x20(?=[^\x20]*[0-9]))\x20{0,3}["'`]?([^\s"'`<>]{8,})""", re.I | re.A)
 #: A text without any of these can match neither ASSIGN nor CONTEXT.
 _HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "bearer", "auth", "login")
 
