@@ -83,3 +83,20 @@ def runs(rows: DataFrame, at: str, value: str, every: int | None = None) -> Data
     turn = (F.col(at) != F.lag(at).over(w) + 1) | ~F.col(value).eqNullSafe(F.lag(value).over(w))
     d = d.withColumn("_i", F.sum(F.coalesce(turn, F.lit(True)).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return d.groupBy("_b", "_i").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.first(value).alias(value)).drop("_b", "_i")
+
+
+def folded_posts(posts: DataFrame, actor: str, subject: str, at: str, days: int = 14) -> DataFrame:
+    """``posts`` with ``episode_start``: the nearest open episode of actor and subject within ``days`` of its first day.
+
+    Posts fold in order of their day; distance is to an episode's first day, so a long series splits. The
+    fold runs over a pair's distinct days only and is joined back on the day.
+    """
+    sorted_days = posts.groupBy(actor, subject).agg(F.array_sort(F.collect_set(at)).alias("_days"))
+
+    def step(acc: Column, d: Column) -> Column:
+        near = F.array_max(F.transform(F.filter(acc, lambda s: F.datediff(d, s["start"]) <= days), lambda s: s["start"]))
+        return F.concat(acc, F.array(F.struct(d.alias("day"), F.coalesce(near, d).alias("start"))))
+
+    kind = "array<struct<day:date,start:date>>"
+    starts = sorted_days.select(actor, subject, F.explode(F.aggregate("_days", F.array().cast(kind), step)).alias("_e"))
+    return posts.join(starts.select(actor, subject, F.col("_e.day").alias(at), F.col("_e.start").alias("episode_start")), [actor, subject, at])
