@@ -223,6 +223,8 @@ def test_shards_are_written(spark, docs):
     path = store.new_path(spark, "test-shards")
     sharding.write_shards(docs.where("doc_id > 9"), path, 50_000)
     assert spark.read.parquet(path).count() == docs.where("doc_id > 9").count()
+    sharding.write_shards(docs.where("doc_id > 9").withColumnRenamed("wins", "shard"), path + "-clash", 50_000)
+    assert {r["shard"] for r in spark.read.parquet(path + "-clash").select("shard").collect()} == {"clash"}
 
 
 def test_secrets_as_brute_force(docs, rows, empty):

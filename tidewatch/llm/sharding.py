@@ -113,7 +113,14 @@ def _deeper(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Write the rows of ``docs``, one folder ``shard=...`` for each shard of :func:`sharded`."""
-    where = sharded(docs, limit).select(F.col("doc_id").alias("_id"), F.col("shard")).dropDuplicates(["_id"])
-    out = docs.join(where, docs["doc_id"].eqNullSafe(where["_id"])).drop("_id")
-    out.repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the rows of ``docs``, one folder for each shard of :func:`sharded`.
+
+    The folders are named after the column ``shard``, with underscores before it while ``docs`` has such a column.
+    """
+    name = "shard"
+    while name in docs.columns:
+        name = f"_{name}"
+    where = sharded(docs, limit).select(F.struct("doc_id").alias("_key"), F.col("shard").alias("_to")).dropDuplicates(["_key"])
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    out = rows.join(where, F.col("_row.doc_id").eqNullSafe(F.col("_key.doc_id"))).select("_row.*", F.col("_to").alias(name))
+    out.repartition(name).write.partitionBy(name).parquet(path)
