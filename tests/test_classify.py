@@ -33,3 +33,11 @@ def test_posts_fold_into_the_nearest_open_episode(spark):
     posts = spark.createDataFrame([("a", "x", day(n)) for n in (0, 10, 14, 15, 29, 30)] + [("b", "x", day(1))], "actor string, subject string, day date")
     got = {(r["actor"], r["day"]): r["episode_start"] for r in windows.folded_posts(posts, "actor", "subject", "day").collect()}
     assert [got["a", day(n)] for n in (0, 10, 14, 15, 29, 30)] == [day(n) for n in (0, 0, 0, 15, 15, 30)] and got["b", day(1)] == day(1)
+
+
+def test_industry_codes(spark):
+    sic = {"2834": "healthcare", "2899": "manufacturing", "3571": None, "4841": "media", "4813": "technology_telecom", "5812": "hospitality_leisure", "6798": "construction_real_estate",
+           "6700": "finance_insurance", "9999": None, "x": None, "1700": "construction_real_estate"}
+    assert one(spark, *[C.industry_of_sic(F.lit(k)) for k in sic]) == list(sic.values())
+    naics = {"325412": "healthcare", "3259": "manufacturing", "334111": None, "541512": "technology_telecom", "5411": "professional_services", "624": None, "62": "healthcare", "1": None, "81": None, "813-9": "nonprofit"}
+    assert one(spark, *[C.industry_of_naics(F.lit(k)) for k in naics]) == list(naics.values())

@@ -73,3 +73,38 @@ def country_code(text: Column) -> Column:
     return (
         F.when(c == "UK", "GB").when(c.isin("USA", "UNITED STATES", "US"), "US")
         .when(c.rlike("^[A-Z]{2}$") & ~c.isin("XX", "ZZ"), c))
+
+
+#: Ranges of standard industrial codes; of those that hold a code the narrowest decides, null spans classes.
+SIC_RANGES = (
+    (100, 999, "agriculture"), (1000, 1499, "energy_utilities"), (1500, 1799, "construction_real_estate"), (2000, 3999, "manufacturing"),
+    (2711, 2741, "media"), (2833, 2836, "healthcare"), (3570, 3579, None), (3670, 3679, None), (3840, 3851, None),
+    (4000, 4799, "transport_logistics"), (4800, 4899, "technology_telecom"), (4830, 4830, "media"), (4832, 4833, "media"), (4840, 4841, "media"),
+    (4900, 4999, "energy_utilities"), (5200, 5999, "retail_consumer"), (5800, 5899, "hospitality_leisure"), (6000, 6499, "finance_insurance"),
+    (6500, 6599, "construction_real_estate"), (6700, 6799, "finance_insurance"), (6798, 6798, "construction_real_estate"),
+    (7000, 7099, "hospitality_leisure"), (7310, 7319, "professional_services"), (7360, 7369, "professional_services"), (7370, 7379, "technology_telecom"),
+    (7800, 7899, "media"), (7900, 7999, "hospitality_leisure"), (8000, 8099, "healthcare"), (8100, 8199, "professional_services"),
+    (8200, 8299, "education"), (8600, 8699, "nonprofit"), (8710, 8749, "professional_services"), (9100, 9799, "government_public"))
+#: Prefixes of industry classification codes; the longest decides, null spans classes.
+NAICS_PREFIXES = {
+    "11": "agriculture", "21": "energy_utilities", "22": "energy_utilities", "23": "construction_real_estate", "31": "manufacturing", "32": "manufacturing",
+    "3254": "healthcare", "33": "manufacturing", "3341": None, "3344": None, "3345": None, "44": "retail_consumer", "45": "retail_consumer",
+    "48": "transport_logistics", "49": "transport_logistics", "5111": "media", "5112": "technology_telecom", "512": "media", "5132": "technology_telecom",
+    "515": "media", "516": "media", "517": "technology_telecom", "518": "technology_telecom", "519": "technology_telecom", "52": "finance_insurance",
+    "53": "construction_real_estate", "532": None, "54": "professional_services", "5415": "technology_telecom", "5613": "professional_services",
+    "61": "education", "62": "healthcare", "624": None, "71": "hospitality_leisure", "72": "hospitality_leisure", "813": "nonprofit", "92": "government_public"}
+
+
+def industry_of_sic(code: Column) -> Column:
+    n = F.trim(code.cast("string")).try_cast("int")
+    out = None
+    for lo, hi, name in sorted(SIC_RANGES, key=lambda r: (r[1] - r[0], r[0])):
+        out = F.when(n.between(lo, hi), F.lit(name)) if out is None else out.when(n.between(lo, hi), F.lit(name))
+    return out
+
+
+def industry_of_naics(code: Column) -> Column:
+    digits = F.regexp_replace(F.coalesce(code.cast("string"), F.lit("")), "[^0-9]", "")
+    table = {k: v or "" for k, v in NAICS_PREFIXES.items()}
+    found = F.coalesce(*[F.when(F.length(digits) >= n, _looked_up(table, F.substring(digits, 1, n))) for n in (4, 3, 2)])
+    return F.nullif(found, F.lit(""))
