@@ -39,15 +39,40 @@ def digamma(x) -> np.ndarray:
 
 
 def poisson_cdf(n, mean) -> np.ndarray:
-    """P(X <= n), summed in log space; 1 for a zero mean."""
-    n, mean = np.broadcast_arrays(np.asarray(n, int), np.asarray(mean, float))
-    out = np.ones(n.shape)
-    for at in np.ndindex(n.shape):
-        m = mean[at]
-        if m > 0:
-            k = np.arange(n[at] + 1)
-            out[at] = min(1.0, np.exp(k * np.log(m) - m - gammaln(k + 1.0)).sum())
-    return out
+    """P(X <= n), the upper incomplete gamma ratio of n + 1: a series below the mode, a continued fraction above."""
+    a, x = np.broadcast_arrays(np.asarray(n, float) + 1, np.asarray(mean, float))
+    shape, a, x = a.shape, a.ravel(), x.ravel()
+    out = np.ones(a.size)
+    lead = np.exp(np.where(x > 0, -x + a * np.log(np.where(x > 0, x, 1)) - gammaln(a), -np.inf))
+    low = np.flatnonzero((x > 0) & (x < a + 1))
+    if len(low):
+        term = total = 1 / a[low]
+        k = a[low].copy()
+        for _ in range(20_000):
+            k += 1
+            term = term * x[low] / k
+            total = total + term
+            if (term < total * 1e-16).all():
+                break
+        out[low] = 1 - lead[low] * total
+    high = np.flatnonzero(x >= a + 1)
+    if len(high):
+        ah, xh = a[high], x[high]
+        b = xh + 1 - ah
+        c, d = np.full(len(high), 1e300), 1 / b
+        h = d.copy()
+        for k in range(1, 20_000):
+            an = -k * (k - ah)
+            b = b + 2
+            d = an * d + b
+            d = 1 / np.where(np.abs(d) < 1e-300, 1e-300, d)
+            c = b + an / c
+            c = np.where(np.abs(c) < 1e-300, 1e-300, c)
+            h = h * d * c
+            if (np.abs(d * c - 1) < 1e-15).all():
+                break
+        out[high] = lead[high] * h
+    return np.clip(out, 0, 1).reshape(shape)
 
 
 def gamma_cdf(shape, x) -> np.ndarray:

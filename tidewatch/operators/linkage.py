@@ -58,10 +58,11 @@ def clusters(pairs: DataFrame, a: str, b: str, auto: float = 0.9, review: float
     work = pairs.join(label.select(F.col("id").alias(a), "component"), a)
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = {(x, y): v for x, y, v in zip(pdf[a], pdf[b], pdf["p"])}
-        no = {(x, y) for x, y, c in zip(pdf[a], pdf[b], pdf["cannot"]) if c}
-        of = {x: {x} for x in sorted({*pdf[a], *pdf[b]})}
-        for x, y, v in sorted(zip(pdf[a], pdf[b], pdf["p"]), key=lambda t: (-t[2], t[0], t[1])):
+        rows = list(zip(pdf[a].tolist(), pdf[b].tolist(), pdf["p"].tolist(), pdf["cannot"].tolist()))
+        p = {(x, y): v for x, y, v, _ in rows}
+        no = {(x, y) for x, y, _, c in rows if c}
+        of = {x: {x} for x in sorted({i for r in rows for i in r[:2]})}
+        for x, y, v, _ in sorted(rows, key=lambda t: (-t[2], t[0], t[1])):
             one, two = of[x], of[y]
             if v < auto or one is two or len(one) + len(two) > size:
                 continue
@@ -72,4 +73,17 @@ def clusters(pairs: DataFrame, a: str, b: str, auto: float = 0.9, review: float
                     of[i] = one
         return pd.DataFrame({"id": list(of), "cluster": [min(s) for s in of.values()]})
 
-    return work.groupBy("component").applyInPandas(greedy, "id long, cluster long")
+    def run(batches):
+        # one component after the other from a sorted stream: no call per group, and no more than one held
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            last = pdf["component"] == pdf["component"].iloc[-1] if len(pdf) else []
+            held = pdf[last] if len(pdf) else None
+            done = [greedy(g) for _, g in pdf[~last].groupby("component", sort=False)] if len(pdf) else []
+            if done:
+                yield pd.concat(done, ignore_index=True)
+        if held is not None:
+            yield greedy(held)
+
+    return work.repartition("component").sortWithinPartitions("component").mapInPandas(run, "id long, cluster long")
