@@ -33,6 +33,9 @@ def test_text_functions(spark):
     assert T.negated("They said data was not stolen.", "stolen") and not T.negated("It was not us. Data was stolen.", "stolen")
     assert T.grounded("affected 1,200 people", "It affected 1,200   people.", 1200) is None
     assert T.grounded("affected 1,200 people", "nothing", 1200) == "quote not in document" and T.grounded("affected some people", "affected some people", 5) == "number not in quote"
+    assert T.is_acronym("U.C.L.A.", "University of California Los Angeles") and not T.is_acronym("IT", "Italian Trade")
+    masked = spark.createDataFrame([("A***e Corp", True), ("12-34", True), ("Redacted", True), ("Test Valley Council", False), ("Acme", False)], "n string, want boolean")
+    assert masked.where(T.is_masked(F.col("n")) != F.col("want")).isEmpty()
     row = spark.range(1).select(
         T.domain_of(F.lit("HTTPS://user@www.Example.org:8443/x?y")).alias("d"), T.id_namespace(F.lit("ghsa-abcd-1234-efgh")).alias("g"),
         T.first_cve(F.lit("x"), F.lit("see cve-2024-12345!")).alias("c"), T.cve_year(F.lit("CVE-1999-0001")).alias("y"),

@@ -159,3 +159,23 @@ def cve_year(identifier: Column) -> Column:
     """The year in the identifier, never the publication year."""
     y = F.regexp_extract(identifier, r"^CVE-(\d{4})-", 1)
     return F.when(y != "", y.cast("int"))
+
+
+#: Words that add no initial to an acronym.
+SMALL_WORDS = ("of", "the", "and", "for", "in", "at", "on", "to", "de", "la", "du")
+
+
+def initials(name: str | None) -> str:
+    """First letters of a name's words, without legal forms and small words."""
+    return "".join(w[0] for w in (normal_name(name) or "").split() if w not in SMALL_WORDS)
+
+
+def is_acronym(short: str | None, long: str | None) -> bool:
+    """Whether one name of three letters or more is made of the other's initials."""
+    squashed = (normal_name(short) or "").replace(" ", "")
+    return len(squashed) >= 3 and len((normal_name(long) or "").split()) >= 3 and squashed == initials(long)
+
+
+def is_masked(name: Column) -> Column:
+    """Names that hide or stand for a victim: starred, without letters, or a placeholder word alone."""
+    return name.rlike(r"\*{2,}|^[\W\d_]*$") | F.lower(F.trim(name)).rlike(r"^(redacted|undisclosed|unknown|confidential|n/?a|test|example|tba|tbd)\b.{0,3}$")
