@@ -127,12 +127,31 @@ SELECT * FROM (SELECT a.t, b.t AS u, round(len(list_intersect(a.g, b.g)) / len(l
 WHERE similarity >= 0.5"""
 
 
-def blocked_pairs(spark, sf_dir):
-    """Assertion pairs that share (customer, list) or (customer, quarter) within a year; too large blocks dropped."""
-    a = assertions(spark, sf_dir).where("added < date '1998-01-01'")
+def _early(a):
+    """The part that the SQL of blocked_pairs and linkage_weights takes; the queries ending in _all take all dates."""
+    return a.where("added < date '1998-01-01'")
+
+
+def _blocked(a):
     keys = [F.concat_ws("|", F.lit("s"), "vuln", "source"), F.concat_ws("|", F.lit("q"), "vuln", F.date_format(F.trunc("added", "quarter"), "yyyy-MM-dd"))]
-    pairs, _ = linkage.blocked_pairs(a.select("entry", "vuln", "source", "added", "price"), "entry", keys, F.abs(F.datediff("l.added", "r.added")) <= 365)
-    return pairs.select(F.col("l.entry").alias("a"), F.col("r.entry").alias("b"))
+    pairs, dropped = linkage.blocked_pairs(a.select("entry", "vuln", "source", "added", "price"), "entry", keys, F.abs(F.datediff("l.added", "r.added")) <= 365)
+    return pairs.select(F.col("l.entry").alias("a"), F.col("r.entry").alias("b")), dropped
+
+
+def blocked_pairs(spark, sf_dir):
+    """Assertion pairs that share (customer, list) or (customer, quarter) within a year; too large blocks dropped. Only orders before 1998."""
+    return _blocked(_early(assertions(spark, sf_dir)))[0]
+
+
+def blocked_pairs_all(spark, sf_dir):
+    """As blocked_pairs, from the orders of all dates; ``blocks_dropped`` lists what is in no pair."""
+    return _blocked(assertions(spark, sf_dir))[0]
+
+
+def blocks_dropped(spark, sf_dir):
+    """The blocks over 300 pairs that blocked_pairs_all (rule 'pairs') and linkage_weights_all and linkage_clusters (rule 'weights') leave out."""
+    a = assertions(spark, sf_dir)
+    return _blocked(a)[1].withColumn("rule", F.lit("pairs")).unionByName(_compared_of(a)[1].withColumn("rule", F.lit("weights")))
 
 
 _BLOCKED = f"""WITH {ASSERTIONS}, x AS (SELECT * FROM a WHERE added < DATE '1998-01-01'),
@@ -141,14 +160,22 @@ z AS (SELECT key FROM k GROUP BY key HAVING count(*) * (count(*) - 1) / 2 BETWEE
 SELECT DISTINCT l.entry AS a, r.entry AS b FROM k l JOIN k r USING (key) SEMI JOIN z USING (key) WHERE l.entry < r.entry AND abs(l.added - r.added) <= 365"""
 
 
-def _compared(spark, sf_dir):
-    a = assertions(spark, sf_dir).where("added < date '1998-01-01'").select("entry", "vuln", "source", "added", "price")
+_BLOCKED_ALL = _BLOCKED.replace(" WHERE added < DATE '1998-01-01'", "")
+
+_DROPPED = f"""WITH {ASSERTIONS}, k AS (SELECT 'pairs' AS rule, 's|' || vuln || '|' || source AS block FROM a
+UNION ALL SELECT 'pairs', 'q|' || vuln || '|' || date_trunc('quarter', added)::DATE FROM a
+UNION ALL SELECT 'weights', vuln || '|' || date_trunc('year', added)::DATE FROM a)
+SELECT block, count(*) AS n, rule FROM k GROUP BY rule, block HAVING count(*) * (count(*) - 1) / 2 > 300"""
+
+
+def _compared_of(a):
     keys = [F.concat_ws("|", "vuln", F.trunc("added", "year").cast("string"))]
-    pairs, _ = linkage.blocked_pairs(a, "entry", keys)
+    pairs, dropped = linkage.blocked_pairs(a.select("entry", "vuln", "source", "added", "price"), "entry", keys)
     gap, ratio = F.abs(F.datediff("l.added", "r.added")), F.greatest("l.price", "r.price") / F.least("l.price", "r.price")
-    return pairs.select(
+    compared = pairs.select(
         F.col("l.entry").alias("a"), F.col("r.entry").alias("b"), F.when(gap <= 30, "near").when(gap <= 120, "year").otherwise("far").alias("date_level"),
         F.when(ratio <= 1.2, "same").when(ratio <= 2, "close").otherwise("other").alias("price_level"), (F.col("l.source") == F.col("r.source")).alias("truth"))
+    return compared, dropped
 
 
 _COMPARED = f"""{ASSERTIONS}, x AS (SELECT *, vuln || '|' || year(added) AS key FROM a WHERE added < DATE '1998-01-01'),
@@ -159,25 +186,41 @@ c AS (SELECT a, b, CASE WHEN gap <= 30 THEN 'near' WHEN gap <= 120 THEN 'year' E
   CASE WHEN ratio <= 1.2 THEN 'same' WHEN ratio <= 2 THEN 'close' ELSE 'other' END AS price_level, truth FROM p)"""
 
 
-def linkage_weights(spark, sf_dir):
-    w = linkage.weights(_compared(spark, sf_dir), ["date_level", "price_level"], "truth")
+def _weights(c):
+    w = linkage.weights(c, ["date_level", "price_level"], "truth")
     return w.select("feature", "level", *[F.round(c, 9).alias(c) for c in ("m", "u", "weight")])
 
 
+def linkage_weights(spark, sf_dir):
+    """Weights of date and price levels, from pairs of one customer and year. Only orders before 1998."""
+    return _weights(_compared_of(_early(assertions(spark, sf_dir)))[0])
+
+
+def linkage_weights_all(spark, sf_dir):
+    """As linkage_weights, from the orders of all dates; ``blocks_dropped`` lists what is in no pair."""
+    return _weights(_compared_of(assertions(spark, sf_dir))[0])
+
+
 _WEIGHTS = f"""WITH {_COMPARED}, l AS (SELECT 'date_level' AS feature, date_level AS level, truth FROM c UNION ALL SELECT 'price_level', price_level, truth FROM c),
 n AS (SELECT feature, level, count(*) FILTER (WHERE truth) AS km, count(*) FILTER (WHERE NOT truth) AS ku FROM l GROUP BY ALL),
 s AS (SELECT feature, level, (km + 1) / (sum(km) OVER w + count(*) OVER w) AS m, (ku + 1) / (sum(ku) OVER w + count(*) OVER w) AS u FROM n WINDOW w AS (PARTITION BY feature))
 SELECT feature, level, round(m, 9) AS m, round(u, 9) AS u, round(log2(m / u), 9) AS weight FROM s"""
 
 
-def linkage_clusters(spark, sf_dir):
-    """Scored pairs to constrained clusters (an order-dependent greedy; no SQL)."""
-    c = _compared(spark, sf_dir)
+_WEIGHTS_ALL = _WEIGHTS.replace(" WHERE added < DATE '1998-01-01'", "")
+
+
+def _clusters(c):
     p = linkage.scored(c, ["a", "b"], ["date_level", "price_level"], linkage.weights(c, ["date_level", "price_level"], "truth"), 1.0)
     marked = p.join(c.select("a", "b", (F.col("price_level") == "other").alias("cannot")), ["a", "b"])
     return linkage.clusters(marked, "a", "b", auto=0.7, review=0.6)
 
 
+def linkage_clusters(spark, sf_dir):
+    """Scored pairs to constrained clusters (an order-dependent greedy; no SQL); ``blocks_dropped`` lists what is in no pair."""
+    return _clusters(_compared_of(assertions(spark, sf_dir))[0])
+
+
 def components(spark, sf_dir):
     """Documents with equal texts: each group by its smallest id."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
@@ -274,3 +317,5 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = dict(zip(QUERIES, (
     _BOILERPLATE, _WITHOUT, _IDF, _FACTS, _KIND, _PRECISION, _DOMAINS, _TURNS, _TRIGRAM, _BLOCKED, _WEIGHTS, _COMPONENTS, _PRECEDENCE,
     _DISAGREE, _TIER, _INCIDENT, _IDENTITY, _BUSY)))
+QUERIES |= {f.__name__: f for f in (blocked_pairs_all, blocks_dropped, linkage_weights_all)}
+ORACLE_SQL |= {"blocked_pairs_all": _BLOCKED_ALL, "blocks_dropped": _DROPPED, "linkage_weights_all": _WEIGHTS_ALL}
