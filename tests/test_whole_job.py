@@ -27,3 +27,9 @@ def test_linkage_takes_all_dates_and_lists_dropped_blocks(spark, tmp_path):
         ("pairs", "s|99|2-HIGH", 30), ("pairs", "q|99|1998-01-01", 30), ("weights", "99|1998-01-01", 30)}
     assert {r["level"] for r in Q["linkage_weights_all"](spark, sf).collect()} == {"near", "same"}
     assert {r["id"] for r in Q["linkage_clusters"](spark, sf).collect()} == set(range(20))
+
+
+def test_rates_come_from_all_entries(spark, tmp_path):
+    day = dt.date(1995, 5, 1)
+    sf = orders(spark, tmp_path, [(1, 1, "1-URGENT", day), (3, 2, "1-URGENT", day), (8, 3, "2-HIGH", day), (9, 3, "5-LOW", day)])
+    assert {r["entry"]: r["rate"] for r in Q["asof_rate_all"](spark, sf).collect()} == {1: 103.0, 3: 103.0, 8: 101.0, 9: 1.0}
