@@ -3,8 +3,7 @@
 import collections
 import datetime as dt
 import itertools
-
-import pytest
+import random
 
 from tidewatch import plans
 
@@ -33,3 +32,28 @@ def test_rates_come_from_all_entries(spark, tmp_path):
     day = dt.date(1995, 5, 1)
     sf = orders(spark, tmp_path, [(1, 1, "1-URGENT", day), (3, 2, "1-URGENT", day), (8, 3, "2-HIGH", day), (9, 3, "5-LOW", day)])
     assert {r["entry"]: r["rate"] for r in Q["asof_rate_all"](spark, sf).collect()} == {1: 103.0, 3: 103.0, 8: 101.0, 9: 1.0}
+
+
+def test_event_units_as_brute_force(spark, tmp_path):
+    start, rng = dt.date(1995, 1, 31), random.Random(3)
+    fixed = [(1, 0), (1, 80), (51, 1), (51, 40), (101, 500), (151, 590), (2, 0), (52, 20), (52, 5), (7, 9)]
+    fixed += [(rng.choice((3, 53, 103, 153, 203)), rng.randrange(3000)) for _ in range(90)]
+    sf = orders(spark, tmp_path, [(k, c, "1-URGENT", start + dt.timedelta(days=n)) for k, (c, n) in enumerate(fixed)])
+    units, of = [], collections.defaultdict(set)
+    for c, n in fixed:
+        of[c].add(n)
+    for c, ns in of.items():
+        spans = []
+        for n in sorted(ns):
+            if spans and n - spans[-1][0] <= 90:
+                spans[-1][1] = n
+            else:
+                spans.append([n, n])
+        units += [(c * 1000 + k, c % 50, *s) for k, s in enumerate(spans, 1)]
+    label = {u[0]: u[0] for u in units}
+    for _ in units:
+        for x, y in itertools.combinations(units, 2):
+            if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3]:
+                label[x[0]] = label[y[0]] = min(label[x[0]], label[y[0]])
+    assert {r["id"]: r["component"] for r in Q["event_units"](spark, sf).collect()} == label
+    assert label[51001] == 1001 and label[101001] == 101001 and len(set(label.values())) > 8

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import text as T
@@ -233,12 +234,20 @@ QUALIFY count(*) OVER (PARTITION BY text) > 1"""
 
 
 def event_units(spark, sf_dir):
-    """Events: episodes of one customer joined with those of its nearest neighbours by overlapping days."""
+    """Events: episodes of neighbouring customers (vuln mod 50) chained by overlapping days, lone episodes too; by the smallest unit.
+
+    Chains of overlapping intervals are the runs between days that no earlier interval reaches, so no pairs
+    are made; the running maximum is over a group's distinct first days, however many episodes begin on one.
+    """
     e = windows.anchored_episodes(assertions(spark, sf_dir).withColumn("group", F.pmod("vuln", F.lit(50))), ["group", "vuln"], "added", 90)
-    e = e.withColumn("unit", F.col("vuln") * 1000 + F.col("episode")).withColumn("m", F.trunc("first_day", "month"))
-    o = e.select("group", "m", F.col("unit").alias("other"))
-    pairs = e.join(o, ["group", "m"]).where("unit < other")
-    return graph.components(pairs, "unit", "other")
+    e = e.withColumn("unit", F.col("vuln") * 1000 + F.col("episode"))
+    days = e.groupBy("group", "first_day").agg(F.max("last_day").alias("last_day"), F.min("unit").alias("least"))
+    w = Window.partitionBy("group").orderBy("first_day")
+    reach = F.max("last_day").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("first_day") > F.col("reach"), F.lit(True)).cast("int")
+    runs = days.withColumn("reach", reach).withColumn("run", F.sum(fresh).over(w))
+    named = runs.withColumn("component", F.min("least").over(Window.partitionBy("group", "run"))).select("group", "first_day", "component")
+    return e.join(named, ["group", "first_day"]).select(F.col("unit").alias("id"), "component")
 
 
 def precedence_pick(spark, sf_dir):
