@@ -5,7 +5,10 @@ import datetime as dt
 import itertools
 import random
 
+import pytest
+
 from tidewatch import plans
+from tidewatch.llm import secrets
 
 Q = plans.queries()
 ORDERS = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate timestamp, o_orderstatus string, o_totalprice double"
@@ -57,3 +60,17 @@ def test_event_units_as_brute_force(spark, tmp_path):
                 label[x[0]] = label[y[0]] = min(label[x[0]], label[y[0]])
     assert {r["id"]: r["component"] for r in Q["event_units"](spark, sf).collect()} == label
     assert label[51001] == 1001 and label[101001] == 101001 and len(set(label.values())) > 8
+
+
+@pytest.mark.parametrize("before", ["password: ", "password:    ", "password:\t", "password:\n", "password    = ", "pwd\t\t:\t", "password\n  = ", "token:\npassword: "])
+def test_blanks_around_the_separator(before):
+    words, value = secrets.ranks(secrets.vocabulary_path()), "xK9#mQ2$vL8pW"
+    assert secrets.guess_spans(f"{before}{value} end", words) == [(len(before), 3, len(before) + len(value))]
+
+
+def test_values_of_several_words():
+    words, phrase = secrets.ranks(secrets.vocabulary_path()), "correct horse battery staple"
+    for text in (f"passphrase: {phrase}", f"pass phrase =\t{phrase}. Then go on.", f'password is "{phrase}" here', f"passphrase: '{phrase}'"):
+        at = text.index(phrase)
+        assert secrets.guess_spans(text, words) == [(at, 3, at + len(phrase))], text
+    assert secrets.guess_spans("the password is important and the token was everything", words) == []

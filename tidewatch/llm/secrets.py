@@ -5,6 +5,9 @@ a credential context ("password is ...", "pwd: ...", "Authorization: Bearer ..."
 least base-2 logarithm of guesses over all segmentations of the value into dictionary words,
 dates, repeats, keyboard walks and brute-force spans. A value that is at least as hard to
 guess as ``MIN_BITS`` is reported with the kind ``guess``; prose after such a word is cheap and is not.
+Any run of spaces and tabs and one line break may stand before and after the separator. Values are words,
+quoted runs of words, and after "passphrase:" all words up to the end of the clause or line; unquoted
+words after "passphrase is" are priced one word only, as they can't be told from prose.
 
 The dictionary is the list of whole words of a public vocabulary file; a word's place there is its rank.
 
@@ -34,11 +37,19 @@ ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
+#: Blanks around a separator: any run of spaces and tabs, with one line break at most.
+_GAP = r"[\x20\t]*+(?:\r?\n[\x20\t]*+)?"
+_LINK = r"""["'`)\]]{0,2}""" + _GAP + r"""(?:[:=]{1,2}>?|->)"""
+_WORDS = (r"""(?:passphrase|passcode|passwd|password|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
+          r"""|credentials?|bearer|auth(?:orization)?|login)""")
 #: What may introduce a credential, and the value: the rest of that word.
-CONTEXT = re.compile(
-    r"""(?:passphrase|passcode|passwd|password|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
-    r"""|credentials?|bearer|auth(?:orization)?|login)(?:["'`)\]]{0,2}\x20{0,3}(?:[:=]{1,2}>?|->)|\x20+(?:is|was|to|be|as)\b:?"""
-    r"""|\x20(?=[^\x20]*[0-9]))\x20{0,3}["'`]?([^\s"'`<>]{8,})""", re.I | re.A)
+_BEFORE = _WORDS + r"(?:" + _LINK + r"|[\x20\t]++(?:is|was|to|be|as)\b:?|[\x20\t]++(?=[^\x20]*[0-9]))" + _GAP
+CONTEXT = re.compile(_BEFORE + r"""["'`]?([^\s"'`<>]{8,})""", re.I | re.A)
+#: A quoted value of several words.
+QUOTED = re.compile(_BEFORE + r"""(["'`])([^\n]{8,}?)\1""", re.I | re.A)
+#: Words without quotes after a pass phrase's separator: to the end of the clause or line.
+PHRASE = re.compile(r"pass[\x20_-]?phrase" + _LINK + _GAP + r"""([^\s"'`<>][^\r\n"'`<>]*)""", re.I | re.A)
+_CLAUSE_END = re.compile(r"[.,;!?](?=\s|$)")
 #: A text without any of these can match neither ASSIGN nor CONTEXT.
 _HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "bearer", "auth", "login")
 
@@ -168,15 +179,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _phrases(text: str) -> Iterator[tuple[int, str]]:
+    """(start, value) of the values of several words."""
+    for m in QUOTED.finditer(text):
+        yield m.start(2), m[2]
+    for m in PHRASE.finditer(text):
+        end = _CLAUSE_END.search(m[1])
+        yield m.start(1), (m[1][: end.start()] if end else m[1]).rstrip()
+
+
 def guess_spans(text: str, words: dict[str, int], min_bits: float = MIN_BITS) -> list[tuple[int, int, int]]:
     """Values in a credential context that cost at least ``min_bits``; trailing punctuation is no part."""
-    out = []
-    if _hinted(text):
-        for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:!?)]}")
-            if len(value) >= MIN_VALUE and not value.startswith(("http://", "https://")) and guess_bits(value, words) >= min_bits:
-                out.append((m.start(1), 3, m.start(1) + len(value)))
-    return out
+    if not _hinted(text):
+        return []
+    # values of several words; a value of one word inside such a span is part of it
+    out = sorted({(s, 3, s + len(v)) for s, v in _phrases(text)
+                  if len(v) >= MIN_VALUE and len(v.split()) > 1 and guess_bits(v, words) >= min_bits})
+    held, at = [], 0
+    for s, k, e in out:
+        if e > at:
+            held.append((s, k, e))
+            at = e
+    out, at, j = [], 0, 0
+    while m := CONTEXT.search(text, at):
+        value, start = m[1].rstrip(".,;:!?)]}"), m.start(1)
+        while j < len(held) and held[j][2] <= start:
+            j += 1
+        if j < len(held) and held[j][0] <= start:
+            at = held[j][2]
+        elif len(value) >= MIN_VALUE and not value.startswith(("http://", "https://")) and guess_bits(value, words) >= min_bits:
+            out.append((start, 3, start + len(value)))
+            at = m.end()
+        else:
+            at = start  # the word may itself introduce a value
+    return sorted(held + out)
 
 
 def _coded(spans) -> str:
