@@ -3,13 +3,14 @@
 Lines are normalised (lower case, white space runs to one space, trimmed) and hashed. For each
 host (``source``) the distinct texts holding a line are counted; equal texts count once, so a
 page copied many times does not turn its own lines into boilerplate. A line is removed on a
-host where more than ``min_docs`` texts and more than ``percent`` per cent of the host's texts
-hold it. A document is rejected when lines were removed and fewer than ``min_words`` words or
+host where more than ``min_docs`` texts hold it, whatever the host's size; with a ``percent`` above 0
+(op6_quality_rules, by its SQL) only where more than that share of the host's texts hold it too. A document is rejected when lines were removed and fewer than ``min_words`` words or
 less than ``left_percent`` per cent of its words stay.
 
-Size of what is joined back: a host can have at most (mean distinct lines a text) * 100 /
-percent frequent lines, whatever its number of documents; that list goes with the host to its
-documents, in a broadcast only if all lists together have few enough rows.
+Size of what is joined back: while each host has at most ``LONGEST`` frequent lines, a host's list goes
+with it to its documents as a broadcast array. Else only the ``LONGEST`` pairs of host and line that most
+texts hold go that way, and the others are joined to the distinct texts by (host, line): each of them is held
+by less than one ``LONGEST``-th of all that is joined, so none is a hot key.
 
 Defined cases: a null text counts as an empty one; a null ``source`` is a host of its own; a
 line without a word is never counted or removed; every input row gives one row, repeated rows
@@ -28,6 +29,8 @@ BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS, PERCENT, MIN_WORDS, LEFT_PERCENT = 20, 1, 10, 25
 WINDOW = 5
+#: Lines of one host that go to its documents as an array.
+LONGEST = 1_000
 
 
 def words_of(text: Column) -> Column:
@@ -93,30 +96,52 @@ def _measured(docs: DataFrame) -> DataFrame:
     return d.drop("_words")
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT) -> DataFrame:
-    """(_host, _frequent): the hashes of the lines above the limits, for hosts that have any."""
+def _identity() -> list[Column]:
     body = F.coalesce("text", F.lit(""))
-    texts = (
-        docs.select(F.coalesce("source", F.lit("")).alias("_host"), F.xxhash64(body).alias("t"), F.length(body).alias("n"),
-                    F.array_distinct(F.transform(_lines(body), _key)).alias("keys"))
-        .groupBy("_host", "t", "n").agg(F.first("keys").alias("keys"))
-    )
-    hosts = texts.groupBy("_host").agg(F.count("*").alias("host_docs"))
+    return [F.coalesce("source", F.lit("")).alias("_host"), F.xxhash64(body).alias("_t"), F.length(body).alias("_n")]
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """(_host, _t, _n, keys): the distinct texts of each host and their distinct lines."""
+    keys = F.array_distinct(F.transform(_lines(F.coalesce("text", F.lit(""))), _key)).alias("keys")
+    return docs.select(*_identity(), keys).groupBy("_host", "_t", "_n").agg(F.first("keys").alias("keys"))
+
+
+def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, percent: int = PERCENT) -> DataFrame:
+    """(_host, key, docs): the hashes of the lines above the limits, and how many texts hold each."""
+    texts = _texts(docs)
     held = (
         texts.select("_host", F.explode("keys").alias("key")).groupBy("_host", "key")
         .agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
     )
-    return (
-        held.join(hosts, "_host").where(F.col("docs") * 100 > F.col("host_docs") * percent)
-        .groupBy("_host").agg(F.collect_set("key").alias("_frequent"))
-    )
+    if not percent:
+        return held
+    hosts = texts.groupBy("_host").agg(F.count("*").alias("host_docs"))
+    return held.join(hosts, "_host").where(F.col("docs") * 100 > F.col("host_docs") * percent).select("_host", "key", "docs")
+
+
+def _with_frequent(docs: DataFrame, min_docs: int, percent: int) -> DataFrame:
+    """``docs`` with _host and _frequent, the frequent lines of its host (all those it holds, at least)."""
+    pairs = store.saved(frequent_lines(docs, min_docs, percent), "frequent-lines")
+    longest, rows = pairs.groupBy("_host").agg(F.count("*").alias("n")).agg(F.max("n"), F.sum("n")).first()
+    short = (longest or 0) <= LONGEST and (rows or 0) <= store.BROADCAST_ROWS
+    first = pairs if short else store.saved(pairs.orderBy(F.desc("docs"), "_host", "key").limit(LONGEST), "first-lines")
+    arrays = F.broadcast(first.groupBy("_host").agg(F.collect_set("key").alias("_frequent")))
+    d = docs.withColumn("_host", F.coalesce("source", F.lit("")))
+    if short:
+        return d.join(arrays, "_host", "left")
+    by, known = ["_host", "key"], F.broadcast(first.select("_host", "key"))
+    rest = pairs.select(*by).join(known, by, "left_anti")
+    lines = _texts(docs).select("_host", "_t", "_n", F.explode("keys").alias("key")).join(known, by, "left_anti")
+    more = lines.join(rest, by).groupBy("_host", "_t", "_n").agg(F.collect_set("key").alias("_more"))
+    d = docs.select("*", *_identity()).join(more, ["_host", "_t", "_n"], "left").join(arrays, "_host", "left")
+    none = F.array().cast("array<long>")
+    both = F.concat(F.coalesce("_frequent", none), F.coalesce("_more", none))
+    return d.withColumn("_frequent", both).drop("_t", "_n", "_more")
 
 
 def _judged(docs, min_docs, percent, min_words, left_percent):
-    frequent = store.saved(frequent_lines(docs, min_docs, percent), "frequent-lines")
-    rows = frequent.agg(F.sum(F.size("_frequent"))).first()[0] or 0
-    d = _measured(docs.withColumn("_host", F.coalesce("source", F.lit(""))))
-    d = d.join(store.hinted(frequent, rows), "_host", "left")
+    d = _measured(_with_frequent(docs, min_docs, percent))
     f = F.col("_frequent")
     d = d.withColumn("_removed", F.when(f.isNull(), F.array().cast("array<string>")).otherwise(
         F.filter("_lines", lambda x: F.array_contains(f, _key(x)))))

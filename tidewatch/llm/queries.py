@@ -33,6 +33,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_absolute_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6 with lines removed by their number of texts alone, at every size of host."""
+    return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=0)
+
+
 def op7_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op6_absolute_lines": op6_absolute_lines,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
 }
 
@@ -186,4 +192,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc_reassembly": _OP7,
     "op9_extendible_sharding": _OP9,
     "op1_hierarchical_mixing": _OP1,
-    "op6_quality_rules": _OP6}
+    "op6_quality_rules": _OP6,
+    "op6_absolute_lines": _OP6.replace(" AND held.n * 100 > hosts.n", "")}
