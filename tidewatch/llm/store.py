@@ -2,7 +2,8 @@
 
 Long lineages are cut by writing Parquet into the folder that the cluster names in
 ``spark.checkpoint.dir``; every executor can read it again, so a lost executor costs a task
-and not the query. A folder of our own is made only when the setting is absent (tests).
+and not the query. A folder set by ``SparkContext.setCheckpointDir`` serves as well. Without either, a
+folder of our own is made in local mode only (tests); on a cluster that is an error, as a machine's own disk is not shared.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ def scratch_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get().rstrip("/")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -53,6 +54,16 @@ def drop(df: DataFrame) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+#: A table below this size may sit in one row group, which one task would read alone.
+SMALL_BYTES = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores if it is small; larger tables are read in splits anyway."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SMALL_BYTES else df
+
+
 def hinted(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A broadcast hint on a narrow key table, only when its counted rows are within the bound."""
     n = df.count() if rows is None else rows
