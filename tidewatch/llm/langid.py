@@ -13,9 +13,15 @@ Words are scored many at a time: for all words of one length, pieces are found b
 all substrings, and the forward sums run over the whole block. A worker keeps the scores of
 words it has seen, and starts afresh beyond ``KEPT_WORDS``.
 
+Words of any length count, in fitting and in scoring (scripts without spaces write sentences as one word).
+Beyond ``STRETCH`` characters the forward sums run on stretch by stretch, which is exact; for fitting such
+a word is cut into stretches, so only segmentations across a cut are not summed there.
+
 Defined cases: a null text, one without letters, or nothing to learn from gives ``und`` with score 0;
-a document with a null id or language teaches nothing; all other rows are scored, repeated ones alike;
-extra columns are ignored.
+a document with a null id or language teaches nothing; all other rows are scored, repeated ones alike, very
+long texts and words whole; of languages with equal sums the first in alphabetical order wins; an empty table gives
+an empty result; more than ``MOST_LANGUAGES`` learned languages are refused with an error, as the
+probabilities are one table of the vocabulary's size per language; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +38,8 @@ VOCABULARY = "piece_bpe_32k.model"
 FIT_DOCS, ROUNDS = 1500, 3
 KEPT_WORDS = 500_000
 LONGEST = 16
+STRETCH = 4096
+MOST_LANGUAGES = 500
 FLOOR = 1e-9
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,31 +97,55 @@ def _blocks(words: list[str], most: int = 1 << 18) -> Iterator[tuple[np.ndarray,
             yield some, np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(some), n).astype(np.uint64) + np.uint64(1)
 
 
-def _forward(found: list[np.ndarray], table: np.ndarray, n: int, keep: bool = False):
-    """Log-probabilities (words, columns of ``table``), or with ``keep`` all scaled sums and scales."""
+def _forward(found: list[np.ndarray], table: np.ndarray, n: int) -> np.ndarray:
+    """Log-probabilities (words, columns of ``table``)."""
     words = found[0].shape[0]
     alpha = np.zeros((n + 1, words, table.shape[1]))
     alpha[0] = 1.0
-    logs = np.zeros(words)
-    scales = np.ones((n + 1, words))
+    logs = np.zeros((words, table.shape[1]))
     steps = [table[f.T] for f in found]
     for e in range(1, n + 1):
         for k in range(min(len(found), e)):
             alpha[e] += alpha[e - k - 1] * steps[k][e - k - 1]
-        if e % LONGEST == 0 or keep:
-            top = np.maximum(alpha[e].max(axis=1), 1e-290)
-            alpha[max(0, e - LONGEST + 1) : e + 1] /= top[None, :, None]
+        if e % LONGEST == 0:
+            top = np.maximum(alpha[e], 1e-290)
+            alpha[max(0, e - LONGEST + 1) : e + 1] /= top
             logs += np.log(top)
-            scales[e] = top
-    if keep:
-        return alpha, scales, steps, logs
-    return np.log(np.maximum(alpha[n], 1e-300)) + logs[:, None]
+    return np.log(np.maximum(alpha[n], 1e-300)) + logs
+
+
+def _long_score(pieces: Pieces, table: np.ndarray, word: str) -> np.ndarray:
+    """Log-probabilities of one word, in stretches that hand on the sums of their last characters."""
+    points = np.frombuffer(("▁" + word).encode("utf-32-le"), np.uint32).astype(np.uint64)[None, :] + np.uint64(1)
+    n = points.shape[1]
+    past = np.zeros((LONGEST, table.shape[1]))  # sums at the last LONGEST places; the last one is the place reached
+    past[-1] = 1.0
+    log = np.zeros(table.shape[1])
+    for start in range(0, n, STRETCH):
+        end, back = min(start + STRETCH, n), min(start, LONGEST - 1)
+        found = pieces.find(points[:, start - back : end])
+        alpha = np.concatenate([past, np.zeros((end - start, table.shape[1]))])
+        steps = [table[f[0]] for f in found]
+        for e in range(1, end - start + 1):
+            for k in range(min(len(found), start + e)):
+                alpha[LONGEST - 1 + e] += alpha[LONGEST - 2 + e - k] * steps[k][back + e - k - 1]
+            if e % LONGEST == 0 or e == end - start:
+                top = np.maximum(alpha[LONGEST - 1 + e], 1e-290)
+                alpha[e : LONGEST + e] /= top
+                log += np.log(top)
+        past = alpha[-LONGEST:]
+    return np.log(np.maximum(past[-1], 1e-300)) + log
 
 
 def word_scores(pieces: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
     out = np.zeros((len(words), table.shape[1]))
-    for some, points in _blocks(words):
-        out[some] = _forward(pieces.find(points), table, points.shape[1])
+    short = [k for k, w in enumerate(words) if len(w) < STRETCH]
+    for some, points in _blocks([words[k] for k in short]) if short else ():
+        out[np.array(short)[some]] = _forward(pieces.find(points), table, points.shape[1])
+    if len(short) < len(words):
+        for k, w in enumerate(words):
+            if len(w) >= STRETCH:
+                out[k] = _long_score(pieces, table, w)
     return out
 
 
@@ -123,21 +155,24 @@ def expected(pieces: Pieces, column: np.ndarray, words: list[str], counts: np.nd
     for some, points in _blocks(words, 1 << 15):
         n, found = points.shape[1], pieces.find(points)
         steps = [column[f] for f in found]
-        fwd, bwd = np.zeros((n + 1, len(some))), np.zeros((n + 1, len(some)))
-        # scaled by a fixed factor a character, which cancels: all segmentations have n characters
-        grow = 30.0
+        fwd, bwd, scale = np.zeros((n + 1, len(some))), np.zeros((n + 1, len(some))), np.ones((n + 1, len(some)))
+        # all sums up to a place are divided by that place's scale, so they stay near one at any length
         fwd[0] = bwd[n] = 1.0
         for e in range(1, n + 1):
+            reach = np.ones(len(some))
             for k in range(min(len(found), e)):
-                fwd[e] += fwd[e - k - 1] * steps[k][:, e - k - 1] * grow ** (k + 1)
+                if k:
+                    reach = reach / scale[e - k]
+                fwd[e] += fwd[e - k - 1] * steps[k][:, e - k - 1] * reach
+            scale[e] = np.maximum(fwd[e], 1e-290)
+            fwd[e] /= scale[e]
         for s in range(n - 1, -1, -1):
+            reach = np.ones(len(some))
             for k in range(min(len(found), n - s)):
-                bwd[s] += bwd[s + k + 1] * steps[k][:, s] * grow ** (k + 1)
-        weight = counts[some] / np.maximum(fwd[n], 1e-300)
-        for k in range(len(found)):
-            for s in range(n - k):
-                use = fwd[s] * steps[k][:, s] * grow ** (k + 1) * bwd[s + k + 1] * weight
-                total += np.bincount(found[k][:, s], use, len(column))
+                reach = reach / scale[s + k + 1]
+                step = steps[k][:, s] * reach
+                total += np.bincount(found[k][:, s], fwd[s] * step * bwd[s + k + 1] * counts[some], len(column))
+                bwd[s] += bwd[s + k + 1] * step
     return total
 
 
@@ -148,7 +183,9 @@ def _word_counts(batches: Iterator) -> Iterator:
     for batch in batches:
         count: Counter = Counter()
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            count.update((lang, w.decode("utf-8").lower()) for w in (text or "").encode().split() if len(w) <= 64)
+            for raw in (text or "").encode().split():
+                w = raw.decode("utf-8").lower()
+                count.update((lang, w[i : i + STRETCH]) for i in range(0, len(w), STRETCH))
         yield pa.record_batch([pa.array([k[0] for k in count], pa.string()), pa.array([k[1] for k in count], pa.string()),
                                pa.array(list(count.values()), pa.int64())], names=["lang", "word", "n"])
 
@@ -156,8 +193,10 @@ def _word_counts(batches: Iterator) -> Iterator:
 def fit(docs: DataFrame, vocabulary: str | None = None, per_language: int = FIT_DOCS, rounds: int = ROUNDS):
     """(languages, probabilities by piece and language) from ``docs`` (doc_id, text, lang)."""
     docs = docs.where("doc_id is not null and lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     langs = sorted(sizes)
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"{len(langs)} languages to learn, at most {MOST_LANGUAGES}")
     pieces = Pieces(vocabulary)
     size = pieces.size + 2
     table = np.zeros((size, len(langs)))
