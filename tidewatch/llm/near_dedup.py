@@ -11,12 +11,15 @@
    read again only inside the collision count of a pair that met in a short list.
 4. A list never gives all its pairs. First each list pairs its members with one member, for a
    few different choices of that member; found links merge classes into components. What stays
-   is compared across components only, so no link between components is lost.
+   is compared across components only, so no link between components is lost. Members of one large
+   component in a list have blocks of their own there, which are never compared with each other.
 5. Pairs with enough collisions are confirmed on their full sets.
 
 Defined cases: null or blank texts have empty sets and link with nothing; a null ``doc_id``
-links with nothing and is not kept; rows that share a ``doc_id`` are one document; other
-columns of the input are neither read nor returned.
+links with nothing and is not kept; rows that share a ``doc_id`` are one document, linked by any of
+their texts, and rows without a set follow it; very long texts are read whole, in one task each; an
+empty table gives an empty result; a component's name is its smallest ``doc_id``, so ties don't occur; other
+columns of the input, whatever their names, are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ SIGNATURE = 64
 MISS = 1e-6
 STAR_ROUNDS = 3
 BLOCK_ROWS, BLOCK_GRAMS, SUB = 2048, 2_000_000, 256
+KEY = ("n_shingles", "k1", "k2")
 _MULT = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,13 +71,10 @@ def _signatures(words: int, size: int):
             for i, j in wordhash.chunks(offs):
                 flat, at = _text_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
                 n = np.diff(at)
-                some = np.flatnonzero(n)
-                k1, k2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+                some, k1, k2 = _keys_of(flat, at)
                 sig = np.zeros((len(some), size), np.uint32)
                 if len(some):
                     start = at[:-1][some]
-                    k1[some] = np.add.reduceat(wordhash.mix(flat + np.uint64(1)), start)
-                    k2[some] = np.add.reduceat(wordhash.mix(flat ^ np.uint64(0x5DEECE66D)), start)
                     for c in range(size):
                         sig[:, c] = np.minimum.reduceat(flat * _MULT[c], start) >> np.uint64(32)
                 lists = np.zeros(len(n) + 1, np.int32)
@@ -83,11 +84,22 @@ def _signatures(words: int, size: int):
                     pa.array(n, pa.int64()),
                     pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(lists), pa.array(sig.reshape(-1).view(np.int32))),
-                ], names=["doc_id", "n_shingles", "k1", "k2", "sig"])
+                ], names=["doc_id", *KEY, "sig"])
 
     return run
 
 
+def _keys_of(flat: np.ndarray, at: np.ndarray):
+    """Two sums over each set's hashes; with its size they name the set."""
+    some = np.flatnonzero(np.diff(at))
+    k1, k2 = np.zeros(len(at) - 1, np.uint64), np.zeros(len(at) - 1, np.uint64)
+    if len(some):
+        start = at[:-1][some]
+        k1[some] = np.add.reduceat(wordhash.mix(flat + np.uint64(1)), start)
+        k2[some] = np.add.reduceat(wordhash.mix(flat ^ np.uint64(0x5DEECE66D)), start)
+    return some, k1, k2
+
+
 def _sets(words: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -96,10 +108,12 @@ def _sets(words: int):
             data, offs = wordhash.string_buffers(batch.column(1))
             for i, j in wordhash.chunks(offs):
                 flat, at = _text_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], words)
+                _, k1, k2 = _keys_of(flat, at)
                 yield pa.record_batch([
-                    batch.column(0).slice(i, j - i),
+                    batch.column(0).slice(i, j - i), pa.array(np.diff(at), pa.int64()),
+                    pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int64))),
-                ], names=["id", "grams"])
+                ], names=["low", *KEY, "grams"])
 
     return run
 
@@ -217,22 +231,43 @@ def _tile_links(percent: int, need: int):
     return run
 
 
+def _blocks(g: str, grams: str):
+    return F.greatest(F.ceil(F.col(g) / BLOCK_ROWS), F.ceil(F.col(grams) / BLOCK_GRAMS), F.lit(1))
+
+
 def _across(now: DataFrame, hubs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, need: int) -> DataFrame:
     """Links between members of a list that are in different components, all of them compared.
 
     A list is cut into blocks of at most BLOCK_ROWS members and about BLOCK_GRAMS windows; two
-    blocks are one unit of work. A pair is compared in the first of its common lists only, and
-    only links that join components come out, so the output is no longer than the members.
+    blocks are one unit of work. A component that fills more than one block has blocks of its own, and
+    two of these are no unit: its members go to the blocks of the others only. A pair is compared in the
+    first of its common lists only, and only links that join components come out, so the output is no
+    longer than the members.
     """
-    lists = (
-        now.join(hubs.select("value"), "value").groupBy("value")
-        .agg(F.count("*").alias("g"), F.sum("n").alias("grams"))
-        .select("value", F.greatest(F.ceil(F.col("g") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).alias("blocks"))
+    held = now.join(hubs.select("value"), "value")
+    shares = held.groupBy("value", "label").agg(F.count("*").alias("g"), F.sum("n").alias("grams")).withColumn("blocks", _blocks("g", "grams"))
+    large = shares.where("blocks > 1").select("value", F.col("label").alias("only"), "blocks")
+    pool = (
+        shares.where("blocks = 1").groupBy("value").agg(F.sum("g").alias("g"), F.sum("grams").alias("grams"))
+        .select("value", F.lit(None).cast("long").alias("only"), _blocks("g", "grams").alias("blocks"))
+    )
+    parts = store.saved(large.unionByName(pool), "blocks")
+    name = F.xxhash64("only", "k")
+    others = (
+        parts.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .groupBy("value").agg(F.collect_list(F.struct(name.alias("block"), "only")).alias("others"))
+    )
+    own = (
+        held.join(parts.where("only is not null").withColumnRenamed("only", "label").withColumnRenamed("blocks", "own"), ["value", "label"], "left")
+        .join(parts.where("only is null").select("value", F.col("blocks").alias("pooled")), "value", "left")
+        .withColumn("only", F.when(F.col("own").isNotNull(), F.col("label")))
+        .withColumn("k", F.pmod(F.xxhash64("id"), F.coalesce("own", "pooled")))
+        .select("value", "id", "label", "only", name.alias("block"))
     )
     tiles = (
-        now.join(lists, "value").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("value", F.least("block", "other").alias("t"), F.greatest("block", "other").alias("u"), "block", "id", "label")
+        own.join(others, "value").select("value", "id", "label", "only", "block", F.explode("others").alias("o"))
+        .where("only is null or o.only is null or only <> o.only")
+        .select("value", F.least("block", "o.block").alias("t"), F.greatest("block", "o.block").alias("u"), "block", "id", "label")
         .join(classes.select("id", "sig", F.slice("values", F.lit(1), F.size("values") - need + 1).alias("prefix")), "id")
         .join(sets, "id")
     )
@@ -248,8 +283,11 @@ def _labelled(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
     return posted.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
 
 
-def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(id, component) of the classes of ``signed`` that are linked to a smaller class."""
+def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int, bridges: DataFrame | None = None) -> DataFrame:
+    """(id, component) of the classes of ``signed`` (id, low, n, the key, sig) that are linked to a smaller id.
+
+    ``low`` is the doc_id of one member; ``bridges`` (a, b) are pairs of classes that belong together anyway.
+    """
     need = match_threshold(percent)
     value = F.transform("sig", lambda v, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(v.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
     held = signed.select("id", "n", F.explode(value).alias("value"))
@@ -265,14 +303,16 @@ def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int
         classes.select("id", "n", F.explode(F.slice("values", F.lit(1), F.size("values") - need + 1)).alias("value")),
         "postings",
     )
-    some = classes.select("id").distinct()
+    some = store.saved(signed.select("id", "low", *KEY).join(classes.select("id"), "id", "left_semi"), "some")
+    n_some = some.count()
     sets = store.saved(
-        docs.select("doc_id", "text").join(store.hinted(some.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
-        .mapInArrow(_sets(words), "id long, grams array<long>")
-        .dropDuplicates(["id"]),
+        docs.select(F.col("doc_id").alias("low"), "text").join(store.hinted(some.select("low").distinct(), n_some), "low", "left_semi")
+        .mapInArrow(_sets(words), "low long, n_shingles long, k1 long, k2 long, grams array<long>")
+        .dropDuplicates(["low", *KEY]).join(store.hinted(some, n_some), ["low", *KEY]).select("id", "grams"),
         "sets",
     )
-    links, labels = None, None
+    links = bridges
+    labels = None if links is None else components(links)
     for turn in range(STAR_ROUNDS + 1):
         now = _labelled(posted, labels)
         first = F.min("id") if turn == 0 else F.min_by("id", F.xxhash64("id", F.lit(turn)))
@@ -303,27 +343,48 @@ def similar_classes(signed: DataFrame, docs: DataFrame, words: int, percent: int
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     signed = store.saved(
-        docs.select("doc_id", "text").mapInArrow(
+        store.spread(docs.select("doc_id", "text")).mapInArrow(
             _signatures(words, SIGNATURE), "doc_id long, n_shingles long, k1 long, k2 long, sig array<int>"
         ),
         "signatures",
     )
-    key = ["n_shingles", "k1", "k2"]
+    key = list(KEY)
     classes = store.saved(
         signed.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
-        .agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-        .withColumn("n", F.col("n_shingles")),
+        .agg(F.min("doc_id").alias("low"), F.first("sig").alias("sig"))
+        .withColumn("n", F.col("n_shingles")).withColumn("id", F.monotonically_increasing_id()),
         "sets-by-key",
     )
-    labels = similar_classes(classes.select("id", "n", "sig"), docs, words, percent)
+    # ids of rows with different texts: their classes belong together
+    several = store.saved(
+        signed.where("doc_id is not null").groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in key for f in (F.min, F.max)])
+        .where(" or ".join(f"min_{c} <> max_{c}" for c in key)).select("doc_id"),
+        "several-texts",
+    )
+    n_several = several.count()
+    held, bridges = None, None
+    if n_several:
+        held = store.saved(
+            signed.select("doc_id", *key).join(store.hinted(several, n_several), "doc_id", "left_semi").distinct()
+            .join(classes.select("id", *key), key).select("doc_id", "id"),
+            "held",
+        )
+        firsts = held.groupBy("doc_id").agg(F.min("id").alias("a"))
+        bridges = held.join(firsts, "doc_id").where("a <> id").select("a", F.col("id").alias("b"))
+    labels = similar_classes(classes, docs, words, percent, bridges)
+    # a component's name: the smallest doc_id of its classes
+    members = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
+    lows = members.join(classes.select("id", "low"), "id").groupBy("component").agg(F.min("low").alias("name"))
     by_key = (
-        classes.select(*key, "id").join(labels, "id", "left")
-        .select(*key, F.coalesce("component", "id").alias("class_component"))
+        classes.select(*key, "id", "low").join(members.join(lows, "component").select("id", "name"), "id", "left")
+        .select(*key, "id", F.coalesce("name", "low").alias("own"))
     )
-    own = F.coalesce(F.when(F.col("n_shingles") > 0, F.least("class_component", "doc_id")), F.col("doc_id"))
+    out = signed.select("doc_id", *key).join(by_key.drop("id"), key, "left")
+    if n_several:
+        alike = held.join(by_key, "id").groupBy("doc_id").agg(F.min("own").alias("other"))
+        out = out.join(store.hinted(alike, n_several), "doc_id", "left").withColumn("own", F.coalesce("own", "other"))
     return (
-        signed.select("doc_id", *key).join(by_key, key, "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+        out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("own", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
@@ -331,15 +392,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def keep_one_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without all but the smallest doc_id of each group of near copies.
 
-    Of rows that share a ``doc_id`` one stays. Rows with a null ``doc_id`` stay as they are.
+    Of rows that share a ``doc_id`` the one whose text hashes lowest stays. Rows with a null ``doc_id`` stay as they are.
     """
     found = store.saved(near_duplicates(docs, words, percent).where("doc_id is not null"), "near")
     gone = found.where("not kept").select("doc_id").distinct()
     again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(store.hinted(gone), "doc_id", "left_anti")
+    left = docs.join(store.hinted(gone), "doc_id", "left_anti").select(*docs.columns)
     n_again = again.count()
     if n_again:
         again = store.hinted(again, n_again)
-        left = left.join(again, "doc_id", "left_anti").unionByName(
-            left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return left.select(*docs.columns)
+        one = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.length("text"))).alias("row"))
+        left = left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select("row.*"))
+    return left
