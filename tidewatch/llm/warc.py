@@ -4,21 +4,27 @@ Writing: one response record per page, its HTTP block in chunked transfer framin
 equal payloads of at least ``REVISIT_FROM`` bytes the one with the largest id is the response,
 the others are revisit records that refer to it. A block longer than a segment is cut: the
 first part stays in the response (segment 1), the others are continuation records that name the
-origin's record id; the last one also states the total length. Archives are gzip files of a bounded
-number of records, written by Spark's own writer to any store it can reach.
-
-Reading: records that are whole are decoded where they are read. Segments are grouped by origin id,
-ordered by number, checked (numbers 1 to n once each, total length as stated) and joined, and then
-decoded; only they are shuffled. A group is one record, as long as one page. A record that fails a check
-comes out with ``complete`` false and no payload.
+origin's record id; the last one also states the total length. Each record is a gzip member of its own.
+Archives are written by Spark's text writer to any store it can reach: a row is a run of members, and the
+writer's separator is the zero byte with which a member ends (the top byte of its length). A file has at most
+``BUNDLES`` runs of about ``BUNDLE_BYTES`` before compression.
+
+Reading: gzip members are inflated one by one, so a task holds one file's compressed bytes and
+one run of records; plain archives are read as well. Each archive is read once. Records that are whole are decoded
+there. Segments are grouped by origin id, ordered by number, checked (numbers 1 to n once each, total
+length as stated) and joined, and then decoded; only they are shuffled. A group is one record, as long as one page.
+A record that fails a check (framing, length, segments) comes out with ``complete`` false and no payload; bytes
+that are no record end that archive with one row without a record id, ``complete`` false. Files are limited to the
+2 GB that one binary value of Spark holds.
 
 Defined cases: a null page is an empty payload; a null id or url is an empty header and comes back as
-null; pages that repeat id and payload are all responses if they are the largest id; an empty table
-gives no archive records; extra columns are ignored.
+null; pages that repeat id and payload are all responses if they are the largest id; very long pages are cut into
+segments of bounded size; an empty table gives no archive records; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +33,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm import store
 
 REVISIT_FROM = 1000
-SEGMENT = 32 << 10
-CHUNK = 8 << 10
-RECORDS_PER_FILE = 2048
+SEGMENT = 8 << 10
+CHUNK = 4 << 10
+BUNDLES, BUNDLE_BYTES = 16, 4 << 20
 _DATE = "2024-01-01T00:00:00Z"
 _FIELDS = "record_id string, page_id long, url string, record_type string, refers_to long, digest string"
 
@@ -86,6 +92,13 @@ def _page_records(page, url, number, payload, digest, target, segment) -> list[b
     return out
 
 
+def _member(record: bytes) -> bytes:
+    """One gzip member that ends with a zero byte."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    out = packer.compress(record) + packer.flush()
+    return out if out.endswith(b"\0") else out + b"\0"
+
+
 def _writer(segment: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -95,21 +108,21 @@ def _writer(segment: int):
             pages = batch.column("html").cast(pa.binary())
             held, size = [], 0
             for k, (page, url, number, digest, target) in enumerate(zip(*cols)):
-                # the text writer adds the line feed that ends a record
-                new = [r[:-1] for r in _page_records(page, url, number, pages[k].as_py() or b"", digest, target, segment)]
-                held += new
-                size += sum(map(len, new))
-                if size > 4 << 20:
-                    yield pa.record_batch([pa.array(held, pa.binary())], names=["record"])
-                    held, size = [], 0
+                for record in _page_records(page, url, number, pages[k].as_py() or b"", digest, target, segment):
+                    held.append(_member(record))
+                    size += len(record)
+                    if size > BUNDLE_BYTES:
+                        # the text writer adds the zero byte that ends the last member
+                        yield pa.record_batch([pa.array([b"".join(held)[:-1]], pa.binary())], names=["records"])
+                        held, size = [], 0
             if held:
-                yield pa.record_batch([pa.array(held, pa.binary())], names=["record"])
+                yield pa.record_batch([pa.array([b"".join(held)[:-1]], pa.binary())], names=["records"])
 
     return run
 
 
 def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
-    """Write ``pages`` (page_id, url, html) as .gz archives under ``path``."""
+    """Write ``pages`` (page_id, url, html) as gzip archives under ``path``."""
     body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     d = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.sha1(body).alias("digest"),
                      F.octet_length(body).alias("size"))
@@ -122,23 +135,50 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
     target = F.when(F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top")), F.col("top"))
     rows = d.select("page_id", "url", "html", "digest", target.alias("target"), F.monotonically_increasing_id().alias("n"))
     (
-        rows.mapInArrow(_writer(segment), "record binary").select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+        rows.mapInArrow(_writer(segment), "records binary").select(F.col("records").cast("string").alias("value"))
+        .write.option("lineSep", "\0").option("maxRecordsPerFile", BUNDLES).text(path)
     )
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive."""
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The members of a gzip file, zero bytes between them skipped; a plain file as it is."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError("no WARC record here")
-        head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(head["content-length"])
-        yield head, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+        if data[at] == 0:
+            at += 1
+            continue
+        member, parts = zlib.decompressobj(31), []
+        while at < len(data) and not member.eof:
+            parts.append(member.decompress(data[at : at + (1 << 16)]))
+            at += min(1 << 16, len(data) - at) - len(member.unused_data)
+        if not member.eof:
+            raise ValueError("gzip member without its end")
+        yield b"".join(parts)
+
+
+def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """(headers, block, whether the block is as long as stated) of each record of an archive.
+
+    Raises ValueError where the bytes are no record; those before it have come out by then.
+    """
+    try:
+        for part in _inflated(data):
+            at = 0
+            while at < len(part):
+                end = part.index(b"\r\n\r\n", at)
+                lines = part[at:end].decode("utf-8").split("\r\n")
+                if not lines[0].startswith("WARC/"):
+                    raise ValueError("no WARC record here")
+                head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+                size = int(head.get("content-length", ""))
+                block = part[end + 4 : end + 4 + size]
+                yield head, block, len(block) == size and part[end + 4 + size : end + 8 + size] == b"\r\n\r\n"
+                at = end + 8 + size
+    except zlib.error as broken:
+        raise ValueError("broken gzip member") from broken
 
 
 def _http_payload(block: bytes) -> bytes:
@@ -146,80 +186,85 @@ def _http_payload(block: bytes) -> bytes:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text.lstrip("-").isdecimal() else None
+
+
 def _page(head: dict[str, str]):
     refers = head.get("warc-refers-to", "")
-    return (head.get("warc-record-id"), int(head["x-page-id"]) if head.get("x-page-id") else None,
-            head.get("warc-target-uri") or None, head.get("warc-type"),
-            int(refers[len("<urn:page:"):-1]) if refers else None, head.get("warc-payload-digest", "").partition(":")[2] or None)
-
+    return (head.get("warc-record-id"), _number(head.get("x-page-id")), head.get("warc-target-uri") or None, head.get("warc-type"),
+            _number(refers.removeprefix("<urn:page:").removesuffix(">")), head.get("warc-payload-digest", "").partition(":")[2] or None)
 
-def _reader(segments: bool):
-    import zlib
 
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+_NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
+_READ = _FIELDS + ", origin string, number long, total long, block binary, payload binary, complete boolean"
 
-        names = [f.split()[0] for f in _FIELDS.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-        more = ["origin", "number", "total", "block"] if segments else ["payload", "complete"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.binary()] if segments else [pa.binary(), pa.bool_()]
 
-        def batch_of(rows):
-            cols = list(zip(*rows)) or [()] * (len(names) + len(more))
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds + types)], names=names + more)
+def _reader(batches: Iterator) -> Iterator:
+    """Whole records with their payloads, and segments with their origin and blocks."""
+    import pyarrow as pa
 
-        for batch in batches:
-            for content in batch.column("content"):
-                rows, size = [], 0
-                for head, block in records(zlib.decompress(content.as_py(), 31)):
-                    part = "warc-segment-number" in head
-                    if part != segments:
-                        continue
-                    if segments:
-                        total = head.get("warc-segment-total-length")
-                        rows.append((*_page(head), head.get("warc-segment-origin-id", head["warc-record-id"]),
-                                     int(head["warc-segment-number"]), int(total) if total else None, block))
-                    else:
-                        try:
-                            rows.append((*_page(head), None if head.get("warc-type") == "revisit" else _http_payload(block), True))
-                        except ValueError:
-                            rows.append((*_page(head), None, False))
+    names = [f.split()[0] for f in _READ.split(", ")]
+    types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    kinds = [types[f.split()[1]] for f in _READ.split(", ")]
+
+    def batch_of(rows):
+        cols = list(zip(*rows)) or [()] * len(names)
+        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+    def row_of(head, block, sound):
+        if "warc-segment-number" in head and (head.get("warc-segment-origin-id") or head.get("warc-record-id")):
+            return (*_page(head), head.get("warc-segment-origin-id") or head.get("warc-record-id"), _number(head["warc-segment-number"]),
+                    _number(head.get("warc-segment-total-length")), block, None, sound)
+        payload = None
+        if sound and head.get("warc-type") != "revisit":
+            try:
+                payload = _http_payload(block)
+            except ValueError:
+                sound = False
+        return (*_page(head), None, None, None, None, payload, sound)
+
+    for batch in batches:
+        for content in batch.column("content"):
+            rows, size = [], 0
+            try:
+                for head, block, sound in records(content.as_py()):
+                    rows.append(row_of(head, block, sound))
                     size += len(block)
                     if size > 4 << 20:
                         yield batch_of(rows)
                         rows, size = [], 0
-                if rows:
-                    yield batch_of(rows)
-
-    return run
+            except ValueError:
+                rows.append((None,) * (len(names) - 1) + (False,))
+            if rows:
+                yield batch_of(rows)
 
 
 def _joined(key, table):
     import pyarrow as pa
 
-    rows = sorted(table.to_pylist(), key=lambda r: r["number"])
+    rows = sorted(table.to_pylist(), key=lambda r: r["number"] or 0)
     first = rows[0]
     block = b"".join(r["block"] for r in rows)
-    sound = [r["number"] for r in rows] == list(range(1, len(rows) + 1)) and rows[-1]["total"] == len(block) and len(rows) > 1
+    sound = ([r["number"] for r in rows] == list(range(1, len(rows) + 1)) and rows[-1]["total"] == len(block) and len(rows) > 1
+             and all(r["complete"] for r in rows))
     payload = None
     if sound:
         try:
             payload = _http_payload(block)
         except ValueError:
             sound = False
-    names = [f.split()[0] for f in _FIELDS.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.bool_()]
-    values = [first[c] for c in names] + [payload, sound]
-    return pa.table([pa.array([v], t) for v, t in zip(values, kinds)], names=[*names, "payload", "complete"])
+    values = [first[c] for c in _NAMES] + [payload, sound]
+    return pa.table([pa.array([v], t) for v, t in zip(values, kinds)], names=[*_NAMES, "payload", "complete"])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """record_id, page_id, url, record_type, refers_to, digest, payload (null for revisits), complete."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    whole = files.mapInArrow(_reader(False), _FIELDS + ", payload binary, complete boolean")
-    parts = files.mapInArrow(_reader(True), _FIELDS + ", origin string, number long, total long, block binary")
-    joined = parts.groupBy("origin").applyInArrow(_joined, _FIELDS + ", payload binary, complete boolean")
-    return whole.unionByName(joined)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    read = store.saved(files.mapInArrow(_reader, _READ), "warc-read")
+    joined = read.where("origin is not null").groupBy("origin").applyInArrow(_joined, _FIELDS + ", payload binary, complete boolean")
+    return read.where("origin is null").select(*_NAMES, "payload", "complete").unionByName(joined)
 
 
 def round_trip(pages: DataFrame, segment: int = SEGMENT) -> DataFrame:
@@ -228,7 +273,7 @@ def round_trip(pages: DataFrame, segment: int = SEGMENT) -> DataFrame:
     path = store.new_path(spark, "warc")
     write_archives(pages, path, segment)
     found = store.saved(
-        read_archives(spark, path).select(
+        read_archives(spark, path).where("record_id is not null").select(
             "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
             "record_type", "refers_to", "digest", "complete"),
         "warc-records",
