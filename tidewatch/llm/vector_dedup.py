@@ -16,8 +16,11 @@ all pairs. All comparisons are made (the number of tile pairs grows with the squ
 of vectors; tile size and memory don't).
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with
-nothing; vectors of different lengths never link; rows that share a ``vec_id`` are one vertex; a
-null ``vec_id`` links with nothing and is not kept.
+nothing; vectors of different lengths never link; rows that share a ``vec_id`` are one vertex, with the links of all
+its vectors, and ``n_links`` counts distinct other ids; a null ``vec_id`` links with nothing and is not kept; a
+component's name is its smallest id, so ties don't occur; an empty table gives an empty result; other columns of
+the input, whatever their names, are neither read nor returned. Of ids with several different vectors (none in a sound
+table) the tiles list all linked classes; of all others they only count.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ TILE = 8192
 _SUB = 1024
 _PART = 1024
 _SLACK = 1e-9
+COUNT, EDGE, NAMED = range(3)
 
 
 def _codes(v: np.ndarray):
@@ -94,17 +98,18 @@ def _tile_pair(limit: float):
         ids = table.column("id").to_numpy()
         tile = table.column("tile").to_numpy()
         weight = table.column("copies").to_numpy()
+        listed = table.column("listed").to_numpy(zero_copy_only=False)
         flat = table.column("vector").combine_chunks()
         vectors = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim).astype(np.float64)
         order = np.lexsort((ids, tile))
-        ids, tile, weight, vectors = ids[order], tile[order], weight[order], vectors[order]
+        ids, tile, weight, listed, vectors = ids[order], tile[order], weight[order], listed[order], vectors[order]
         # scaled by the largest component first, so that no square over- or underflows
         vectors /= np.abs(vectors).max(axis=1)[:, None]
         vectors /= np.sqrt((vectors * vectors).sum(axis=1))[:, None]
         q, scale, err = _codes(vectors)
         n = len(ids)
         links, parent = np.zeros(n, np.int64), np.arange(n)
-        edges = []
+        edges, named = [], []
         cut = int(np.searchsorted(tile, u)) if t != u else n
         left = range(0, cut if t != u else n, _SUB)
         for a in left:
@@ -125,12 +130,15 @@ def _tile_pair(limit: float):
                 i, j = i[sure] + a, j[sure] + b
                 links += np.bincount(i, weight[j], n).astype(np.int64) + np.bincount(j, weight[i], n).astype(np.int64)
                 edges.append(_merge(parent, i, j))
+                tell = listed[i] | listed[j]
+                named += [np.stack([i[tell], j[tell]]), np.stack([j[tell], i[tell]])]
         hit = np.flatnonzero(links)
-        e = np.concatenate(edges, axis=1) if edges else np.zeros((2, 0), np.int64)
+        e, m = (np.concatenate(x, axis=1) if x else np.zeros((2, 0), np.int64) for x in (edges, named))
         return pa.table({
-            "id": pa.array(np.r_[ids[hit], ids[e[0]]], pa.int64()),
-            "other": pa.array(np.r_[np.full(len(hit), -1), ids[e[1]]], pa.int64(), mask=np.r_[np.ones(len(hit), bool), np.zeros(e.shape[1], bool)]),
-            "links": pa.array(np.r_[links[hit], np.zeros(e.shape[1], np.int64)], pa.int64()),
+            "kind": pa.array(np.repeat([COUNT, EDGE, NAMED], [len(hit), e.shape[1], m.shape[1]]), pa.int32()),
+            "id": pa.array(ids[np.r_[hit, e[0], m[0]]], pa.int64()),
+            "other": pa.array(ids[np.r_[hit, e[1], m[1]]], pa.int64()),
+            "links": pa.array(np.r_[links[hit], np.zeros(e.shape[1] + m.shape[1], np.int64)], pa.int64()),
         })
 
     return run
@@ -142,33 +150,65 @@ def linked_vectors(vectors: DataFrame, limit: float = 0.9, tile: int = TILE) ->
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = F.coalesce((F.size(v) > 0) & ~bad & F.exists(v, lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     rows = vectors.select("vec_id", "embedding", sound.alias("sound"))
+    members = store.saved(rows.where("sound").select("vec_id", "embedding").distinct(), "members")
+    several = store.saved(members.groupBy("vec_id").count().where("count > 1").select("vec_id"), "several-vectors")
+    n_several = several.count()
+    flagged = members.join(store.hinted(several, n_several).withColumn("many", F.lit(True)), "vec_id", "left") if n_several else (
+        members.withColumn("many", F.lit(None).cast("boolean")))
+    # a class: equal vectors; ``copies`` counts its members with one vector only, ``listed`` tells that there are others
     classes = store.saved(
-        rows.where("sound").groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("copies")),
+        flagged.groupBy("embedding")
+        .agg(F.min("vec_id").alias("low"), F.count_if(F.col("many").isNull()).alias("copies"), (F.count_if("many") > 0).alias("listed"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "vectors",
     )
     n = classes.count()
     tiles = max(1, -(-n // tile))
     own = F.pmod(F.xxhash64("id"), F.lit(tiles))
     dealt = (
-        classes.select("id", "copies", F.col("embedding").cast("array<double>").alias("vector"), own.alias("tile"))
+        classes.select("id", "copies", "listed", F.col("embedding").alias("vector"), own.alias("tile"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
         .select(F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), F.size("vector").alias("dim"),
-                "id", "copies", "vector", "tile")
+                "id", "copies", "listed", "vector", "tile")
     )
     parts = min(tiles * (tiles + 1) // 2, 4096)
     found = store.saved(
-        dealt.repartition(parts, "t", "u").groupBy("t", "u", "dim").applyInArrow(_tile_pair(limit), "id long, other long, links long"),
+        dealt.repartition(parts, "t", "u").groupBy("t", "u", "dim").applyInArrow(
+            _tile_pair(limit), "kind int, id long, other long, links long"),
         "vector-links",
     )
-    labels = components(found.where("other is not null"), "id", "other")
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    done = (
-        classes.join(labels, "id", "left").join(counts, "id", "left")
-        .select("embedding", F.coalesce("component", "id").alias("component"),
-                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    )
+    edges = found.where(f"kind = {EDGE}").select("id", "other")
+    again = None
+    if n_several:
+        again = store.saved(
+            members.join(store.hinted(several, n_several), "vec_id", "left_semi").join(classes.select("embedding", "id", "copies"), "embedding")
+            .select("vec_id", "id", "copies"), "several-classes")
+        firsts = again.groupBy("vec_id").agg(F.min("id").alias("other"))
+        edges = edges.unionByName(again.join(firsts, "vec_id").where("id <> other").select("id", "other"))
+    labels = components(edges, "id", "other")
+    joined = labels.unionByName(labels.select(F.col("component").alias("id"), "component").distinct())
+    lows = joined.join(classes.select("id", "low"), "id").groupBy("component").agg(F.min("low").alias("name"))
+    names = joined.join(lows, "component").select("id", "name")
+    counts = found.where(f"kind = {COUNT}").groupBy("id").agg(F.sum("links").alias("links"))
+    done = classes.join(names, "id", "left").join(counts, "id", "left")
+    links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    if n_several:
+        # distinct ids with several vectors in a class or its links
+        near = found.where(f"kind = {NAMED}").select("id", "other").unionByName(again.select("id", F.col("id").alias("other"))).distinct()
+        guests = near.join(again.select(F.col("id").alias("other"), "vec_id"), "other").groupBy("id").agg(F.count_distinct("vec_id").alias("guests"))
+        done, links = done.join(guests, "id", "left"), links + F.coalesce("guests", F.lit(0))
+    done = done.select("embedding", F.coalesce("name", "low").alias("component_id"), links.alias("n_links"))
     lost = rows.where("not sound").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    linked = rows.where("sound").join(done, "embedding").select(
-        "vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
-    return linked.unionByName(lost).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    linked = rows.where("sound").join(done, "embedding")
+    if n_several:
+        reach = again.select("vec_id", "id").join(near, "id").select("vec_id", "other").distinct()
+        alone = reach.join(classes.select(F.col("id").alias("other"), "copies"), "other").groupBy("vec_id").agg(F.sum("copies").alias("alone"))
+        guests = (
+            reach.join(again.select(F.col("id").alias("other"), F.col("vec_id").alias("guest")), "other")
+            .groupBy("vec_id").agg((F.count_distinct("guest") - 1).alias("guests"))
+        )
+        whole = alone.join(guests, "vec_id").select("vec_id", (F.col("alone") + F.col("guests")).alias("whole"))
+        linked = linked.join(store.hinted(whole, n_several), "vec_id", "left").withColumn("n_links", F.coalesce("whole", "n_links"))
+    return linked.select("vec_id", "n_links", "component_id").unionByName(lost).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
