@@ -11,7 +11,8 @@ words after "passphrase is" are priced one word only, as they can't be told from
 
 The dictionary is the list of whole words of a public vocabulary file; a word's place there is its rank.
 
-Defined cases: null text counts as empty; offsets are code points of the whole text, end
+Defined cases: null text counts as empty; an empty table gives an empty result; very long texts are read whole; equal
+starts are ordered by kind; offsets are code points of the whole text, end
 exclusive; repeated rows give repeated results; other columns are ignored by ``scan`` and kept by
 ``redacted``.
 """
@@ -40,8 +41,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: Blanks around a separator: any run of spaces and tabs, with one line break at most.
 _GAP = r"[\x20\t]*+(?:\r?\n[\x20\t]*+)?"
 _LINK = r"""["'`)\]]{0,2}""" + _GAP + r"""(?:[:=]{1,2}>?|->)"""
-_WORDS = (r"""(?:passphrase|passcode|passwd|password|pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
-          r"""|credentials?|bearer|auth(?:orization)?|login)""")
+#: The words "pass", "pin" and the like start a word, or a hump of one (dbPass); those that end no other word may end a longer one.
+_WORDS = (r"""(?:passphrase|passcode|passwd|password|(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))"""
+          r"""(?:pass|pwd|pin|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"""
+          r"""|credentials?|bearer|auth(?:orization)?|login))""")
 #: What may introduce a credential, and the value: the rest of that word.
 _BEFORE = _WORDS + r"(?:" + _LINK + r"|[\x20\t]++(?:is|was|to|be|as)\b:?|[\x20\t]++(?=[^\x20]*[0-9]))" + _GAP
 CONTEXT = re.compile(_BEFORE + r"""["'`]?([^\s"'`<>]{8,})""", re.I | re.A)
