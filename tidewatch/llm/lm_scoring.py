@@ -1,26 +1,33 @@
-"""Cross-entropy difference between a target and a background n-gram model.
+"""Cross-entropy difference between a target and a background bigram model over words.
 
-Both are models of order four over one shared vocabulary, the 256 bytes (A-Z in lower case), with
-the same smoothing, and matched in size: counts of the larger part are scaled down to the smaller
-one's total. The target part are the documents named by the caller, the background all
-others. With c the scaled counts, h the history and h' the history without its first token,
+Both models share one vocabulary, at most ``VOCABULARY`` words (A-Z in lower case, marks cut off) as frequent in all
+documents as the least count that leaves no more of them, and one symbol for all other words; both have the same
+smoothing and are matched in size: counts of the larger part are scaled down to the smaller one's total. The
+target part are the documents named by the caller, the background all others. A document never
+counts for itself: what it adds to its own part is taken off again. With c the scaled counts, N their total, V the symbols and
+h the word before (a mark at the start of a text),
 
-    p(w)     = (c(w) + 1) / (N + 256)
-    p(w | h) = (c(h w) + MU * p(w | h')) / (c(h) + MU)
+    p(w)     = (c(w) + 1) / (N + V)
+    p(w | h) = (c(h w) + MU * p(w)) / (c(h) + MU)
 
-Losses are bits a token, over all tokens of a text, the first three with a history padded with
-zeros; the score is the target loss minus the background loss: low is like the target.
+Losses are bits a word over a whole text; the score is the target loss minus the background loss: low is like the
+target.
 
-Counts cover all documents. They are combined in each task and again before the shuffle, so what
-moves is a row per distinct n-gram and task; lower orders are sums of the highest one, and the
-losses of all n-grams come from joins of count tables. Every n-gram of a document is in that table.
-Up to ``TABLE_ROWS`` n-grams (12 bytes each) it goes to the workers as a broadcast; beyond that documents
-are dealt into parts by a hash, each part asks for its own distinct n-grams only, and both ways of
-that exchange are linear in the text.
+What is gathered grows with the input: the counts of all distinct bigrams of all documents.
 
-Defined cases: null or empty texts have no tokens and null losses; a null id is never in the target;
-rows that repeat are documents each; an empty part gives the uniform distribution; extra columns
-are ignored.
+1. Words are counted by their hashes; the vocabulary is the one table that goes to the driver, with the single words' counts.
+2. Texts become symbols, two bytes a word, in chunks of about ``CHUNK_BYTES`` of text; a chunk is a row.
+3. A chunk posts its distinct bigrams and their counts to buckets (arrays of keys, so a row carries many); a bigram
+   that every text holds is posted once a chunk, never once a text.
+4. A bucket sums its bigrams and sends each chunk the totals of its own. A bigram that occurs once in all the corpus
+   is not sent: its only document leaves it out, so its count there is zero as for one that was never seen.
+5. Each chunk scores its texts with the answers.
+
+No step holds more than a chunk or a bucket, and buckets grow in number with the words of the corpus.
+
+Defined cases: null, empty and blank texts have no words and null losses; a null id is never in the target; rows that repeat
+are documents each; an empty part gives the uniform distribution; an empty table gives an empty result; words tied at
+the vocabulary's end stay out together; a very long text is a chunk of its own; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,181 +35,239 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm import store, wordhash
 
 MU = 4.0
-TABLE_ROWS = 6_000_000
-PART_BYTES = 16 << 20
-_FOLD = np.arange(256, dtype=np.uint32)
-_FOLD[65:91] += 32
-
-
-def _grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each byte, as 32 bits; zeros stand before a text."""
-    b = _FOLD[data]
-    out = b.copy()
-    text_start = np.repeat(offs[:-1], np.diff(offs))
-    place = np.arange(len(b)) - text_start
-    for k in (1, 2, 3):
-        back = np.zeros(len(b), np.uint32)
-        back[k:] = b[:-k] if k < len(b) else 0
-        out |= np.where(place >= k, back, np.uint32(0)) << np.uint32(8 * k)
-    return out
+VOCABULARY = 65_534
+START = 65_535
+CHUNK_BYTES = 16 << 20
+CHUNK_TEXTS = 200_000
+BUCKET_WORDS = 2_000_000
 
 
 def _merged(parts: list):
-    keys = np.concatenate([p[0] for p in parts])
-    u, which = np.unique(keys, return_inverse=True)
-    return u, *(np.bincount(which, np.concatenate([p[c] for p in parts]), len(u)).astype(np.int64) for c in (1, 2))
+    """(key, sums) of parts (key, counts) with equal keys added up."""
+    u, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return u, *(np.bincount(which, np.concatenate([p[c] for p in parts]), len(u)).astype(np.int64) for c in range(1, len(parts[0])))
 
 
-def _counter(batches: Iterator) -> Iterator:
+def _word_counter(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     held: list = []
     for batch in batches:
         data, offs = wordhash.string_buffers(batch.column(0))
-        target = np.array(batch.column(1).to_pylist(), bool)
         for i, j in wordhash.chunks(offs):
-            local = offs[i : j + 1] - offs[i]
-            g = _grams(data[offs[i] : offs[j]], local)
-            flag = np.repeat(target[i:j], np.diff(local))
-            for side, c in ((g[flag], 1), (g[~flag], 2)):
-                u, n = np.unique(side, return_counts=True)
-                z = np.zeros(len(u), np.int64)
-                held.append((u, n, z) if c == 1 else (u, z, n))
-            if sum(len(p[0]) for p in held) > 4_000_000:
-                held = [_merged(held)]
+            h = wordhash.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], stops=True)[0]
+            held.append(np.unique(h, return_counts=True))
+        if sum(len(p[0]) for p in held) > 2_000_000:
+            held = [_merged(held)]
+            if len(held[0][0]) > 1_000_000:
+                yield pa.record_batch([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], names=["word", "n"])
+                held = []
     if held:
-        u, t, b = _merged(held)
-        for k in range(0, len(u), 1 << 17):
-            s = slice(k, k + (1 << 17))
-            yield pa.record_batch([pa.array(u[s].astype(np.int64)), pa.array(t[s]), pa.array(b[s])], names=["gram", "t", "b"])
-
-
-def _losses(counts: DataFrame, totals: dict) -> DataFrame:
-    """(gram, lt, lb): bits of each n-gram's last token in both models, by joins of count tables."""
-    least = max(1, min(totals["t"], totals["b"]))
-    scale = {c: least / max(totals[c], 1) for c in "tb"}
-    d = counts.select("gram", *[(F.col(c) * scale[c]).alias(c) for c in "tb"])
-
-    def order(bits: int, history: bool) -> DataFrame:
-        key = F.shiftright("gram", 8) if history else F.col("gram")
-        return d.groupBy(key.bitwiseAND(F.lit((1 << bits) - 1)).alias("k")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-
-    # p(w), then one token of history more each time; the key of a step is the last tokens of the n-gram
-    size = F.lit(float(least)) + 256
-    p = order(8, False).select("k", *[((F.col(c) + 1) / size).alias(f"p{c}") for c in "tb"])
-    for n in (2, 3, 4):
-        own = order(8 * n, False) if n < 4 else d.withColumnRenamed("gram", "k")
-        past = order(8 * (n - 1), True).select(F.col("k").alias("h"), *[F.col(c).alias(f"h{c}") for c in "tb"])
-        joined = (
-            own.withColumn("h", F.shiftright("k", 8)).withColumn("s", F.col("k").bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1)))
-            .join(past, "h").join(p.withColumnRenamed("k", "s"), "s")
-        )
-        p = joined.select("k", *[((F.col(c) + MU * F.col(f"p{c}")) / (F.col(f"h{c}") + MU)).alias(f"p{c}") for c in "tb"])
-    return p.select(F.col("k").alias("gram"), *[(-F.log2(f"p{c}")).cast("float").alias(f"l{c}") for c in "tb"])
-
-
-class _Table:
-    """Losses by n-gram in an open-addressing table, looked up for many n-grams at once."""
-
-    def __init__(self, grams: np.ndarray, target: np.ndarray, background: np.ndarray):
-        self.keys = np.append(grams, 0).astype(np.uint32)
-        self.losses = np.stack([np.append(target, 0), np.append(background, 0)], axis=1).astype(np.float64)
-        bits = max(4, int(2 * len(grams) + 1).bit_length())
-        self.shift, self.mask = np.uint32(32 - bits), (1 << bits) - 1
-        self.slots = np.full(1 << bits, -1, np.int64)
-        left, at = np.arange(len(grams)), self._home(self.keys[:-1])
-        while len(left):
-            free = self.slots[at] < 0
-            self.slots[at[free]] = left[free]
-            stay = self.slots[at] != left
-            left, at = left[stay], (at[stay] + 1) & self.mask
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint32(2654435769)) >> self.shift).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        at = self._home(keys)
-        got = self.slots[at]
-        wrong = np.flatnonzero((self.keys[got] != keys) & (got >= 0))
-        at = at[wrong]
-        while len(wrong):
-            at = (at + 1) & self.mask
-            got[wrong] = self.slots[at]
-            stay = (self.keys[got[wrong]] != keys[wrong]) & (got[wrong] >= 0)
-            wrong, at = wrong[stay], at[stay]
-        return self.losses[got]
-
-
-def _text_scores(ids, text, table: _Table) -> Iterator:
+        u, n = _merged(held)
+        yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+
+def _vocabulary(texts: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of at most ``size`` words, all that are as frequent as the least of them."""
+    words = store.saved(texts.select("text").mapInArrow(_word_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # a row per distinct count: a few thousand for any corpus
+    sizes = words.groupBy("n").count().withColumn("upto", F.sum("count").over(Window.orderBy(F.desc("n"))))
+    least = sizes.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    return np.sort(words.where(F.col("n") >= least).select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
+
+
+def _encoder(shared, chunk_bytes: int):
+    """Texts as symbols: a row per chunk with the ids, sides and lengths of its texts."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        vocabulary = shared.value
+        ids, sides, lengths, symbols, size = [], [], [], [], 0
+
+        def row():
+            return pa.record_batch([
+                pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
+                pa.array([np.concatenate(sides)], pa.list_(pa.bool_())), pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
+                pa.array([b"".join(symbols)], pa.binary()),
+            ], names=["ids", "target", "lengths", "symbols"])
+
+        for batch in batches:
+            data, offs = wordhash.string_buffers(batch.column(1))
+            target = np.array(batch.column(2).to_pylist(), bool)
+            for i, j in wordhash.chunks(offs):
+                h, first, _, _ = wordhash.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], stops=True)
+                out = np.zeros(len(h), "<u2")
+                if len(vocabulary):
+                    at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+                    out = np.where(vocabulary[at] == h, at + 1, 0).astype("<u2")
+                ids.append(batch.column(0).slice(i, j - i))
+                sides.append(target[i:j])
+                lengths.append(np.diff(first).astype(np.int32))
+                symbols.append(out.tobytes())
+                size += int(offs[j] - offs[i])
+                if size >= chunk_bytes or sum(map(len, ids)) >= CHUNK_TEXTS:
+                    yield row()
+                    ids, sides, lengths, symbols, size = [], [], [], [], 0
+        if ids:
+            yield row()
+
+    return run
+
+
+def _read(lengths: np.ndarray, symbols: bytes):
+    """(text of each word, word, history) of a chunk."""
+    w = np.frombuffer(symbols, "<u2").astype(np.uint32)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    h = np.roll(w, 1)
+    starts = np.r_[0, np.cumsum(lengths)[:-1]] if len(lengths) else np.zeros(0, np.int64)
+    h[starts[np.asarray(lengths) > 0]] = START
+    return text, w, h
+
+
+def _single_counts(batches: Iterator) -> Iterator:
+    """How often each symbol is a word and a history in both parts."""
+    import pyarrow as pa
+
+    sums = np.zeros((4, START + 1), np.int64)
+    for batch in batches:
+        for r in range(batch.num_rows):
+            target = np.array(batch.column("target")[r].as_py(), bool)
+            text, w, h = _read(np.array(batch.column("lengths")[r].as_py(), np.int64), batch.column("symbols")[r].as_py())
+            side = target[text]
+            for k, x in enumerate((w[side], w[~side], h[side], h[~side])):
+                sums[k] += np.bincount(x, minlength=START + 1)
+    some = np.flatnonzero(sums.any(axis=0))
+    yield pa.record_batch([pa.array(some), *(pa.array(x[some]) for x in sums)], names=["symbol", "wt", "wb", "ht", "hb"])
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    return wordhash.mix(keys.astype(np.uint64))
+
+
+def _poster(buckets: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for r in range(batch.num_rows):
+                target = np.array(batch.column("target")[r].as_py(), bool)
+                text, w, h = _read(np.array(batch.column("lengths")[r].as_py(), np.int64), batch.column("symbols")[r].as_py())
+                if not len(w):
+                    continue
+                u, which = np.unique((h << np.uint32(16)) | w, return_inverse=True)
+                side = target[text]
+                t, b = np.bincount(which[side], minlength=len(u)), np.bincount(which[~side], minlength=len(u))
+                bucket = (_mixed(u) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                names, first = np.unique(bucket[order], return_index=True)
+                ends = pa.array(np.r_[first, len(u)].astype(np.int32))
+                listed = (pa.ListArray.from_arrays(ends, pa.array(x[order].astype(np.int32))) for x in (u.view(np.int32), t, b))
+                yield pa.record_batch([pa.array(names), pa.array(np.full(len(names), batch.column("part")[r].as_py())), *listed],
+                                      names=["bucket", "part", "keys", "t", "b"])
+
+    return run
+
+
+_ANSWER = "part long, keys array<int>, t array<long>, b array<long>"
+
+
+def _totals(key, table):
+    """The totals of a bucket's bigrams, for each chunk those of its own that occur more than once."""
     import pyarrow as pa
 
-    data, offs = wordhash.string_buffers(text)
-    for i, j in wordhash.chunks(offs):
-        local = offs[i : j + 1] - offs[i]
-        n = np.diff(local)
-        rows = table.find(_grams(data[offs[i] : offs[j]], local)) if local[-1] else np.zeros((0, 2))
-        some = np.flatnonzero(n)
-        mean = np.full((j - i, 2), np.nan)
-        if len(some):
-            mean[some] = np.add.reduceat(rows, local[:-1][some], axis=0) / n[some, None]
-        cols = [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
-        yield pa.record_batch([ids.slice(i, j - i), pa.array(n), *cols],
-                              names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+    keys, t, b = (table.column(c).combine_chunks() for c in ("keys", "t", "b"))
+    sizes = np.diff(keys.offsets.to_numpy())
+    flat = keys.flatten().to_numpy()
+    u, which = np.unique(flat, return_inverse=True)
+    sums = [np.bincount(which, x.flatten().to_numpy(), len(u)).astype(np.int64) for x in (t, b)]
+    again = (sums[0] + sums[1] > 1)[which]
+    ends = np.r_[0, np.cumsum(again)][np.r_[0, np.cumsum(sizes)]].astype(np.int32)
+    listed = (pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (flat[again], sums[0][which][again], sums[1][which][again]))
+    return pa.table([table.column("part").combine_chunks(), *listed], names=["part", "keys", "t", "b"])
+
+
+def _own(text: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
+    """For each word: how often its key occurs in its own text."""
+    _, which, n = np.unique((text.astype(np.uint64) << np.uint64(bits)) | key.astype(np.uint64), return_inverse=True, return_counts=True)
+    return n[which]
 
 
 _SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
-def scored(docs: DataFrame, target_ids: DataFrame, table_rows: int = TABLE_ROWS, part_bytes: int = PART_BYTES) -> DataFrame:
+def _scorer(shared):
+    def run(key, own, answers):
+        import pyarrow as pa
+
+        single, totals, size = shared.value
+        keys = np.concatenate([np.zeros(0, np.int32), *(x.flatten().to_numpy() for x in answers.column("keys").chunks)])
+        counts = [np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in answers.column(c).chunks)]) for c in "tb"]
+        order = np.argsort(keys)
+        keys, counts = np.append(keys[order], np.int32(0)), [np.append(c[order], 0) for c in counts]
+        out = []
+        for r in range(own.num_rows):
+            lengths = np.array(own.column("lengths")[r].as_py(), np.int64)
+            target = np.array(own.column("target")[r].as_py(), bool)
+            text, w, h = _read(lengths, own.column("symbols")[r].as_py())
+            pair = ((h << np.uint32(16)) | w).view(np.int32)
+            at = np.searchsorted(keys[:-1], pair)
+            at[keys[at] != pair] = len(keys) - 1
+            mine = {"w": _own(text, w, 16), "h": _own(text, h, 16), "p": _own(text, pair.view(np.uint32), 32)}
+            mean = np.full((len(lengths), 2), np.nan)
+            some = np.flatnonzero(lengths)
+            least = max(1, min(totals))
+            for side, flag in ((0, target), (1, ~target)):
+                scale = least / max(totals[side], 1)
+                leave = flag[text]
+                left = {"w": single[side][w], "h": single[2 + side][h], "p": counts[side][at]}
+                c = {k: scale * np.maximum(v - np.where(leave, mine[k], 0), 0) for k, v in left.items()}
+                n = scale * (totals[side] - np.where(flag, lengths, 0))[text]
+                p = (c["p"] + MU * (c["w"] + 1) / (n + size)) / (c["h"] + MU)
+                if len(some):
+                    mean[some, side] = np.add.reduceat(-np.log2(p), np.cumsum(lengths)[some] - lengths[some]) / lengths[some]
+            cols = [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
+            ids = own.column("ids").combine_chunks()[r].values
+            out.append(pa.table([ids, pa.array(lengths), *cols], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def scored(docs: DataFrame, target_ids: DataFrame, vocabulary: int = VOCABULARY, chunk_bytes: int = CHUNK_BYTES,
+           bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs`` (doc_id, text).
 
     ``target_ids`` has the ids (doc_id) of the target part.
     """
+    if vocabulary > VOCABULARY:
+        raise ValueError(f"at most {VOCABULARY} words, a symbol has two bytes")
+    context = docs.sparkSession.sparkContext
+    texts = store.spread(docs.select("doc_id", "text"))
     ids = target_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(store.hinted(ids), "doc_id", "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target"))
-    counts = store.saved(
-        flagged.mapInArrow(_counter, "gram long, t long, b long").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b")),
-        "ngrams",
+    flagged = texts.join(store.hinted(ids), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    known = _vocabulary(texts, vocabulary)
+    chunks = store.saved(
+        flagged.mapInArrow(_encoder(context.broadcast(known), chunk_bytes), "ids array<long>, target array<boolean>, lengths array<int>, symbols binary")
+        .withColumn("part", F.monotonically_increasing_id()),
+        "symbols",
     )
-    row = counts.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count("*").alias("n")).first()
-    losses = store.saved(_losses(counts, {c: int(row[c] or 0) for c in "tb"}), "losses")
-    texts = docs.select("doc_id", "text")
-    if row["n"] <= table_rows:
-        got = losses.toPandas()
-        shared = docs.sparkSession.sparkContext.broadcast(
-            (got["gram"].to_numpy(np.uint32), got["lt"].to_numpy(np.float32), got["lb"].to_numpy(np.float32)))
-
-        def run(batches: Iterator) -> Iterator:
-            table = _Table(*shared.value)
-            for batch in batches:
-                yield from _text_scores(batch.column(0), batch.column(1), table)
-
-        return texts.mapInArrow(run, _SCHEMA)
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
-    dealt = texts.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "doc_id", F.octet_length("text")), F.lit(parts)))
-
-    def asked(key, table):
-        import pyarrow as pa
-
-        data, offs = wordhash.string_buffers(table.column("text"))
-        u = np.unique(np.concatenate([np.unique(_grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]))
-                                      for i, j in wordhash.chunks(offs)] or [np.zeros(0, np.uint32)]))
-        return pa.table({"part": pa.array(np.full(len(u), key[0].as_py())), "gram": pa.array(u.astype(np.int64))})
-
-    def answer(key, own, model):
-        import pyarrow as pa
-
-        table = _Table(*(model.column(c).to_numpy() for c in ("gram", "lt", "lb")))
-        return pa.Table.from_batches(list(_text_scores(own.column("doc_id").combine_chunks(), own.column("text"), table)))
-
-    wanted = dealt.groupBy("part").applyInArrow(asked, "part long, gram long")
-    model = wanted.join(losses, "gram").select("part", "gram", "lt", "lb")
-    return dealt.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, _SCHEMA)
+    sums = np.zeros((4, START + 1), np.int64)
+    for r in chunks.mapInArrow(_single_counts, "symbol long, wt long, wb long, ht long, hb long").groupBy("symbol").sum("wt", "wb", "ht", "hb").collect():
+        sums[:, r[0]] = r[1:]
+    totals = (int(sums[0].sum()), int(sums[1].sum()))
+    buckets = max(1, -(-sum(totals) // bucket_words))
+    model = context.broadcast((sums, totals, len(known) + 1))
+    answers = (
+        chunks.select("part", "target", "lengths", "symbols").mapInArrow(_poster(buckets), "bucket long, part long, keys array<int>, t array<int>, b array<int>")
+        .groupBy("bucket").applyInArrow(_totals, _ANSWER)
+    )
+    return chunks.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_scorer(model), _SCHEMA)
