@@ -34,8 +34,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_absolute_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op6 with lines removed by their number of texts alone, at every size of host."""
-    return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), percent=0)
+    """op6 with lines counted by distinct texts, as in the pipeline."""
+    return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), by="texts")
 
 
 def op7_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,8 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.sharded(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return sharding.sharded(docs, sharding.balanced_limit(docs))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,17 +82,13 @@ WITH d AS (
   SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM wins) WHERE c > 1
 ), covered AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r
-), texts AS (
-  SELECT host, t, any_value(ls) AS ls FROM w GROUP BY host, t
-), hosts AS (
-  SELECT host, count(*) AS n FROM texts GROUP BY host
 ), held AS (
   SELECT host, k, count(*) AS n FROM (
-    SELECT DISTINCT host, t, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k
-    FROM (SELECT host, t, unnest(ls) AS l FROM texts)
+    SELECT DISTINCT host, doc, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS k
+    FROM (SELECT host, coalesce(doc_id::VARCHAR, 'text ' || t) AS doc, unnest(ls) AS l FROM w)
   ) GROUP BY host, k
 ), frequent AS (
-  SELECT host, k FROM held JOIN hosts USING (host) WHERE held.n > 20 AND held.n * 100 > hosts.n
+  SELECT host, k FROM held WHERE n > 20
 ), lost AS (
   SELECT r, count(*) AS n_lines, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS n_words
   FROM (SELECT r, host, unnest(ls) AS l FROM w) x
@@ -139,7 +136,7 @@ n{k} AS (
 
 _OP1 = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  SELECT doc_id, coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, ''))) AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1) = '' THEN 'other'
          ELSE 'domain' || (regexp_extract(source, '([0-9]{1,9})$', 1)::INT % 4)::VARCHAR END AS domain,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
@@ -151,7 +148,7 @@ WITH d AS (
 ),""" + ",".join(map(_op1_level, range(3))) + r""", spent AS (
   SELECT domain, lang, source, budget // tokens AS e, budget % tokens AS tail FROM l2 JOIN leaves USING (domain, lang, source)
 ), h AS (
-  SELECT d.*, coalesce(e, 0) AS e, coalesce(tail, 0) AS tail, md5('17:' || coalesce(e, 0)::BIGINT::VARCHAR || ':' || doc_id::VARCHAR) AS h
+  SELECT d.*, coalesce(e, 0) AS e, coalesce(tail, 0) AS tail, md5('17:' || coalesce(e, 0)::BIGINT::VARCHAR || ':' || k) AS h
   FROM d LEFT JOIN spent USING (domain, lang, source)
 ), c AS (
   SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, doc_id
@@ -163,17 +160,24 @@ FROM c
 """
 
 _OP9 = """
-WITH r AS (
+WITH t AS (
+  SELECT coalesce(sum(strlen(text)), 0) AS total FROM documents
+), l AS (
+  SELECT total, greatest(1, least(33554432, total // 64)) AS most FROM t
+), c AS (
+  SELECT most, least(24, greatest(6, 6 + length(bin(((total + most - 1) // most)::UBIGINT)))) AS depth FROM l
+), r AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          right(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::UBIGINT::BIT::VARCHAR, 32) AS b
   FROM documents
 ), n AS (
-  SELECT d, left(b, d) AS p, sum(n_bytes)::BIGINT AS bytes FROM r, range(0, 25) t(d) GROUP BY ALL
+  SELECT d, left(b, d) AS p, sum(n_bytes)::BIGINT AS bytes, count(*) AS docs FROM r, range(0, 25) t(d) GROUP BY ALL
 ), s AS (
-  SELECT b, min(d) AS d FROM (SELECT DISTINCT b FROM r) r2 JOIN n ON left(r2.b, n.d) = n.p AND n.bytes <= 33554432 GROUP BY b
+  SELECT b, min(d) AS d FROM (SELECT DISTINCT b FROM r) r2 JOIN n ON left(r2.b, n.d) = n.p, c
+  WHERE n.d <= depth AND (n.bytes <= most OR n.d = depth AND n.docs = 1) GROUP BY b
 )
-SELECT doc_id, n_bytes, left(r.b, s.d) AS shard, s.d::INT AS depth, n.bytes AS shard_bytes, false AS oversized
-FROM r JOIN s ON r.b = s.b JOIN n ON n.d = s.d AND n.p = left(r.b, s.d)
+SELECT doc_id, n_bytes, left(r.b, s.d) AS shard, s.d::INT AS depth, n.bytes AS shard_bytes, n.bytes > most AS oversized
+FROM r JOIN s ON r.b = s.b JOIN n ON n.d = s.d AND n.p = left(r.b, s.d), c
 """
 
 _OP7 = """
@@ -193,4 +197,4 @@ ORACLE_SQL: dict[str, str] = {
     "op9_extendible_sharding": _OP9,
     "op1_hierarchical_mixing": _OP1,
     "op6_quality_rules": _OP6,
-    "op6_absolute_lines": _OP6.replace(" AND held.n * 100 > hosts.n", "")}
+    "op6_absolute_lines": _OP6.replace("coalesce(doc_id::VARCHAR, 'text ' || t)", "t")}
