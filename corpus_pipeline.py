@@ -14,7 +14,7 @@ from tidewatch.llm import mixing, near_dedup, packing, quality, secrets, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.filtered(docs, percent=0)
+    return quality.filtered(docs, by="texts")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
