@@ -1,4 +1,4 @@
-"""Connected components by min-label propagation with pointer jumping."""
+"""Connected components by alternating large-star and small-star rounds."""
 
 from __future__ import annotations
 
@@ -8,22 +8,36 @@ from pyspark.sql import functions as F
 from tidewatch.operators.scratch import cut
 
 
-def components(edges: DataFrame, a: str, b: str, max_rounds: int = 50) -> DataFrame:
-    """(id, component): the smallest id reachable, for every id of an edge.
+def _large_star(e: DataFrame) -> DataFrame:
+    """Every neighbour above a vertex is tied to the smallest of its neighbourhood."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    return both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
-    Each round takes the smallest label of the neighbours (combined before the shuffle) and then
-    the label of that label, so long chains need a logarithmic number of rounds.
+
+def _small_star(e: DataFrame) -> DataFrame:
+    """Every neighbour below a vertex is tied to the smallest of them; edges point from larger to smaller."""
+    low = e.groupBy("u").agg(F.min("v").alias("m"))
+    rest = e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+
+
+def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
+    """(id, component): the smallest id reachable, for every id of an edge that isn't a self loop.
+
+    Each round is two aggregations by vertex with joins back; the edges of a round replace those of the
+    one before, and their number never grows. It ends when a round leaves them as they were.
     """
-    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
-    both = cut(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("c")))
+    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} is not null and {b} is not null and u <> v").distinct())
+    digest = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    seen = digest(e)
     for _ in range(max_rounds):
-        near = both.join(labels.withColumnRenamed("id", "v"), "v").groupBy(F.col("u").alias("id")).agg(F.min("c").alias("n"))
-        step = labels.join(near, "id").select("id", F.least("c", "n").alias("c"))
-        jump = step.join(step.select(F.col("id").alias("c"), F.col("c").alias("cc")), "c", "left").select("id", F.coalesce("cc", "c").alias("c"))
-        after = cut(jump)
-        moved = after.join(labels.withColumnRenamed("c", "was"), "id").where("c <> was").isEmpty()
-        labels = after
-        if moved:
-            return labels.select("id", F.col("c").alias("component"))
-    raise RuntimeError("components did not settle")
+        e = cut(_small_star(_large_star(e)))
+        now = digest(e)
+        if now == seen:
+            break
+        seen = now
+    else:
+        raise RuntimeError("components did not settle")
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+        e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

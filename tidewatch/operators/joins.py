@@ -7,36 +7,37 @@ from pyspark.sql import functions as F
 
 
 def asof_backward(left: DataFrame, right: DataFrame, on: list[str], at: str, value: str, days: int) -> DataFrame:
-    """``left`` with ``value`` of the last ``right`` row at or before ``at``, at most ``days`` back.
+    """``left`` with ``value`` of the last ``right`` row at or before the day ``at``, at most ``days`` back.
 
-    Right rows and left rows are one stream per key and the last value is carried forward, so
-    there is one shuffle and no blow-up of ranges. ``right`` has one row per key and day.
+    A right row serves its own day and the ``days`` after it; the latest that serves a day is its value. The join
+    is then on (key, day), so a key with a third of all rows is dealt over its days, and nothing is sorted.
+    ``right`` has one row per key and day.
     """
-    lcols = left.columns
-    l = left.select(*on, F.col(at).alias("_t"), F.lit(1).alias("_k"), F.struct(*lcols).alias("_l"),
-                    F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(None).cast("date").alias("_d"))
-    null_row = F.lit(None).cast(l.schema["_l"].dataType)
-    r = right.select(*on, F.col(at).alias("_t"), F.lit(0).alias("_k"), null_row.alias("_l"),
-                     F.col(value).alias("_v"), F.col(at).cast("date").alias("_d"))
-    w = Window.partitionBy(*on).orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    near = F.struct(F.col("_d").alias("d"), F.col("_v").alias("v"))
-    last = F.last(F.when(F.col("_k") == 0, near), ignorenulls=True).over(w)
-    out = l.unionByName(r).withColumn("_last", last).where("_k = 1")
-    fresh = F.datediff("_t", F.col("_last.d")) <= days
-    return out.select("_l.*", F.when(fresh, F.col("_last.v")).alias(value))
-
-
-def range_lookup(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: str, width: int, best: list[Column]) -> DataFrame:
-    """Each point with the best range that holds it (``best`` orders; left join).
-
-    Ranges are repeated once per bucket of ``width`` that they touch, so the join is on the bucket.
+    served = (
+        right.select(*on, F.col(at).alias("_from"), value)
+        .withColumn(at, F.explode(F.sequence("_from", F.date_add("_from", days))))
+        .groupBy(*on, at).agg(F.max_by(value, "_from").alias(value))
+    )
+    return left.join(served, [*on, at], "left").select(*left.columns, value)
+
+
+def prefix_lookup(points: DataFrame, prefixes: DataFrame, point: str, lo: str, hi: str, best: list[Column]) -> DataFrame:
+    """Each point with the best prefix that holds it (``best`` orders; left join).
+
+    Prefixes are ranges of a power of two, aligned to their size: for each size that occurs (64 at most) a
+    point's address without its low bits is an equi-join key. Distinct addresses are looked up once.
     """
-    r = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
-    p = points.withColumn("_b", F.floor(F.col(point) / width)).withColumn("_id", F.monotonically_increasing_id())
-    j = p.join(r, "_b", "left").withColumn("_in", F.coalesce(F.col(point).between(F.col(lo), F.col(hi)), F.lit(False)))
-    rank = F.row_number().over(Window.partitionBy("_id").orderBy(F.col("_in").desc(), *best))
-    blank = [F.when(F.col("_in"), F.col(c)).alias(c) for c in ranges.columns]
-    return j.withColumn("_rank", rank).where("_rank = 1").select(*points.columns, *blank)
+    size = F.col(hi) - F.col(lo) + 1
+    sizes = sorted(r[0] for r in prefixes.select(size.alias("size")).distinct().limit(65).collect())
+    if len(sizes) > 64 or any(n & (n - 1) for n in sizes):
+        raise ValueError("prefixes have sizes that are powers of two")
+    every = F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])) if sizes else F.lit(None).cast("long")
+    asked = points.select(point).where(F.col(point).isNotNull()).distinct().withColumn("_size", every)
+    asked = asked.withColumn("_lo", F.col(point) - F.pmod(F.col(point), F.col("_size")))
+    held = prefixes.select("*", size.cast("long").alias("_size"), F.col(lo).alias("_lo"))
+    found = asked.join(held, ["_size", "_lo"]).groupBy(point).agg(
+        F.min_by(F.struct(*prefixes.columns), F.struct(*[c.alias(f"_{k}") for k, c in enumerate(best)])).alias("_best"))
+    return points.join(found, point, "left").select(*points.columns, "_best.*")
 
 
 def any_key_join(left: DataFrame, right: DataFrame, pairs: list[tuple[Column, Column]], left_id: str, right_id: str) -> DataFrame:

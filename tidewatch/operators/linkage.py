@@ -6,7 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions import text as T
 from tidewatch.operators.graph import components
+from tidewatch.operators.scratch import cut
 
 BLOCK_PAIRS = 300
 
@@ -28,6 +30,26 @@ def blocked_pairs(records: DataFrame, key_id: str, keys: list[Column], within: C
     return pairs.select("l", "r").distinct(), sizes.where(F.col("pairs") > most).select(F.col("_key").alias("block"), "n")
 
 
+def trigram_pairs(names: DataFrame, name: str, least: float) -> DataFrame:
+    """(t, u, similarity): pairs of distinct names whose trigram sets overlap by ``least`` or more.
+
+    With n trigrams at most ceil(least * n) of them may be the shared ones, so each name is posted under its
+    n - ceil(least * n) + 1 rarest only: a pair that is similar enough meets in one of these.
+    """
+    g = names.select(F.col(name).alias("t"), T.trigrams(F.lower(name)).alias("g"))
+    held = g.select("t", F.explode("g").alias("k"))
+    rare = held.groupBy("k").agg(F.count("*").alias("df"))
+    kept = F.size("v") - F.ceil(F.size("v") * least).cast("int") + 1
+    posted = (
+        held.join(rare, "k").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("df", "k"))).alias("v"))
+        .select("t", F.explode(F.slice(F.col("v.k"), F.lit(1), kept)).alias("k"))
+    )
+    pairs = posted.join(posted.select(F.col("t").alias("u"), "k"), "k").where("t < u").select("t", "u").distinct()
+    both = pairs.join(g, "t").join(g.select(F.col("t").alias("u"), F.col("g").alias("h")), "u")
+    similarity = F.size(F.array_intersect("g", "h")) / F.size(F.array_union("g", "h"))
+    return both.select("t", "u", F.round(similarity, 9).alias("similarity")).where(F.col("similarity") >= least)
+
+
 def weights(pairs: DataFrame, features: list[str], truth: str, smooth: float = 1.0) -> DataFrame:
     """(feature, level, m, u, weight): shares of each level among matches and others, and log2(m / u)."""
     long = pairs.select(truth, F.explode(F.array(*[
@@ -53,9 +75,11 @@ def clusters(pairs: DataFrame, a: str, b: str, auto: float = 0.9, review: float
     Pairs at ``auto`` or more merge by descending p, if every cross pair is at ``review`` or more and none
     is forbidden, up to ``size`` members. The greedy runs per component of pairs at ``review`` or more.
     """
-    near = pairs.where(F.col("p") >= review)
-    label = components(near, a, b)
-    work = pairs.join(label.select(F.col("id").alias(a), "component"), a)
+    pairs = cut(pairs)
+    label = components(pairs.where(F.col("p") >= review), a, b)
+    # a pair matters to the greedy only if both ends are in one component
+    at_b = label.select(F.col("id").alias(b), F.col("component").alias("_cb"))
+    work = pairs.join(label.select(F.col("id").alias(a), "component"), a).join(at_b, b).where("component = _cb").drop("_cb")
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = list(zip(pdf[a].tolist(), pdf[b].tolist(), pdf["p"].tolist(), pdf["cannot"].tolist()))

@@ -36,11 +36,11 @@ def top_tier(claims: DataFrame, keys: list[str], tier: str, value: str) -> DataF
 def first_identity(records: DataFrame, record_id: str, keys: list[str]) -> DataFrame:
     """(record_id, owner): the smallest record that shares the strongest key that is shared at all.
 
-    ``keys`` go from strong to weak; a null key matches nothing. One window per key, no self-join.
+    ``keys`` go from strong to weak; a null key matches nothing. Each key is counted with partial sums and only
+    the shared ones are joined back, so a key that very many records hold, or lack, sorts nowhere.
     """
-    d = records
+    d = records.select(record_id, *keys)
     for k in keys:
-        w = Window.partitionBy(k)
-        shared = F.col(k).isNotNull() & (F.count("*").over(w) > 1)
-        d = d.withColumn(f"_{k}", F.when(shared, F.min(record_id).over(w)))
+        shared = d.where(F.col(k).isNotNull()).groupBy(k).agg(F.count("*").alias("_n"), F.min(record_id).alias(f"_{k}")).where("_n > 1").drop("_n")
+        d = d.join(shared, k, "left")
     return d.select(record_id, F.coalesce(*[F.col(f"_{k}") for k in keys], F.col(record_id)).alias("owner"))

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to spark.checkpoint.dir; a folder of our own is made only where that is unset."""
+    """``df`` written to spark.checkpoint.dir.
+
+    Where that is unset, a folder of our own is made in local mode only (tests); on a cluster that is an
+    error, as a machine's own disk is not shared.
+    """
     sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewatch-"))
+    if not sc.getCheckpointDir():
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewatch-"))
     return df.checkpoint(eager=True)

@@ -51,13 +51,21 @@ def gini(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
     return d.groupBy(*by).agg((F.try_divide(2 * F.sum(F.col("_r") * F.col(value)), n * s) - (n + 1) / n).alias("gini"))
 
 
-def fdr_prefix(rows: DataFrame, p: str, by: list[str], key: str, level: float) -> DataFrame:
-    """``rows`` with ``selected``: the longest prefix, by descending ``p``, whose mean of 1 - p is within ``level``."""
-    w = Window.partitionBy(*by).orderBy(F.col(p).desc(), key)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    d = rows.withColumn("_k", F.row_number().over(w)).withColumn("_m", F.sum(1 - F.col(p)).over(upto) / F.col("_k"))
-    last = F.max(F.when(F.col("_m") <= level, F.col("_k"))).over(Window.partitionBy(*by))
-    return d.withColumn("selected", F.coalesce(F.col("_k") <= last, F.lit(False))).drop("_k", "_m")
+def fdr_prefix(rows: DataFrame, p: str, by: list[str], key: str, level: float, buckets: int = 1024) -> DataFrame:
+    """``rows`` with ``selected``: the longest prefix, by descending ``p``, whose mean of 1 - p is within ``level``.
+
+    Rows are dealt into ranges of ``p``; a window over a group's ranges gives what lies before each, and rows are
+    ordered within their range only.
+    """
+    miss = F.when(F.col(p).isNotNull(), 1 - F.col(p))
+    d = rows.withColumn("_b", F.coalesce(F.floor(F.col(p) * buckets), F.lit(-1)))
+    sums = d.groupBy(*by, "_b").agg(F.count("*").alias("_n"), F.sum(miss).alias("_s"))
+    before = Window.partitionBy(*by).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s0"))
+    upto = Window.partitionBy(*by, "_b").orderBy(F.col(p).desc(), key).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(sums, [*by, "_b"]).withColumn("_k", F.col("_n0") + F.count("*").over(upto)).withColumn("_m", (F.col("_s0") + F.sum(miss).over(upto)) / F.col("_k"))
+    last = d.groupBy(*by).agg(F.max(F.when(F.col("_m") <= level, F.col("_k"))).alias("_last"))
+    return d.join(last, by).withColumn("selected", F.coalesce(F.col("_k") <= F.col("_last"), F.lit(False))).select(*rows.columns, "selected")
 
 
 def latent_classes(rows: DataFrame, flags: list[str], rounds: int = 400) -> DataFrame:

@@ -101,7 +101,7 @@ ranges AS (SELECT id, plen, asn, (id * 37) % 20000 // size * size AS lo, (id * 3
 def range_lookup(spark, sf_dir):
     """Each point's longest prefix that holds it; ties by id."""
     points = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entry"), (F.col("o_orderkey") * 13 % 20000).alias("ip"))
-    out = joins.range_lookup(points, _prefixes(spark, sf_dir), "ip", "lo", "hi", 64, [F.col("plen").desc(), F.col("id")])
+    out = joins.prefix_lookup(points, _prefixes(spark, sf_dir), "ip", "lo", "hi", [-F.col("plen"), F.col("id")])
     return out.select("entry", "ip", "asn", "plen")
 
 
@@ -125,7 +125,7 @@ def moas_any_listed(spark, sf_dir):
     """Blocks with several origins are listed if any origin is."""
     l = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("block")).agg(F.collect_set("l_suppkey").alias("origins"))
     listed = table(spark, sf_dir, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("asn"), F.lit(True).alias("listed"))
-    j = l.select("block", F.size("origins").cast("long").alias("origins"), F.explode("origins").alias("asn")).join(F.broadcast(listed), "asn", "left")
+    j = l.select("block", F.size("origins").cast("long").alias("origins"), F.explode("origins").alias("asn")).join(listed, "asn", "left")
     return j.groupBy("block", "origins").agg(F.bool_or(F.coalesce("listed", F.lit(False))).alias("any_listed"))
 
 

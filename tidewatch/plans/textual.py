@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import text as T
 from tidewatch.operators import graph, linkage, resolve, windows
+from tidewatch.operators.scratch import cut
 from tidewatch.plans.tables import ASSERTIONS, OBSERVATIONS, assertions, observations, table
 
 MARKS = r"[.!?]+|\n"
@@ -114,15 +115,14 @@ _TURNS = """SELECT conv_id, count(*) AS turns, arg_min(role, turn) AS first_role
 
 
 def trigram_pairs(spark, sf_dir):
-    """Pairs of part types whose trigrams overlap by half or more, met through a shared trigram."""
-    t = table(spark, sf_dir, "part").select(F.col("p_type").alias("t")).distinct().select("t", T.trigrams(F.lower("t")).alias("g"))
-    held = t.select("t", "g", F.explode("g").alias("k"))
-    o = held.select(F.col("t").alias("u"), F.col("g").alias("h"), "k")
-    sim = F.size(F.array_intersect("g", "h")) / F.size(F.array_union("g", "h"))
-    return held.join(o, "k").where("t < u").select("t", "u", F.round(sim, 9).alias("similarity")).distinct().where("similarity >= 0.5")
+    """Pairs of part names whose trigrams overlap by half or more, met through one of the rarer trigrams of both.
+
+    Two names at half or more share one of their floor(n / 2) + 1 rarest trigrams, so only these are posted.
+    """
+    return linkage.trigram_pairs(table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("t")).distinct(), "t", 0.5)
 
 
-_TRIGRAM = """WITH t AS (SELECT DISTINCT p_type AS t FROM part), g AS (SELECT t, list_distinct(CASE WHEN length(t) >= 3
+_TRIGRAM = """WITH t AS (SELECT DISTINCT p_name || ' ' || p_type AS t FROM part), g AS (SELECT t, list_distinct(CASE WHEN length(t) >= 3
   THEN list_transform(range(1, length(t) - 1), lambda i: substr(lower(t), i, 3)) ELSE [lower(t)] END) AS g FROM t)
 SELECT * FROM (SELECT a.t, b.t AS u, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 9) AS similarity FROM g a JOIN g b ON a.t < b.t)
 WHERE similarity >= 0.5"""
@@ -219,7 +219,7 @@ def _clusters(c):
 
 def linkage_clusters(spark, sf_dir):
     """Scored pairs to constrained clusters (an order-dependent greedy; no SQL); ``blocks_dropped`` lists what is in no pair."""
-    return _clusters(_compared_of(assertions(spark, sf_dir))[0])
+    return _clusters(cut(_compared_of(assertions(spark, sf_dir))[0]))
 
 
 def components(spark, sf_dir):
