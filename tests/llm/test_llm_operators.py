@@ -252,7 +252,7 @@ def test_packing_plan_is_close_to_the_bound(seed):
 
 
 def test_sharding_as_sql_and_limits(spark, docs, empty):
-    assert plain(sharding.sharded(docs)) == by_sql(docs, queries.ORACLE_SQL["op9_extendible_sharding"])
+    assert plain(sharding.sharded(docs, sharding.balanced_limit(docs))) == by_sql(docs, queries.ORACLE_SQL["op9_extendible_sharding"])
     hot = docs.where("doc_id = 12").limit(1)
     many = docs.select("doc_id", "text").unionByName(hot.select("doc_id", "text").crossJoin(spark.range(30).select()))
     for limit in (2_000, 400_000):
@@ -362,7 +362,7 @@ def test_planted_values_outside_the_fixed_patterns():
     planted = [(lead, "".join(rng.choices(signs, k=11)) + "7") for lead in leads for _ in range(40)]
     found = sum(any(t[s:e] == v for s, _, e in secrets.guess_spans(t, words)) for lead, v in planted for t in [f"So {lead.format(v)} and more."])
     assert found >= 0.98 * len(planted)
-    for t in ("compass is north-by-northwest9", "spin 4x100-metre-relay-race", "bypass is north-by-northwest9", "the password is required-for-everyone",
+    for t in ("compass is north-by-northwest9", "spin 4x100-metre-relay-race", "bypass is north-by-northwest9", "the password is required",
               "shopping: vegetables-and-fruits", "the token was distributed yesterday", "author: Constantinople1453", "a keypad is for-all-visitors"):
         assert secrets.guess_spans(t, words) == [], t
 
@@ -597,7 +597,8 @@ def test_scores_as_brute_force(docs, rows, empty, size, chunk, bucket):
             assert math.isclose(r[name], total / len(ws), rel_tol=1e-9), (i, name)
         assert math.isclose(r["score"], r["target_loss"] - r["background_loss"], abs_tol=1e-9)
     assert lm_scoring.scored(empty, target).count() == 0
-    assert lm_scoring.scored(docs, empty).where("n_tokens > 0 and abs(target_loss - log2(%d)) > 1e-9" % symbols).count() == (0 if size > 1000 else 0)
+    uniform = lm_scoring.scored(docs, empty, size).where("n_tokens > 0 and abs(target_loss - log2(%d)) > 1e-9" % symbols)
+    assert uniform.count() == 0
 
 
 def test_copies_are_told_apart_by_the_model(spark):
