@@ -17,11 +17,10 @@ What is gathered grows with the input: the counts of all distinct bigrams of all
 
 1. Words are counted by their hashes; the vocabulary is the one table that goes to the driver, with the single words' counts.
 2. Texts become symbols, two bytes a word, in chunks of about ``CHUNK_BYTES`` of text; a chunk is a row.
-3. A chunk posts its distinct bigrams and their counts to buckets (arrays of keys, so a row carries many); a bigram
-   that every text holds is posted once a chunk, never once a text.
-4. A bucket sums its bigrams and sends each chunk the totals of its own. A bigram that occurs once in all the corpus
-   is not sent: its only document leaves it out, so its count there is zero as for one that was never seen.
-5. Each chunk scores its texts with the answers.
+3. A chunk posts its distinct bigrams and their counts to buckets, in sorted order; a row carries many of them as
+   packed columns. A bigram that every text holds is posted once a chunk, never once a text.
+4. A bucket sums its bigrams and answers each posting with the totals, in the order of its keys.
+5. Each chunk makes the same order again and scores its texts with the answers.
 
 No step holds more than a chunk or a bucket, and buckets grow in number with the words of the corpus.
 
@@ -32,6 +31,7 @@ the vocabulary's end stay out together; a very long text is a chunk of its own;
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,9 +43,20 @@ from tidewatch.llm import store, wordhash
 MU = 4.0
 VOCABULARY = 65_534
 START = 65_535
-CHUNK_BYTES = 16 << 20
-CHUNK_TEXTS = 200_000
-BUCKET_WORDS = 2_000_000
+CHUNK_BYTES = 4 << 20
+CHUNK_TEXTS = 100_000
+BUCKET_WORDS = 1_000_000
+
+
+def _packed(x: np.ndarray, kind: str = "<u4") -> bytes:
+    """A column of whole numbers as bytes: all lowest bytes first, then the next, compressed."""
+    x = np.ascontiguousarray(x, kind)
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes, kind: str = "<u4") -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _merged(parts: list):
@@ -97,7 +108,7 @@ def _encoder(shared, chunk_bytes: int):
             return pa.record_batch([
                 pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
                 pa.array([np.concatenate(sides)], pa.list_(pa.bool_())), pa.array([np.concatenate(lengths)], pa.list_(pa.int32())),
-                pa.array([b"".join(symbols)], pa.binary()),
+                pa.array([_packed(np.concatenate(symbols), "<u2")], pa.binary()),
             ], names=["ids", "target", "lengths", "symbols"])
 
         for batch in batches:
@@ -112,7 +123,7 @@ def _encoder(shared, chunk_bytes: int):
                 ids.append(batch.column(0).slice(i, j - i))
                 sides.append(target[i:j])
                 lengths.append(np.diff(first).astype(np.int32))
-                symbols.append(out.tobytes())
+                symbols.append(out)
                 size += int(offs[j] - offs[i])
                 if size >= chunk_bytes or sum(map(len, ids)) >= CHUNK_TEXTS:
                     yield row()
@@ -123,14 +134,25 @@ def _encoder(shared, chunk_bytes: int):
     return run
 
 
-def _read(lengths: np.ndarray, symbols: bytes):
-    """(text of each word, word, history) of a chunk."""
-    w = np.frombuffer(symbols, "<u2").astype(np.uint32)
+def _read(batch, r: int):
+    """(lengths, targets, text of each word, word, history) of the chunk in row ``r``."""
+    lengths, target = np.array(batch.column("lengths")[r].as_py(), np.int64), np.array(batch.column("target")[r].as_py(), bool)
+    w = _unpacked(batch.column("symbols")[r].as_py(), "<u2").astype(np.uint32)
     text = np.repeat(np.arange(len(lengths)), lengths)
     h = np.roll(w, 1)
-    starts = np.r_[0, np.cumsum(lengths)[:-1]] if len(lengths) else np.zeros(0, np.int64)
-    h[starts[np.asarray(lengths) > 0]] = START
-    return text, w, h
+    h[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
+    return lengths, target, text, w, h
+
+
+def _bigrams(w: np.ndarray, h: np.ndarray, buckets: int):
+    """The distinct bigrams by bucket and key, where each bucket starts and its number, and the place of each word's bigram."""
+    u, which = np.unique((h << np.uint32(16)) | w, return_inverse=True)
+    bucket = (wordhash.mix(u.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    names, first = np.unique(bucket[order], return_index=True)
+    place = np.empty(len(u), np.int64)
+    place[order] = np.arange(len(u))
+    return u[order], np.r_[first, len(u)], names, place[which]
 
 
 def _single_counts(batches: Iterator) -> Iterator:
@@ -140,8 +162,7 @@ def _single_counts(batches: Iterator) -> Iterator:
     sums = np.zeros((4, START + 1), np.int64)
     for batch in batches:
         for r in range(batch.num_rows):
-            target = np.array(batch.column("target")[r].as_py(), bool)
-            text, w, h = _read(np.array(batch.column("lengths")[r].as_py(), np.int64), batch.column("symbols")[r].as_py())
+            _, target, text, w, h = _read(batch, r)
             side = target[text]
             for k, x in enumerate((w[side], w[~side], h[side], h[~side])):
                 sums[k] += np.bincount(x, minlength=START + 1)
@@ -149,50 +170,42 @@ def _single_counts(batches: Iterator) -> Iterator:
     yield pa.record_batch([pa.array(some), *(pa.array(x[some]) for x in sums)], names=["symbol", "wt", "wb", "ht", "hb"])
 
 
-def _mixed(keys: np.ndarray) -> np.ndarray:
-    return wordhash.mix(keys.astype(np.uint64))
-
-
 def _poster(buckets: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for r in range(batch.num_rows):
-                target = np.array(batch.column("target")[r].as_py(), bool)
-                text, w, h = _read(np.array(batch.column("lengths")[r].as_py(), np.int64), batch.column("symbols")[r].as_py())
+                _, target, text, w, h = _read(batch, r)
                 if not len(w):
                     continue
-                u, which = np.unique((h << np.uint32(16)) | w, return_inverse=True)
+                u, first, names, place = _bigrams(w, h, buckets)
                 side = target[text]
-                t, b = np.bincount(which[side], minlength=len(u)), np.bincount(which[~side], minlength=len(u))
-                bucket = (_mixed(u) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                names, first = np.unique(bucket[order], return_index=True)
-                ends = pa.array(np.r_[first, len(u)].astype(np.int32))
-                listed = (pa.ListArray.from_arrays(ends, pa.array(x[order].astype(np.int32))) for x in (u.view(np.int32), t, b))
-                yield pa.record_batch([pa.array(names), pa.array(np.full(len(names), batch.column("part")[r].as_py())), *listed],
-                                      names=["bucket", "part", "keys", "t", "b"])
+                t, b = np.bincount(place[side], minlength=len(u)), np.bincount(place[~side], minlength=len(u))
+                spans = list(zip(first[:-1], first[1:]))
+                yield pa.record_batch([
+                    pa.array(names), pa.array(np.full(len(names), batch.column("part")[r].as_py())),
+                    pa.array([_packed(np.diff(u[i:j], prepend=np.uint32(0))) for i, j in spans], pa.binary()),
+                    *(pa.array([_packed(x[i:j]) for i, j in spans], pa.binary()) for x in (t, b)),
+                ], names=["bucket", "part", "keys", "t", "b"])
 
     return run
 
 
-_ANSWER = "part long, keys array<int>, t array<long>, b array<long>"
+_ANSWER = "part long, bucket long, t binary, b binary"
 
 
 def _totals(key, table):
-    """The totals of a bucket's bigrams, for each chunk those of its own that occur more than once."""
+    """Each posting of a bucket with the totals of its bigrams, in the posting's order."""
     import pyarrow as pa
 
-    keys, t, b = (table.column(c).combine_chunks() for c in ("keys", "t", "b"))
-    sizes = np.diff(keys.offsets.to_numpy())
-    flat = keys.flatten().to_numpy()
-    u, which = np.unique(flat, return_inverse=True)
-    sums = [np.bincount(which, x.flatten().to_numpy(), len(u)).astype(np.int64) for x in (t, b)]
-    again = (sums[0] + sums[1] > 1)[which]
-    ends = np.r_[0, np.cumsum(again)][np.r_[0, np.cumsum(sizes)]].astype(np.int32)
-    listed = (pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (flat[again], sums[0][which][again], sums[1][which][again]))
-    return pa.table([table.column("part").combine_chunks(), *listed], names=["part", "keys", "t", "b"])
+    keys, t, b = ([_unpacked(x.as_py()) for x in table.column(c)] for c in ("keys", "t", "b"))
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    u, which = np.unique(np.concatenate([np.cumsum(k, dtype=np.uint32) for k in keys]), return_inverse=True)
+    sums = [np.bincount(which, np.concatenate(x), len(u)).astype(np.int64) for x in (t, b)]
+    # sums beyond 32 bits would need a corpus of a third of 10**10 words of one pair: they travel as 64 bits
+    out = (pa.array([_packed(x, "<i8") for x in np.split(s[which], ends)], pa.binary()) for s in sums)
+    return pa.table([table.column("part"), table.column("bucket"), *out], names=["part", "bucket", "t", "b"])
 
 
 def _own(text: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
@@ -208,36 +221,26 @@ def _scorer(shared):
     def run(key, own, answers):
         import pyarrow as pa
 
-        single, totals, size = shared.value
-        keys = np.concatenate([np.zeros(0, np.int32), *(x.flatten().to_numpy() for x in answers.column("keys").chunks)])
-        counts = [np.concatenate([np.zeros(0, np.int64), *(x.flatten().to_numpy() for x in answers.column(c).chunks)]) for c in "tb"]
-        order = np.argsort(keys)
-        keys, counts = np.append(keys[order], np.int32(0)), [np.append(c[order], 0) for c in counts]
-        out = []
-        for r in range(own.num_rows):
-            lengths = np.array(own.column("lengths")[r].as_py(), np.int64)
-            target = np.array(own.column("target")[r].as_py(), bool)
-            text, w, h = _read(lengths, own.column("symbols")[r].as_py())
-            pair = ((h << np.uint32(16)) | w).view(np.int32)
-            at = np.searchsorted(keys[:-1], pair)
-            at[keys[at] != pair] = len(keys) - 1
-            mine = {"w": _own(text, w, 16), "h": _own(text, h, 16), "p": _own(text, pair.view(np.uint32), 32)}
-            mean = np.full((len(lengths), 2), np.nan)
-            some = np.flatnonzero(lengths)
-            least = max(1, min(totals))
-            for side, flag in ((0, target), (1, ~target)):
-                scale = least / max(totals[side], 1)
-                leave = flag[text]
-                left = {"w": single[side][w], "h": single[2 + side][h], "p": counts[side][at]}
-                c = {k: scale * np.maximum(v - np.where(leave, mine[k], 0), 0) for k, v in left.items()}
-                n = scale * (totals[side] - np.where(flag, lengths, 0))[text]
-                p = (c["p"] + MU * (c["w"] + 1) / (n + size)) / (c["h"] + MU)
-                if len(some):
-                    mean[some, side] = np.add.reduceat(-np.log2(p), np.cumsum(lengths)[some] - lengths[some]) / lengths[some]
-            cols = [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
-            ids = own.column("ids").combine_chunks()[r].values
-            out.append(pa.table([ids, pa.array(lengths), *cols], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"]))
-        return pa.concat_tables(out)
+        single, totals, size, buckets = shared.value
+        order = np.argsort(answers.column("bucket").to_numpy())
+        lengths, target, text, w, h = _read(own, 0)
+        place = _bigrams(w, h, buckets)[3] if len(w) else np.zeros(0, np.int64)
+        mine = {"w": _own(text, w, 16), "h": _own(text, h, 16), "p": _own(text, place, 32)}
+        mean = np.full((len(lengths), 2), np.nan)
+        some = np.flatnonzero(lengths)
+        least = max(1, min(totals))
+        for side, flag, column in ((0, target, "t"), (1, ~target, "b")):
+            scale = least / max(totals[side], 1)
+            pairs = np.concatenate([np.zeros(0, np.int64), *(_unpacked(answers.column(column)[int(k)].as_py(), "<i8") for k in order)])[place]
+            leave = flag[text]
+            c = {k: scale * (v - np.where(leave, mine[k], 0)) for k, v in (("w", single[side][w]), ("h", single[2 + side][h]), ("p", pairs))}
+            n = scale * (totals[side] - np.where(flag, lengths, 0))[text]
+            p = (c["p"] + MU * (c["w"] + 1) / (n + size)) / (c["h"] + MU)
+            if len(some):
+                mean[some, side] = np.add.reduceat(-np.log2(p), (np.cumsum(lengths) - lengths)[some]) / lengths[some]
+        cols = [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1])]
+        ids = own.column("ids").combine_chunks()[0].values
+        return pa.table([ids, pa.array(lengths), *cols], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
     return run
 
@@ -265,9 +268,9 @@ def scored(docs: DataFrame, target_ids: DataFrame, vocabulary: int = VOCABULARY,
         sums[:, r[0]] = r[1:]
     totals = (int(sums[0].sum()), int(sums[1].sum()))
     buckets = max(1, -(-sum(totals) // bucket_words))
-    model = context.broadcast((sums, totals, len(known) + 1))
+    model = context.broadcast((sums, totals, len(known) + 1, buckets))
     answers = (
-        chunks.select("part", "target", "lengths", "symbols").mapInArrow(_poster(buckets), "bucket long, part long, keys array<int>, t array<int>, b array<int>")
+        chunks.select("part", "target", "lengths", "symbols").mapInArrow(_poster(buckets), "bucket long, part long, keys binary, t binary, b binary")
         .groupBy("bucket").applyInArrow(_totals, _ANSWER)
     )
     return chunks.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_scorer(model), _SCHEMA)
