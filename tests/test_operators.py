@@ -27,7 +27,10 @@ def test_special_functions():
 
 def test_text_functions(spark):
     assert T.normal_name("Société Générale & Fils Co. Ltd") == "societe generale and fils"
-    assert T.normal_name("ACME, Inc.") == "acme" and T.normal_name("株式会社 テスト") == "株式会社テスト" and T.normal_name(None) is None
+    assert T.normal_name("ACME, Inc.") == "acme" and T.normal_name(None) is None
+    assert T.normal_name("株式会社 テスト") == "テスト" and T.normal_name("アスクル株式会社") == "アスクル" and T.normal_name("(株)ABC Co日本 航空") == "abc 日本航空"
+    assert T.normal_name("NTTデータ") == T.normal_name("NTT データ") == "ntt データ" and T.normal_name("ソフトバンク・テクノロジー") == "ソフトバンクテクノロジー"
+    assert T.normal_name("The Smith KG PLLC of Köln") == "smith of koln" and T.normal_name("L.L.C. Partners") == "partners"
     assert math.isclose(T.jaro_winkler("martha", "marhta"), 0.9611111, rel_tol=1e-6) and T.jaro_winkler("a", "") == 0 and T.jaro_winkler("x", "x") == 1
     assert T.numbers_in("about 1,200 people, 3.5 million and 12万") == [1200, 3.5e6, 120000] and T.sizes_in("2.5 TB of 300GB") == [2.5e12, 3e11]
     assert T.negated("They said data was not stolen.", "stolen") and not T.negated("It was not us. Data was stolen.", "stolen")

@@ -10,8 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-#: Legal forms that carry no identity.
-LEGAL_FORMS = ("inc", "llc", "ltd", "limited", "corp", "corporation", "co", "company", "gmbh", "ag", "sa", "sas", "srl", "spa", "bv", "nv", "plc", "pty", "lp", "llp")
+#: Legal forms that carry no identity, wherever they stand in a name.
+LEGAL_FORMS = ("incorporated", "inc", "corp", "corporation", "co", "company", "llc", "l.l.c", "ltd", "limited", "plc", "gmbh", "ag", "sa", "s.a", "sas", "sarl",
+               "srl", "spa", "s.p.a", "bv", "b.v", "nv", "n.v", "oy", "ab", "as", "a/s", "pty", "pvt", "kg", "kgaa", "se", "lp", "llp", "pc", "pllc", "the")
+LEGAL_FORMS_RE = tuple(re.escape(w) for w in LEGAL_FORMS)
+#: Japanese legal forms.
+JAPANESE_FORMS = ("株式会社", "有限会社", "合同会社", "合資会社", "合名会社", "(株)", "(有)", "(合)", "(資)", "(名)", "一般社団法人", "公益社団法人", "一般財団法人",
+                  "公益財団法人", "社会福祉法人", "社会医療法人", "医療法人社団", "医療法人財団", "医療法人", "学校法人", "特定非営利活動法人", "npo法人",
+                  "地方独立行政法人", "独立行政法人", "国立研究開発法人", "国立大学法人", "公立大学法人", "宗教法人")
+#: Words that qualify a name without telling organisations apart.
+QUALIFIERS = ("of north america", "of america", "north america", "u s a", "u s", "usa", "us", "holdings", "holding", "group", "services")
 #: Words that turn a clause around.
 NEGATIONS = ("no", "not", "never", "none", "without", "denied", "denies", "neither")
 #: Multipliers written after a number.
@@ -20,17 +28,57 @@ SCALES = {"thousand": 10**3, "k": 10**3, "million": 10**6, "m": 10**6, "billion"
 SIZES = {"kb": 10**3, "mb": 10**6, "gb": 10**9, "tb": 10**12, "pb": 10**15}
 
 
+_LEGAL = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(LEGAL_FORMS_RE, key=len, reverse=True)) + r")(?![a-z0-9])\.?")
+_JAPANESE = re.compile("|".join(re.escape(w) for w in sorted(JAPANESE_FORMS, key=len, reverse=True)))
+
+
+def is_cjk(c: str) -> bool:
+    """Han, hiragana, katakana and their repeat marks; the middle dot is none."""
+    return "\u3005" <= c <= "\u3007" or "\u3041" <= c <= "\u3096" or "\u309d" <= c <= "\u309f" or "\u30a1" <= c <= "\u30fa" or "\u30fc" <= c <= "\u30ff" or \
+        "\u31f0" <= c <= "\u31ff" or "\u3400" <= c <= "\u4dbf" or "\u4e00" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" or "\U00020000" <= c <= "\U0002fa1f"
+
+
 def normal_name(name: str | None) -> str | None:
-    """ASCII-folded lower-case words without trailing legal forms; a CJK name is only NFKC-folded."""
+    """Lower-case words without accents, punctuation and legal forms; Han and kana stay, unspaced among themselves."""
     if name is None:
         return None
-    if any("぀" <= c <= "ヿ" or "一" <= c <= "鿿" for c in name):
-        return unicodedata.normalize("NFKC", name).replace(" ", "").lower()
-    plain = unicodedata.normalize("NFKD", name.replace("&", " and ")).encode("ascii", "ignore").decode().lower()
-    words = re.findall(r"[a-z0-9]+", plain)
-    while len(words) > 1 and words[-1] in LEGAL_FORMS:
-        words.pop()
-    return " ".join(words)
+    folded = unicodedata.normalize("NFKD", name)
+    if not any(map(is_cjk, unicodedata.normalize("NFKC", name))):
+        plain = folded.encode("ascii", "ignore").decode().lower().replace("&", " and ")
+        return " ".join(re.findall(r"[a-z0-9]+", _LEGAL.sub(" ", plain)))
+    bare = unicodedata.normalize("NFKC", "".join(c for c in folded if not "\u0300" <= c <= "\u036f")).replace("\u30fb", "").lower().replace("&", " and ")
+    bare = "".join(c if c.isascii() or is_cjk(c) else " " for c in bare)
+    bare = _LEGAL.sub(" ", _JAPANESE.sub(" ", bare))
+    # runs of Latin letters and digits, and runs of Han and kana; the latter are one word across spaces
+    out: list[str] = []
+    for run in re.findall(r"[a-z0-9]+|[^\x00-\x7f]+", bare):
+        if out and is_cjk(run[0]) and is_cjk(out[-1][-1]):
+            out[-1] += run
+        else:
+            out.append(run)
+    return " ".join(out)
+
+
+def plain_name(name: Column) -> Column:
+    """:func:`normal_name` for names in ASCII, as a column expression."""
+    bare = F.regexp_replace(F.lower(name), "&", " and ")
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"\b(" + "|".join(LEGAL_FORMS_RE) + r")\b\.?", " "), r"[^a-z0-9]+", " "))
+
+
+def link_key(normal: Column) -> Column:
+    """A normal name without its qualifiers (longest first, whole words); the name itself if nothing is left."""
+    short = F.concat(F.lit(" "), normal, F.lit(" "))
+    for q in QUALIFIERS:
+        for _ in range(2):  # neighbours share a space
+            short = F.regexp_replace(short, f" {q} ", " ")
+    return F.coalesce(F.nullif(F.trim(short), F.lit("")), normal)
+
+
+def registrable_label(domain: Column) -> Column:
+    """The registrant's label of a domain: acme of acme.com and of acme.co.uk."""
+    parts = F.split(domain, r"\.")
+    second = F.element_at(parts, -2).isin("co", "com", "org", "net", "ac", "gov", "edu", "ne", "or", "go") & (F.length(F.element_at(parts, -1)) == 2)
+    return F.when(F.size(parts) >= 2, F.when((F.size(parts) >= 3) & second, F.element_at(parts, -3)).otherwise(F.element_at(parts, -2))).otherwise(domain)
 
 
 def jaro_winkler(a: str, b: str) -> float:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +71,26 @@ def scored(pairs: DataFrame, ids: list[str], features: list[str], table: DataFra
     return total.select(*ids, (1 / (1 + F.pow(2.0, -(F.col("w") + prior)))).alias("p"))
 
 
+def by_component(work: DataFrame, one: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``one`` applied to the rows of each ``component``, from a sorted stream: no call per group, and no more than one held."""
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            last = pdf["component"] == pdf["component"].iloc[-1]
+            held = pdf[last]
+            done = [one(g) for _, g in pdf[~last].groupby("component", sort=False)]
+            if done:
+                yield pd.concat(done, ignore_index=True)
+        if held is not None and len(held):
+            yield one(held)
+
+    return work.repartition("component").sortWithinPartitions("component").mapInPandas(run, schema)
+
+
 def clusters(pairs: DataFrame, a: str, b: str, auto: float = 0.9, review: float = 0.5, size: int = 10) -> DataFrame:
     """(id, cluster): greedy complete-linkage clusters over scored pairs (a, b, p, cannot).
 
@@ -97,17 +119,4 @@ def clusters(pairs: DataFrame, a: str, b: str, auto: float = 0.9, review: float
                     of[i] = one
         return pd.DataFrame({"id": list(of), "cluster": [min(s) for s in of.values()]})
 
-    def run(batches):
-        # one component after the other from a sorted stream: no call per group, and no more than one held
-        held = None
-        for pdf in batches:
-            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            last = pdf["component"] == pdf["component"].iloc[-1] if len(pdf) else []
-            held = pdf[last] if len(pdf) else None
-            done = [greedy(g) for _, g in pdf[~last].groupby("component", sort=False)] if len(pdf) else []
-            if done:
-                yield pd.concat(done, ignore_index=True)
-        if held is not None:
-            yield greedy(held)
-
-    return work.repartition("component").sortWithinPartitions("component").mapInPandas(run, "id long, cluster long")
+    return by_component(work, greedy, "id long, cluster long")
