@@ -121,20 +121,24 @@ def nvd_pages(spark, path):
 
 @register("epss_csv")
 def epss_csv(spark, path):
-    """First line: model version and score date (both needed). Bad, repeated and out-of-range rows are rejected."""
-    head = spark.read.text(path).where("value like '#%'").select(
-        F.regexp_extract("value", r"model_version:([^,\s]+)", 1).alias("m"), dates.any_date(F.regexp_extract("value", r"score_date:(\d{4}-\d{2}-\d{2})", 1)).alias("d")).first()
-    if head is None or not head["m"] or head["d"] is None:
-        raise SourceError("no model version or score date in the header")
+    """Each file's first line: model version and score date (both needed). Bad, repeated and out-of-range rows are rejected, rows without an identifier too."""
     from pyspark.sql import Window
 
-    raw = spark.read.schema("cve string, epss string, percentile string").csv(path, comment="#", header=False).where("cve <> 'cve'")
-    rows = raw.select(F.upper(F.trim("cve")).alias("cve_id"), F.expr("try_cast(epss as decimal(9,6))").alias("score"),
-                      F.expr("try_cast(percentile as decimal(9,6))").alias("percentile"), F.lit(head["d"]).alias("score_date"), F.lit(head["m"]).alias("model_version"))
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("cve_id").orderBy("score", "percentile")))
-    good, bad = split(rows, (T.id_namespace(F.col("cve_id")) != "cve", "malformed identifier"), (F.col("score").isNull() | F.col("percentile").isNull(), "not a number"),
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    head = raw.where("value like '#%'").groupBy("file").agg(
+        F.max(F.nullif(F.regexp_extract("value", r"model_version:([^,\s]+)", 1), F.lit(""))).alias("model_version"),
+        F.max(dates.any_date(F.regexp_extract("value", r"score_date:(\d{4}-\d{2}-\d{2})", 1))).alias("score_date")).where("model_version is not null and score_date is not null")
+    if not raw.select("file").distinct().join(head, "file", "left_anti").isEmpty():
+        raise SourceError("no model version or score date in the header")
+    body = raw.where("value not like '#%' and trim(value) <> '' and value not like 'cve,%'").select(
+        "file", F.from_csv("value", "cve string, epss string, percentile string").alias("r"))
+    rows = body.join(head, "file").select(
+        "file", F.upper(F.trim("r.cve")).alias("cve_id"), F.expr("try_cast(r.epss as decimal(9,6))").alias("score"),
+        F.expr("try_cast(r.percentile as decimal(9,6))").alias("percentile"), "score_date", "model_version")
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("file", "cve_id").orderBy("score", "percentile")))
+    good, bad = split(rows, (F.coalesce(T.id_namespace(F.col("cve_id")) != "cve", F.lit(True)), "malformed identifier"), (F.col("score").isNull() | F.col("percentile").isNull(), "not a number"),
                       (~F.col("score").between(0, 1) | ~F.col("percentile").between(0, 1), "out of range"), (F.col("copy") > 1, "repeated"))
-    return good.drop("copy"), bad
+    return good.drop("copy", "file"), bad
 
 
 @register("ecb_rates")
