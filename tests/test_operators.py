@@ -128,12 +128,17 @@ def test_streams(spark, tmp_path):
     eps = finish(feeds.episodes(read(), "k", "at", days=20), "eps")
     assert {(r["k"], r["first_at"].day, r["n"]) for r in eps if r["first_at"].month == 1} >= {(0, 1, 14)}
     batch = spark.createDataFrame([(1, "a"), (2, "b")], "k long, h string")
-    sink = feeds.upsert_sink(f"{tmp_path}/state", ["k"], "h")
+    sink = feeds.upsert_sink(f"{tmp_path}/state", ["k"], "h", buckets=4)
+    state = lambda: {r["k"]: (r["h"], r["last_changed_at"]) for r in feeds.current_state(spark, f"{tmp_path}/state").collect()}
     sink(batch, 0)
     sink(spark.createDataFrame([(2, "c"), (3, "d")], "k long, h string"), 1)
     sink(spark.createDataFrame([(2, "c"), (3, "d")], "k long, h string"), 1)
-    got = {r["k"]: (r["h"], r["last_changed_at"]) for r in spark.read.parquet(f"{tmp_path}/state/state-1").collect()}
-    assert got == {1: ("a", "0"), 2: ("c", "1"), 3: ("d", "1")}
+    assert state() == {1: ("a", "0"), 2: ("c", "1"), 3: ("d", "1")}
+    sink(batch.limit(0), 2)
+    for n in range(3, 7):
+        sink(spark.createDataFrame([(2, "e")], "k long, h string"), n)
+    assert state() == {1: ("a", "0"), 2: ("e", "3"), 3: ("d", "1")}
+    assert max(map(len, feeds._versions(spark, f"{tmp_path}/state").values())) == 2
     page = spark.createDataFrame([(10,), (11,)], "t long")
     assert feeds.window_is_complete(page, page.where("t < 11"), "t", 2).first()["complete"] is True
     assert feeds.window_is_complete(page, spark.createDataFrame([(3,)], "t long"), "t", 2).first()["complete"] is False

@@ -33,7 +33,8 @@ def append_capped(latest: DataFrame, batch: DataFrame, key: str, digest: str, ca
 
     The cap is the feature: a run writes that many versions and leaves the others to the next one.
     """
-    moved = batch.join(latest.select(key, F.col(digest).alias("_was")), key, "left").where(~F.col(digest).eqNullSafe(F.col("_was"))).drop("_was")
+    known = latest.select(key, F.col(digest).alias("_was"), F.lit(True).alias("_known"))
+    moved = batch.join(known, key, "left").where(F.col("_known").isNull() | ~F.col(digest).eqNullSafe(F.col("_was"))).drop("_was", "_known")
     first = moved.select(key).orderBy(key).limit(cap).withColumn("_now", F.lit(True))
     return moved.join(first, key, "left").select(key, digest, F.when(F.col("_now"), "appended").otherwise("deferred").alias("outcome"))
 

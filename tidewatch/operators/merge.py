@@ -76,7 +76,7 @@ def append_versions(history: DataFrame, new: DataFrame, keys: list[str], hash_co
     latest = last_per_key(history, keys, [F.col("version").desc()]).select(
         *keys, F.col("version").alias("_v"), F.col(hash_col).alias("_h"))
     added = (
-        new.join(latest, keys, "left").where(~F.col(hash_col).eqNullSafe(F.col("_h")))
+        new.join(latest, keys, "left").where(F.col("_v").isNull() | ~F.col(hash_col).eqNullSafe(F.col("_h")))
         .withColumn("version", F.coalesce(F.col("_v"), F.lit(0)) + 1).drop("_v", "_h")
     )
     return history.unionByName(added.select(*history.columns))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import gates
+from tidewatch.plans import catalogue
 from tidewatch.plans.catalogue import cve_detail, kev_consolidated
 from tidewatch.plans.cohorts import patch_window_bands
 from tidewatch.plans.tables import CENSORED, assertions, observations, table
@@ -35,6 +36,7 @@ def results(spark, sf_dir):
     ])
 
 
+CONSOLIDATED, DETAIL = catalogue.ORACLE_SQL["kev_consolidated"], catalogue.ORACLE_SQL["cve_detail"]
 _RESULTS = f"""WITH a AS (SELECT o_orderpriority AS source, o_orderkey AS entry, o_custkey AS vuln, CAST(o_orderdate AS DATE) AS added, o_orderstatus = 'P' AS withdrawn FROM orders),
 o AS (SELECT event_type AS source, user_id AS vuln, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
 l AS (SELECT l_orderkey AS entry, min(CAST(l_shipdate AS DATE)) AS published FROM lineitem GROUP BY 1),
@@ -48,8 +50,8 @@ UNION ALL SELECT 'dates_present', 'ERROR', count(*) FILTER (WHERE added IS NULL)
 UNION ALL SELECT 'no_future_dates', 'ERROR', count(*) FILTER (WHERE added > DATE '2002-01-01'), count(*) FILTER (WHERE added > DATE '2002-01-01') = 0 FROM a
 UNION ALL SELECT 'entry_is_unique', 'ERROR', count(*), count(*) = 0 FROM (SELECT entry FROM a GROUP BY entry HAVING count(*) > 1)
 UNION ALL SELECT 'assertions_registered', 'ERROR', count(*), count(*) = 0 FROM (SELECT vuln FROM a WHERE vuln NOT IN (SELECT c_custkey FROM customer))
-UNION ALL SELECT 'consolidated_has_no_orphans', 'ERROR', 0, true
-UNION ALL SELECT 'detail_one_row_per_vuln', 'ERROR', 0, true
+UNION ALL SELECT 'consolidated_has_no_orphans', 'ERROR', count(*), count(*) = 0 FROM ({CONSOLIDATED}) WHERE vuln NOT IN (SELECT vuln FROM a)
+UNION ALL SELECT 'detail_one_row_per_vuln', 'ERROR', count(*), count(*) = 0 FROM (SELECT vuln FROM ({DETAIL}) GROUP BY vuln HAVING count(*) > 1)
 UNION ALL SELECT 'no_epoch_sentinels', 'ERROR', count(*), count(*) = 0 FROM a WHERE added <= DATE '1971-01-01'
 UNION ALL SELECT 'withdrawal_spike', 'WARN', avg(withdrawn::INT), avg(withdrawn::INT) <= 0.05 FROM a
 UNION ALL SELECT 'source_not_frozen', 'WARN', DATE '2001-08-15' - max(added), DATE '2001-08-15' - max(added) BETWEEN 0 AND 21 FROM a

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -64,29 +64,62 @@ def episodes(stream: DataFrame, key: str, at: str, days: int = 90, late: str = "
     )
 
 
-def upsert_sink(path: str, keys: list[str], hash_col: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that keeps a table of the newest state under ``path``.
+BUCKETS = 64
 
-    Each batch writes the next state to a folder of its own and then names it in ``current``; a replayed
-    batch writes the same folder again, so the table never doubles a batch.
+
+def _versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """Per bucket the numbers of the committed batches that wrote it, from the folders' names."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[int, list[int]] = {}
+    if fs.exists(root):
+        for state in fs.listStatus(root):
+            name = state.getPath().getName()
+            if name.startswith("state-") and fs.exists(jvm.org.apache.hadoop.fs.Path(state.getPath(), "_SUCCESS")):
+                for part in fs.listStatus(state.getPath()):
+                    kind, _, value = part.getPath().getName().partition("=")
+                    if kind == "_bucket":
+                        out.setdefault(int(value), []).append(int(name.split("-")[1]))
+    return out
+
+
+def _read(spark: SparkSession, path: str, chosen: dict[int, int]) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/state-{n}/_bucket={b}" for b, n in sorted(chosen.items())])
+
+
+def current_state(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`upsert_sink` keeps under ``path``: each bucket's newest committed version."""
+    return _read(spark, path, {b: max(ns) for b, ns in _versions(spark, path).items()})
+
+
+def upsert_sink(path: str, keys: list[str], hash_col: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that keeps a table of the newest state under ``path`` (read it with :func:`current_state`).
+
+    Keys are dealt into buckets by hash; a batch rewrites the buckets that it touches, in a folder of its own. A replayed
+    batch starts from the versions before it and writes the same folder again, so the table never doubles a batch.
+    Of each touched bucket the version before stays for such a replay, older ones are deleted.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         new = merge.last_per_key(batch, keys, [F.col(hash_col).desc()])
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}
+        if not touched:
+            return
         stamp = F.lit(str(number))
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        before = None
-        if fs.exists(fs_path):
-            done = [int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("state-")]
-            done = [d for d in done if d < number and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/state-{d}/_SUCCESS"))]
-            before = max(done, default=None)
-        if before is None:
-            state = new.withColumn("last_changed_at", stamp).withColumn("withdrawn_at", F.lit(None).cast("string"))
+        before = {b: max(n for n in ns if n < number) for b, ns in _versions(spark, path).items() if b in touched and min(ns) < number}
+        if before:
+            state = merge.upsert(_read(spark, path, before), new, keys, hash_col, stamp)
         else:
-            state = merge.upsert(spark.read.parquet(f"{path}/state-{before}"), new, keys, hash_col, stamp)
-        state.write.mode("overwrite").parquet(f"{path}/state-{number}")
+            state = new.withColumn("last_changed_at", stamp).withColumn("withdrawn_at", F.lit(None).cast("string"))
+        state.withColumn("_bucket", bucket).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/state-{number}")
+        jvm = spark._jvm
+        for b, ns in _versions(spark, path).items():
+            for n in sorted(n for n in ns if b in touched and n < before.get(b, 0)):
+                old = jvm.org.apache.hadoop.fs.Path(f"{path}/state-{n}/_bucket={b}")
+                old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     return write
 
