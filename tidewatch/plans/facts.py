@@ -10,14 +10,14 @@ from tidewatch.operators import joins
 from tidewatch.plans.tables import ASSERTIONS, OBSERVATIONS, assertions, observations, table
 
 DAY = lambda s: F.lit(s).cast("date")
-WORDS = F.lit(r"[a-z0-9]+")
+WORDS = r"[a-z0-9]+"
 
 
 def gazetteer_hits(spark, sf_dir):
     """Documents that hold a known name: runs of up to three words, squashed, that equal the label of a page's host (four letters or more)."""
     parts = F.split(T.domain_of(F.col("url")), r"\.")
     names = table(spark, sf_dir, "pages").select(F.lower(F.element_at(parts, -3)).alias("name")).where(F.length("name") >= 4).distinct()
-    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), WORDS, 0).alias("w"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit(WORDS), 0).alias("w"))
     runs = F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in (1, 2, 3)]), lambda n: F.when(F.size("w") >= n, F.transform(
         F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), ""))).otherwise(F.array().cast("array<string>")))))
     return d.select("doc_id", F.explode(runs).alias("name")).join(names, "name").groupBy("doc_id").agg(F.count("*").alias("names"), F.min("name").alias("first_name"))
