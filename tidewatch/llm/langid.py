@@ -27,6 +27,7 @@ probabilities are one table of the vocabulary's size per language; extra columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -84,6 +85,12 @@ class Pieces:
         return out
 
 
+@lru_cache(maxsize=1)
+def pieces_of(path: str | None) -> Pieces:
+    """The vocabulary, loaded once a worker process."""
+    return Pieces(path)
+
+
 def _blocks(words: list[str], most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(indices, code points + 1) of words of equal length, with the word mark before each."""
     length = np.array([len(w) for w in words]) + 1
@@ -197,7 +204,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, per_language: int = FIT_
     langs = sorted(sizes)
     if len(langs) > MOST_LANGUAGES:
         raise ValueError(f"{len(langs)} languages to learn, at most {MOST_LANGUAGES}")
-    pieces = Pieces(vocabulary)
+    pieces = pieces_of(vocabulary)
     size = pieces.size + 2
     table = np.zeros((size, len(langs)))
     if not langs:
@@ -205,10 +212,11 @@ def fit(docs: DataFrame, vocabulary: str | None = None, per_language: int = FIT_
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_language / sizes[k])))])
     chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     words = store.saved(
-        chosen.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
+        store.spread(chosen.select("lang", "text")).mapInArrow(_word_counts, "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n")),
         "language-words",
     )
+    words = store.spread(words)
     column = {k: np.full(size, 1.0 / size) for k in langs}
     for _ in range(rounds):
         now = {k: _closed(v) for k, v in column.items()}
@@ -216,7 +224,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, per_language: int = FIT_
         def step(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            own = Pieces(vocabulary)
+            own = pieces_of(vocabulary)
             sums = {k: np.zeros(size) for k in langs}
             for batch in batches:
                 lang = np.array(batch.column(0).to_pylist(), object)
@@ -257,7 +265,7 @@ def _scorer(vocabulary: str | None, langs: list[str], model):
         import pyarrow as pa
 
         table = model.value
-        pieces = Pieces(vocabulary) if langs else None
+        pieces = pieces_of(vocabulary) if langs else None
         at: dict[int, int] = {}
         scores = np.zeros((1 << 14, len(langs)))
         ascii_letter = np.zeros(256, bool)
@@ -304,7 +312,7 @@ def _scorer(vocabulary: str | None, langs: list[str], model):
 def predicted(docs: DataFrame, langs: list[str], table: np.ndarray, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text)."""
     model = docs.sparkSession.sparkContext.broadcast(table)
-    return docs.select("doc_id", "text").mapInArrow(_scorer(vocabulary, langs, model), "doc_id long, lang_pred string, score double")
+    return store.spread(docs.select("doc_id", "text")).mapInArrow(_scorer(vocabulary, langs, model), "doc_id long, lang_pred string, score double")
 
 
 def held_out():

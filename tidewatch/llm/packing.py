@@ -17,7 +17,9 @@ length, go to consecutive sequences at one offset. A piece finds its rank from p
 counts (a prefix sum over partitions), so no length is sorted in one task.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and null ids are packed like
-any other row; an empty table gives an empty result; other columns are ignored.
+any other row; a very long text is tokenised whole and cut into as many pieces as it needs; pieces of one length are
+interchangeable, so ties go by their place in the input; an empty table gives an empty result; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -338,7 +340,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     """One row per piece: doc_id, piece, start, length, ids_crc32, [ids,] sequence_id, offset."""
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, seq long"
     pieces = store.saved(
-        docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, capacity, with_ids), fields + ", ids array<int>" * with_ids),
+        store.spread(docs.select("doc_id", "text")).mapInArrow(_pieces(tokenizer, capacity, with_ids), fields + ", ids array<int>" * with_ids),
         "pieces",
     )
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))

@@ -29,6 +29,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm import store
+
 KINDS = ("assign", "access", "hex", "guess")
 VOCABULARY = "word_bpe_49k.json"
 MIN_BITS = 36.0
@@ -251,7 +253,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 def scan(docs: DataFrame, vocabulary: str | None = None, min_bits: float = MIN_BITS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): counts by kind, digest of the base spans, all spans."""
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
-    return docs.select("doc_id", "text").mapInArrow(_runner(vocabulary, min_bits), schema)
+    return store.spread(docs.select("doc_id", "text")).mapInArrow(_runner(vocabulary, min_bits), schema)
 
 
 def redacted(docs: DataFrame, vocabulary: str | None = None, min_bits: float = MIN_BITS, mark: str = "[SECRET]") -> DataFrame:
