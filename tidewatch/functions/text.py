@@ -22,8 +22,10 @@ JAPANESE_FORMS = ("株式会社", "有限会社", "合同会社", "合資会社"
 QUALIFIERS = ("of north america", "of america", "north america", "u s a", "u s", "usa", "us", "holdings", "holding", "group", "services")
 #: Words that turn a clause around.
 NEGATIONS = ("no", "not", "never", "none", "without", "denied", "denies", "neither")
+#: Japanese endings and words that turn a clause around.
+JAPANESE_NEGATIONS = ("ない", "ません", "なかった", "いません", "否定", "確認されておらず")
 #: Multipliers written after a number.
-SCALES = {"thousand": 10**3, "k": 10**3, "million": 10**6, "m": 10**6, "billion": 10**9, "bn": 10**9, "万": 10**4, "億": 10**8}
+SCALES = {"thousand": 10**3, "k": 10**3, "million": 10**6, "m": 10**6, "billion": 10**9, "bn": 10**9, "千": 10**3, "万": 10**4, "億": 10**8}
 #: Byte units.
 SIZES = {"kb": 10**3, "mb": 10**6, "gb": 10**9, "tb": 10**12, "pb": 10**15}
 
@@ -112,9 +114,18 @@ _NUMBER = re.compile(r"(\d{1,3}(?:,\d{3})+|\d+)(\.\d+)?\s*(thousand|million|bill
 _SIZE = re.compile(r"(\d+(?:[.,]\d+)?)\s*([kmgtp])i?b\b", re.I)
 
 
+_JAPANESE_NUMBER = re.compile(r"(?:\d[\d,]*(?:\.\d+)?\s*[億万千])+(?:\d[\d,]*)?")
+_JAPANESE_PART = re.compile(r"(\d[\d,]*(?:\.\d+)?)\s*([億万千]?)")
+
+
 def numbers_in(text: str | None) -> list[float]:
-    """Numbers stated in a text, thousands separators and scale words applied."""
-    return [float(m[1].replace(",", "") + (m[2] or "")) * SCALES.get((m[3] or "").lower(), 1) for m in _NUMBER.finditer(text or "")]
+    """Numbers stated in a text, in order: thousands separators and scale words applied, Japanese parts added up (1億2000万)."""
+    plain, out = text or "", []
+    for m in _JAPANESE_NUMBER.finditer(plain):
+        out.append((m.start(), sum(float(n.replace(",", "")) * SCALES.get(k, 1) for n, k in _JAPANESE_PART.findall(m[0]))))
+    rest = _JAPANESE_NUMBER.sub(lambda m: " " * len(m[0]), plain)
+    out += [(m.start(), float(m[1].replace(",", "") + (m[2] or "")) * SCALES.get((m[3] or "").lower(), 1)) for m in _NUMBER.finditer(rest)]
+    return [n for _, n in sorted(out)]
 
 
 def sizes_in(text: str | None) -> list[float]:
@@ -123,10 +134,9 @@ def sizes_in(text: str | None) -> list[float]:
 
 
 def negated(text: str | None, cue: str) -> bool:
-    """Whether the clause that holds ``cue`` also holds a negation before it."""
-    for clause in re.split(r"[.;:!?]|,\s+(?:but|while|although)\b", (text or "").lower()):
-        at = clause.find(cue.lower())
-        if at >= 0 and set(re.findall(r"[a-z']+", clause[:at])) & set(NEGATIONS):
+    """Whether the clause that holds ``cue`` also holds a negation, before or after it, in English or Japanese."""
+    for clause in re.split(r"[.;:!?。！？、]|,\s+(?:but|while|although)\b", (text or "").lower()):
+        if cue.lower() in clause and (set(re.findall(r"[a-z']+", clause.replace("n't", " not"))) & set(NEGATIONS) or any(n in clause for n in JAPANESE_NEGATIONS)):
             return True
     return False
 
