@@ -170,3 +170,8 @@ def test_export_is_the_same_bytes_twice(spark, tmp_path):
     with pytest.raises(gates.GateFailed, match="key is unique"):
         export.exported({"t": (df.unionByName(df.limit(1)), ["k"])}, f"{tmp_path}/three", "2024-01-01", {})
     assert not (tmp_path / "three").exists()
+
+
+def test_jaro_winkler_of_known_pairs():
+    for a, b, want in (("dwayne", "duane", 0.84), ("dixon", "dicksonx", 0.813333), ("martha", "marhta", 0.961111), ("jones", "johnson", 0.832381), ("abc", "xyz", 0.0)):
+        assert abs(T.jaro_winkler(a, b) - want) < 1e-5 and T.jaro_winkler(a, b) == T.jaro_winkler(b, a)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions import classify
 from tidewatch.functions import text as T
 from tidewatch.plans import matching
 from tidewatch.plans.tables import ASSERTIONS, assertions, table
@@ -144,5 +145,35 @@ s AS (SELECT org, label, list_filter([array_to_string(w, ''), array_to_string(w,
 u AS (SELECT org, label, l[1] AS head, (SELECT count(DISTINCT x) FROM (SELECT unnest(l) AS x)) AS k, list_contains(l, label) AS hit FROM s)
 SELECT org, (5 * k)::BIGINT AS guesses, head || '.com' AS first_guess, coalesce(hit, false) AS label_guessed FROM u"""
 
-QUERIES = {f.__name__: f for f in (fact_judge, coarse_dates, vulnerability_links, victim_reality, guessed_hosts)}
-ORACLE_SQL = dict(zip(QUERIES, (_JUDGE, _COARSE, _LINKS, _REALITY, _GUESSED)))
+def filing_classes(spark, sf_dir):
+    """Industry of parts by two coded columns, the band of their size, the country of their domain's ending."""
+    p = table(spark, sf_dir, "part")
+    sic, naics = F.col("p_partkey") * 7 % 10_000, F.col("p_partkey") * 37 % 900_000 + 110_000
+    ending = F.element_at(F.array(*[F.lit(x) for x in ("com", "de", "co", "uk", "fr", "ai", "jp")]), (F.col("p_partkey") % 7 + 1).cast("int"))
+    return p.select("p_partkey", classify.industry_of_sic(sic).alias("by_sic"), classify.industry_of_naics(naics).alias("by_naics"),
+                    classify.size_band(F.col("p_size") * 200).alias("size_band"), classify.country_of_domain(F.concat(F.lit("x."), ending)).alias("country"))
+
+
+_nul = lambda v: "NULL" if v is None else f"'{v}'"
+_FILINGS = f"""WITH s(lo, hi, n) AS (VALUES {", ".join(f"({a}, {b}, {_nul(n)})" for a, b, n in classify.SIC_RANGES)}), c(prefix, n) AS (VALUES {", ".join(f"('{k}', {_nul(v)})" for k, v in classify.NAICS_PREFIXES.items())}),
+p AS (SELECT p_partkey, p_size, p_partkey * 7 % 10000 AS sic, (p_partkey * 37 % 900000 + 110000)::VARCHAR AS naics, ['com', 'de', 'co', 'uk', 'fr', 'ai', 'jp'][p_partkey % 7 + 1] AS e FROM part),
+bs AS (SELECT p_partkey, n FROM p JOIN s ON sic BETWEEN lo AND hi QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY hi - lo, lo) = 1),
+bn AS (SELECT p_partkey, n FROM p JOIN c ON starts_with(naics, prefix) QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY length(prefix) DESC) = 1)
+SELECT p_partkey, bs.n AS by_sic, bn.n AS by_naics, CASE WHEN p_size * 200 < 250 THEN 'lt_250' WHEN p_size * 200 < 5000 THEN '250_4999' ELSE '5000_plus' END AS size_band,
+  CASE e WHEN 'uk' THEN 'GB' WHEN 'de' THEN 'DE' WHEN 'fr' THEN 'FR' WHEN 'jp' THEN 'JP' END AS country FROM p LEFT JOIN bs USING (p_partkey) LEFT JOIN bn USING (p_partkey)"""
+
+
+def similar_names(spark, sf_dir):
+    """Pairs of distinct organisation names of one first letter and nearly one length whose Jaro-Winkler similarity is 0.9 or more.
+
+    No SQL: DuckDB's function halves an odd number of transpositions downwards.
+    """
+    n = matching.organisation_names(spark, sf_dir).select("nn").distinct().withColumn("k", F.substring("nn", 1, 4))
+    o = n.select(F.col("nn").alias("other"), "k")
+    pairs = n.join(o, "k").where("nn < other and abs(length(nn) - length(other)) <= 4").select("nn", "other")
+    return pairs.withColumn("similarity", F.round(T.jaro_winkler_udf("nn", "other"), 6)).where("similarity >= 0.9")
+
+
+QUERIES = {f.__name__: f for f in (fact_judge, coarse_dates, vulnerability_links, victim_reality, guessed_hosts, filing_classes)}
+ORACLE_SQL = dict(zip(QUERIES, (_JUDGE, _COARSE, _LINKS, _REALITY, _GUESSED, _FILINGS)))
+QUERIES["similar_names"] = similar_names
