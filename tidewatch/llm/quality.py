@@ -124,7 +124,8 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, by: str = "documen
     if by == "texts":
         held = _texts(docs).select("_host", F.explode("keys").alias("key"))
         return held.groupBy("_host", "key").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
-    held = _rows(docs).select("_host", "_doc", F.explode("keys").alias("key"))
+    # eight bytes a line: written once, so that the texts are read once here
+    held = store.saved(_rows(docs), "host-lines").select("_host", "_doc", F.explode("keys").alias("key"))
     often = store.saved(held.groupBy("_host", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > min_docs).drop("rows"), "often")
     # distinct (document, line) pairs are dealt by all three columns, so a line that very many hold is no hot key
     pairs = held.join(store.hinted(often), ["_host", "key"], "left_semi").distinct()
