@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import langid, lm_scoring, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
+from tidewatch.llm import filter_audit, langid, lm_scoring, manifest, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return manifest.proofs(docs, manifest.tampered(docs))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op4_lm_scoring": op4_lm_scoring,
     "op3_language_id": op3_language_id,
@@ -67,6 +76,8 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op6_absolute_lines": op6_absolute_lines,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _OP6 = r"""
@@ -192,7 +203,91 @@ SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
 FROM t
 """
 
+
+
+def _op11_values(text: str) -> str:
+    """The hash of a row's values, each with its length in bytes."""
+    one = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(one.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _op11_tree(p: str, levels: int) -> str:
+    """Levels of a tree over {p}n0 (grp, pos, h) and folds of {p}f0 (r, grp, pos, cur, sib) up to its root; a lone node stays."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{p}c{k} AS (SELECT *, count(*) OVER (PARTITION BY grp) AS c FROM {p}n{k}),
+{p}n{k + 1} AS (SELECT grp, pos // 8 AS pos, CASE WHEN max(c) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE max(h) END AS h FROM {p}c{k} GROUP BY grp, pos // 8),
+{p}s{k} AS (SELECT a.grp, a.pos, max(a.c) AS c, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS lft,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS rgt
+  FROM {p}c{k} a JOIN {p}c{k} b ON a.grp IS NOT DISTINCT FROM b.grp AND a.pos // 8 = b.pos // 8 GROUP BY a.grp, a.pos),
+{p}f{k + 1} AS (SELECT r, f.grp, f.pos // 8 AS pos, CASE WHEN c > 1 THEN sha256(lft || cur || rgt) ELSE cur END AS cur, sib || lft || rgt AS sib
+  FROM {p}f{k} f JOIN {p}s{k} s ON f.grp IS NOT DISTINCT FROM s.grp AND f.pos = s.pos)""")
+    return ",\n".join(out)
+
+
+#: Trees of up to 8 ** 7 documents of a language and 8 ** 3 languages.
+_OP11 = f"""
+WITH tab AS (
+  SELECT list(v ORDER BY b) AS tab FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(b))
+), d AS (
+  SELECT *, row_number() OVER () AS r, {_op11_values('text')} AS leaf,
+    {_op11_values("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 3 = 0 AS hit
+  FROM documents, tab
+), o AS (
+  SELECT r, lang AS grp, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf,
+    CASE WHEN hit THEN lowered ELSE leaf END AS cur FROM d
+), an0 AS (SELECT grp, pos, leaf AS h FROM o), af0 AS (SELECT r, grp, pos, cur, '' AS sib FROM o),
+{_op11_tree('a', 7)},
+g AS (SELECT grp AS lang, 0 AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, h FROM an7),
+bn0 AS (SELECT grp, pos, h FROM g),
+bf0 AS (SELECT r, g.grp, g.pos, cur, sib FROM af7 f JOIN g ON f.grp IS NOT DISTINCT FROM g.lang),
+{_op11_tree('b', 3)}
+SELECT d.doc_id, d.leaf, g.h AS subroot, t.h AS root, sha256(f.sib) AS proof_sha256, f.cur AS folded_root, f.cur = t.h AS verified
+FROM d JOIN bf3 f USING (r) JOIN g ON d.lang IS NOT DISTINCT FROM g.lang JOIN bn3 t ON true
+"""
+
+_OP12 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false)::INT AS good, coalesce(bool_or(toxic = 1), false)::INT AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN l USING (doc_id)
+), m AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), x AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), steps AS (
+  SELECT o AS filter_order, step, o[step] AS own, left(o, step - 1) AS earlier
+  FROM (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    (SELECT unnest(range(1, 6))::INT AS step)
+), c AS (
+  SELECT part, filter_order, step, own,
+    sum(n) FILTER (WHERE translate(fails, earlier || own, '') = fails) AS kept,
+    sum(n) FILTER (WHERE contains(fails, own) AND translate(fails, earlier, '') = fails) AS removed,
+    sum(n) FILTER (WHERE contains(fails, own) AND translate(fails, earlier, '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = own) AS unique_fails,
+    sum(good) FILTER (WHERE contains(fails, own) AND translate(fails, earlier, '') = fails) AS good_lost,
+    sum(toxic) FILTER (WHERE contains(fails, own) AND translate(fails, earlier, '') = fails) AS toxic_lost
+  FROM m, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM c
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_merkle_manifest": _OP11,
+    "op12_filter_audit": _OP12,
     "op7_warc_reassembly": _OP7,
     "op9_extendible_sharding": _OP9,
     "op1_hierarchical_mixing": _OP1,
