@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import filter_audit, langid, lm_scoring, manifest, mixing, near_dedup, packing, quality, secrets, sharding, vector_dedup, warc
+from tidewatch.llm import (filter_audit, fingerprints, langid, lm_scoring, manifest, mixing, near_dedup, packing, quality, secrets, sharding,
+                           vector_dedup, warc)
 
 
 def op1_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {
     "op4_lm_scoring": op4_lm_scoring,
     "op3_language_id": op3_language_id,
@@ -78,6 +83,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_filter_audit": op12_filter_audit,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
 
 _OP6 = r"""
