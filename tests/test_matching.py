@@ -88,14 +88,6 @@ def test_incidents_as_plain_fold(spark):
     assert got == want and len({v for v, _ in got.values()}) < 390
 
 
-def test_placement_keeps_and_merges(spark):
-    stored = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 4)], "unit long, event long")
-    links = spark.createDataFrame([(10, 2), (3, 10), (11, 4), (12, 13)], "unit long, other long")
-    units = spark.createDataFrame([(k,) for k in (1, 2, 3, 4, 10, 11, 12, 13)], "unit long")
-    got = {r["unit"]: (r["event"], r["outcome"]) for r in incidents.placed(stored, links, units).collect()}
-    assert got == {1: (1, "kept"), 2: (1, "kept"), 3: (1, "merged"), 4: (4, "kept"), 10: (1, "joined"), 11: (4, "joined"), 12: (12, "new"), 13: (13, "new")}
-
-
 def test_names_alike_in_columns_and_python(spark):
     names = ["ACME, Inc.", "The Smith & Sons Co. Ltd", "US Holdings Group", "Bank of America Services", "Co", "A/S Nordic", "L.L.C. Partners", "x  y--z"]
     rows = spark.createDataFrame([(n,) for n in names], "n string").select("n", T.plain_name(F.col("n")).alias("p"), T.link_key(T.plain_name(F.col("n"))).alias("k")).collect()

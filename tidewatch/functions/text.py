@@ -29,6 +29,16 @@ SCALES = {"thousand": 10**3, "k": 10**3, "million": 10**6, "m": 10**6, "billion"
 #: Byte units.
 SIZES = {"kb": 10**3, "mb": 10**6, "gb": 10**9, "tb": 10**12, "pb": 10**15}
 
+#: Words that many organisations carry and that tell none apart.
+GENERIC_WORDS = (
+    "group", "services", "service", "health", "healthcare", "medical", "center", "centre", "hospital", "system", "systems", "school", "schools", "district",
+    "university", "college", "bank", "insurance", "international", "national", "american", "america", "united", "states", "global", "solutions", "technologies",
+    "technology", "associates", "partners", "care", "clinic", "county", "city", "department", "state", "community", "family", "first", "new", "north", "south",
+    "east", "west", "general", "capital", "financial", "management", "consulting", "industries", "holdings", "corporation", "company", "association", "foundation",
+    "church", "law", "firm", "office", "public", "credit", "union", "trust", "energy", "data", "network", "software", "cloud", "digital", "media", "enterprises",
+    "enterprise", "pharmacy", "dental", "physicians", "practice", "government", "council", "police", "court", "museum", "library", "airlines", "airport", "motors",
+    "auto", "construction", "engineering", "manufacturing", "logistics", "transport", "realty", "real", "estate")
+
 
 _LEGAL = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(LEGAL_FORMS_RE, key=len, reverse=True)) + r")(?![a-z0-9])\.?")
 _JAPANESE = re.compile("|".join(re.escape(w) for w in sorted(JAPANESE_FORMS, key=len, reverse=True)))
@@ -194,6 +204,11 @@ def trigrams(s: Column) -> Column:
     return F.array_distinct(F.when(F.length(s) >= 3, wins).otherwise(F.array(s)))
 
 
+def padded(s: Column) -> Column:
+    """A name for trigrams that also tell how it begins and ends: two blanks before it, one behind."""
+    return F.concat(F.lit("  "), s, F.lit(" "))
+
+
 def trigram_similarity(a: Column, b: Column) -> Column:
     x, y = trigrams(a), trigrams(b)
     return F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))

@@ -43,7 +43,7 @@ def breach_gates(spark, sf_dir):
         gates.none_of(u, "pairs_in_order", F.col("a") >= F.col("b")),
         gates.unique_key(u, "one_row_a_pair", ["a", "b"]),
         gates.unique_key(p, "one_event_a_unit", ["unit"]),
-        gates.none_of(p, "events_not_later_than_units", F.col("event") > F.col("unit")),
+        gates.none_of(p, "placed_in_a_living_event", (F.col("outcome") == "placed") != F.col("event").isNotNull()),
         gates.none_of(x, "country_conflict_is_barred", (F.col("country") == "conflict") & ~F.col("cannot").contains("country_differs")),
         gates.none_of(w, "winners_have_a_value", F.col("quantity").isNull()),
         gates.check(h, "disagreement_share", F.avg(F.col("disagree").cast("int")), "measured <= 0.99", gates.WARN),
@@ -62,7 +62,7 @@ _BREACH = "WITH r AS (WITH " + matching._RECORDS + " SELECT * FROM recs), nm AS
     ("follow_ups_attach_to_records", "count(*)", "=", 0, "(SELECT * FROM f WHERE incident IS NOT NULL AND incident NOT IN (SELECT iid FROM r))", "ERROR"),
     ("ambiguous_share", "avg((how = 'ambiguous')::INT)", "<=", 0.05, "f", "WARN"), ("reasons_given", "count(*) FILTER (WHERE how IS NULL)", "=", 0, "f", "ERROR"),
     ("pairs_in_order", "count(*) FILTER (WHERE a >= b)", "=", 0, "u", "ERROR"), ("one_row_a_pair", "count(*)", "=", 0, "(SELECT a, b FROM u GROUP BY ALL HAVING count(*) > 1)", "ERROR"),
-    ("one_event_a_unit", "count(*)", "=", 0, "(SELECT unit FROM p GROUP BY ALL HAVING count(*) > 1)", "ERROR"), ("events_not_later_than_units", "count(*) FILTER (WHERE event > unit)", "=", 0, "p", "ERROR"),
+    ("one_event_a_unit", "count(*)", "=", 0, "(SELECT unit FROM p GROUP BY ALL HAVING count(*) > 1)", "ERROR"), ("placed_in_a_living_event", "count(*) FILTER (WHERE (outcome = 'placed') <> (event IS NOT NULL))", "=", 0, "p", "ERROR"),
     ("country_conflict_is_barred", "count(*) FILTER (WHERE country = 'conflict' AND NOT contains(cannot, 'country_differs'))", "=", 0, "x", "ERROR"),
     ("winners_have_a_value", "count(*) FILTER (WHERE quantity IS NULL)", "=", 0, "w", "ERROR"), ("disagreement_share", "avg(disagree::INT)", "<=", 0.99, "h", "WARN"),
     ("placeholders_alone", "count(*) FILTER (WHERE lo = 50 AND hi <> 50)", "=", 0, "h", "ERROR")])
