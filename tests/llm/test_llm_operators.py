@@ -470,6 +470,59 @@ def test_archives_of_others(spark, tmp_path):
     assert sorted(str(r["page_id"]) for r in got if not r["complete"]) == ["9", "None", "None"]
 
 
+def _raw(*lengths, block=b"x" * 10):
+    head = b"".join(b"Content-Length: %s\r\n" % n for n in lengths)
+    return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r>\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("lengths", [(b"-79",), (b"-1",), (b"",), (b" ",), (), (b"1e3",), (b"0x0a",), (b"+10",), (b"1_0",), (b"9" * 30,), (b"10", b"10"), (b"10", b"9999"), ("１０".encode(),)])
+def test_lengths_that_are_no_plain_digits_end_the_archive(spark, tmp_path, lengths):
+    data = _raw(b"10") + _raw(*lengths) + _raw(b"10")
+    got = []
+    with pytest.raises(ValueError):
+        for r in warc.records(data):
+            got.append(r)
+    assert len(got) == 1
+    (tmp_path / "a").write_bytes(data)
+    out = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((r["record_id"] or "", r["complete"]) for r in out) == [("", False), ("<r>", True)]
+
+
+def test_lengths_beyond_the_file_and_headers_without_end():
+    (_, block, sound), = warc.records(_raw(b"123456789012"))
+    assert not sound and block.startswith(b"x" * 10)
+    with pytest.raises(ValueError):
+        list(warc.records(b"WARC/1.1\r\n" + b"A: b\r\n" * 20_000 + b"Content-Length: 0\r\n\r\n\r\n\r\n"))
+
+
+@pytest.mark.parametrize("size", [b"-2", b"0x5", b"+5", b"5_0", b"", b" ", b"g", b"fffffffffffffff", b"9" * 40])
+def test_chunk_sizes_that_are_no_plain_hexadecimal(size):
+    with pytest.raises(ValueError):
+        warc.dechunked(b"5\r\nhello\r\n" + size + b"\r\nhello\r\n0\r\n\r\n")
+    assert warc.dechunked(b"5;note=1\r\nhello\r\n0A \r\nhellohello\r\n0\r\n\r\n") == b"hello" * 3
+
+
+def test_revisits_name_a_record_of_the_archive(spark, tmp_path):
+    html = "same page " * 300
+    rows = [(k, f"u{k}", html) for k in range(6)] + [(7, "u7", html), (7, "u7", html), (7, "u7b", html), (8, "u8", "other " * 500), (None, "u", html)]
+    pages = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, record_id string, n string").repartition(3)
+    warc.write_archives(pages, f"{tmp_path}/w", 1000)
+    got = warc.read_archives(spark, f"{tmp_path}/w").collect()
+    ids = collections.Counter(r["record_id"] for r in got)
+    assert len(got) == len(rows) and max(ids.values()) == 1
+    again = [r for r in got if r["record_type"] == "revisit"]
+    by = {r["record_id"]: r for r in got}
+    assert sorted(str(r["page_id"]) for r in again) == ["0", "1", "2", "3", "4", "5", "None"]
+    assert {(by[r["refers_to_record"]]["page_id"], by[r["refers_to_record"]]["record_type"]) for r in again} == {(7, "response")}
+    assert {r["refers_to"] for r in again} == {7} and all(r["complete"] for r in warc.round_trip(pages, 1000).collect())
+    with pytest.raises(ValueError):
+        warc.write_archives(pages, f"{tmp_path}/v", 16 << 20)
+    foreign = tmp_path / "foreign"
+    foreign.write_bytes(b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Refers-To: <urn:uuid:2>\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
+    r, = warc.read_archives(spark, str(foreign)).collect()
+    assert (r["refers_to"], r["refers_to_record"], r["complete"]) == (None, "<urn:uuid:2>", True)
+
+
 def test_archives_have_a_member_a_record_and_bounded_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "BUNDLES", 2)
     pages = spark.createDataFrame([(k, "u", f"<p>{k}" * 2000) for k in range(200)], "page_id long, url string, html string").coalesce(1)

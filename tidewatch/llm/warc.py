@@ -14,8 +14,12 @@ one run of records; plain archives are read as well. Each archive is read once.
 there. Segments are grouped by origin id, ordered by number, checked (numbers 1 to n once each, total
 length as stated) and joined, and then decoded; only they are shuffled. A group is one record, as long as one page.
 A record that fails a check (framing, length, segments) comes out with ``complete`` false and no payload; bytes
-that are no record end that archive with one row without a record id, ``complete`` false. Files are limited to the
-2 GB that one binary value of Spark holds.
+that are no record end that archive with one row without a record id, ``complete`` false. No record are a header of more than
+``HEADER_BYTES`` bytes, and one whose ``Content-Length`` is absent, repeated or not plain digits; a chunk's size must be
+plain hexadecimal digits. Files are limited to the 2 GB that one binary value of Spark holds.
+
+A revisit names the record id of the response it repeats (``WARC-Refers-To``), which is a record of the archive; revisits are
+resolved by that id. ``refers_to_record`` gives it for any archive, ``refers_to`` the page id of our own records.
 
 Defined cases: a null page is an empty payload; a null id or url is an empty header and comes back as
 null; pages that repeat id and payload are all responses if they are the largest id; very long pages are cut into
@@ -24,6 +28,7 @@ segments of bounded size; an empty table gives no archive records; extra columns
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,10 +39,14 @@ from tidewatch.llm import store
 
 REVISIT_FROM = 1000
 SEGMENT = 8 << 10
+#: The size of a gzip member fits in three bytes below this, so that its last byte is the separator.
+LONGEST_SEGMENT = 15 << 20
+HEADER_BYTES = 64 << 10
 CHUNK = 4 << 10
 BUNDLES, BUNDLE_BYTES = 16, 4 << 20
 _DATE = "2024-01-01T00:00:00Z"
-_FIELDS = "record_id string, page_id long, url string, record_type string, refers_to long, digest string"
+_FIELDS = "record_id string, page_id long, url string, record_type string, refers_to long, refers_to_record string, digest string"
+_DIGITS, _HEX, _OWN_ID = re.compile("[0-9]{1,18}"), re.compile(rb"[0-9A-Fa-f]{1,15}"), re.compile("<urn:page:(-?[0-9]+)#[^>]*>")
 
 
 def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
@@ -58,8 +67,10 @@ def dechunked(body: bytes) -> bytes:
     out, at = [], 0
     while True:
         end = body.index(b"\r\n", at)
-        size = int(body[at:end].split(b";")[0], 16)
-        at = end + 2
+        told = body[at:end].split(b";")[0].strip(b" \t")
+        if not _HEX.fullmatch(told):
+            raise ValueError("chunk size isn't plain hexadecimal digits")
+        size, at = int(told, 16), end + 2
         if size == 0:
             return b"".join(out)
         if body[at + size : at + size + 2] != b"\r\n":
@@ -76,7 +87,7 @@ def _page_records(page, url, number, payload, digest, target, segment) -> list[b
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if target is not None:
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                   ("WARC-Refers-To", f"<urn:page:{target}>"), ("Content-Type", "application/http;msgtype=response")]
+                   ("WARC-Refers-To", f"<urn:page:{target}#{digest}>"), ("Content-Type", "application/http;msgtype=response")]
         return [_record(fields, http + b"\r\n")]
     fields.append(("Content-Type", "application/http;msgtype=response"))
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + _chunked(payload)
@@ -104,7 +115,7 @@ def _writer(segment: int):
         import pyarrow as pa
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("page_id", "url", "n", "digest", "target")]
+            cols = [batch.column(c).to_pylist() for c in ("page_id", "url", "tag", "digest", "target")]
             pages = batch.column("html").cast(pa.binary())
             held, size = [], 0
             for k, (page, url, number, digest, target) in enumerate(zip(*cols)):
@@ -123,17 +134,26 @@ def _writer(segment: int):
 
 def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
     """Write ``pages`` (page_id, url, html) as gzip archives under ``path``."""
+    if not 0 < segment <= LONGEST_SEGMENT:
+        raise ValueError(f"a segment has from 1 to {LONGEST_SEGMENT} bytes")
     body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     d = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.sha1(body).alias("digest"),
                      F.octet_length(body).alias("size"))
+    d = d.withColumn("n", F.monotonically_increasing_id())
+    # rows of the largest id may repeat: the first of them is the one referred to
+    of_id = d.where(F.col("size") >= REVISIT_FROM).groupBy("digest", "size", "page_id").agg(F.count("*").alias("c"), F.min("n").alias("first"))
     equal = store.saved(
-        d.where(F.col("size") >= REVISIT_FROM).groupBy("digest", "size").agg(F.count("*").alias("c"), F.max("page_id").alias("top"))
-        .where("c > 1 and top is not null").select("digest", "size", "top"),
+        of_id.groupBy("digest", "size").agg(F.sum("c").alias("c"), F.max(F.struct("page_id", F.col("c").alias("times"), "first")).alias("top"))
+        .where("c > 1 and top.page_id is not null").select("digest", "size", "top"),
         "equal-pages",
     )
     d = d.join(store.hinted(equal), ["digest", "size"], "left")
-    target = F.when(F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top")), F.col("top"))
-    rows = d.select("page_id", "url", "html", "digest", target.alias("target"), F.monotonically_increasing_id().alias("n"))
+    same = F.col("page_id").eqNullSafe(F.col("top.page_id"))
+    target = F.when(F.col("top").isNotNull() & ~same, F.col("top.page_id"))
+    # the record id of a response that others refer to is known beforehand: it ends with the digest
+    named = F.col("top").isNotNull() & same & ((F.col("top.times") == 1) | (F.col("n") == F.col("top.first")))
+    tag = F.when(named, F.col("digest")).otherwise(F.col("n").cast("string"))
+    rows = d.select("page_id", "url", "html", "digest", target.alias("target"), tag.alias("tag"))
     (
         rows.mapInArrow(_writer(segment), "records binary").select(F.col("records").cast("string").alias("value"))
         .write.option("lineSep", "\0").option("maxRecordsPerFile", BUNDLES).text(path)
@@ -168,12 +188,15 @@ def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
         for part in _inflated(data):
             at = 0
             while at < len(part):
-                end = part.index(b"\r\n\r\n", at)
+                end = part.index(b"\r\n\r\n", at, at + HEADER_BYTES)
                 lines = part[at:end].decode("utf-8").split("\r\n")
                 if not lines[0].startswith("WARC/"):
                     raise ValueError("no WARC record here")
-                head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-                size = int(head.get("content-length", ""))
+                pairs = [(k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
+                lengths, head = [v for k, v in pairs if k == "content-length"], dict(pairs)
+                if len(lengths) != 1 or not _DIGITS.fullmatch(lengths[0]):
+                    raise ValueError("the length of a record is one number of plain digits")
+                size = int(lengths[0])
                 block = part[end + 4 : end + 4 + size]
                 yield head, block, len(block) == size and part[end + 4 + size : end + 8 + size] == b"\r\n\r\n"
                 at = end + 8 + size
@@ -187,13 +210,14 @@ def _http_payload(block: bytes) -> bytes:
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and text.lstrip("-").isdecimal() else None
+    return int(text) if text and _DIGITS.fullmatch(text.removeprefix("-")) else None
 
 
 def _page(head: dict[str, str]):
-    refers = head.get("warc-refers-to", "")
+    refers = head.get("warc-refers-to") or None
+    own = _OWN_ID.fullmatch(refers or "")
     return (head.get("warc-record-id"), _number(head.get("x-page-id")), head.get("warc-target-uri") or None, head.get("warc-type"),
-            _number(refers.removeprefix("<urn:page:").removesuffix(">")), head.get("warc-payload-digest", "").partition(":")[2] or None)
+            _number(own[1]) if own else None, refers, head.get("warc-payload-digest", "").partition(":")[2] or None)
 
 
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
@@ -254,13 +278,13 @@ def _joined(key, table):
             payload = _http_payload(block)
         except ValueError:
             sound = False
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.bool_()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.bool_()]
     values = [first[c] for c in _NAMES] + [payload, sound]
     return pa.table([pa.array([v], t) for v, t in zip(values, kinds)], names=[*_NAMES, "payload", "complete"])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """record_id, page_id, url, record_type, refers_to, digest, payload (null for revisits), complete."""
+    """record_id, page_id, url, record_type, refers_to, refers_to_record, digest, payload (null for revisits), complete."""
     files = spark.read.format("binaryFile").load(path).select("content")
     read = store.saved(files.mapInArrow(_reader, _READ), "warc-read")
     joined = read.where("origin is not null").groupBy("origin").applyInArrow(_joined, _FIELDS + ", payload binary, complete boolean")
@@ -274,15 +298,17 @@ def round_trip(pages: DataFrame, segment: int = SEGMENT) -> DataFrame:
     write_archives(pages, path, segment)
     found = store.saved(
         read_archives(spark, path).where("record_id is not null").select(
-            "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
-            "record_type", "refers_to", "digest", "complete"),
+            "record_id", "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+            "record_type", "refers_to", "refers_to_record", "digest", "complete"),
         "warc-records",
     )
     own = found.where("record_type <> 'revisit'")
-    at = own.where("payload_bytes is not null and page_id is not null").groupBy(
-        F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(F.first("payload_bytes").alias("bytes"))
-    again = found.where("record_type = 'revisit'").join(at, ["refers_to", "digest"], "left").select(
-        "page_id", F.col("bytes").alias("payload_bytes"), F.when(F.col("bytes").isNotNull(), F.col("digest")).alias("payload_digest"),
-        "record_type", "refers_to", F.col("bytes").isNotNull().alias("complete"))
+    at = own.where("payload_bytes is not null").select(
+        F.col("record_id").alias("refers_to_record"), F.col("payload_digest").alias("there"), F.col("payload_bytes").alias("bytes"))
+    again = found.where("record_type = 'revisit'").join(at, "refers_to_record", "left")
+    resolved = F.coalesce(F.col("there") == F.col("digest"), F.lit(False))
+    again = again.select(
+        "page_id", F.when(resolved, F.col("bytes")).alias("payload_bytes"), F.when(resolved, F.col("digest")).alias("payload_digest"),
+        "record_type", "refers_to", resolved.alias("complete"))
     same = F.col("complete") & F.col("payload_digest").eqNullSafe(F.col("digest"))
     return own.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", same.alias("complete")).unionByName(again)
