@@ -367,6 +367,72 @@ def test_planted_values_outside_the_fixed_patterns():
         assert secrets.guess_spans(t, words) == [], t
 
 
+PROSE = """the secret was extraordinarily-well-kept-by-monks
+Login: enter-your-username-here
+auth: https-only-and-strict
+password: required-field-must-be-at-least-8
+the key token 3-dimensional-representation
+password: at-least-eight-characters
+token: not_available_in_this_region
+the password is case-sensitive-and-unique
+login: click/here/to/continue/reading
+pin: see-the-back-of-your-card
+credentials: supplied-by-your-administrator
+secret: known_only_to_the_family
+access key: printed-on-the-label
+authorization: required-for-all-visitors
+the pass is mountain-and-valley-route
+auth -> single-sign-on-only
+login = first.name.last.name
+api key: your-api-key-goes-here
+private key: never-share-this-with-anyone
+passcode: sent-to-your-phone-by-text
+bearer: of-good-news-and-gifts
+token is non-transferable-and-non-refundable
+pwd: same-as-last-time
+passphrase was forgotten_by_everyone
+the password was changed-two-weeks-ago""".splitlines()
+
+
+def test_words_joined_by_a_sign_are_prose():
+    words = secrets.ranks(secrets.vocabulary_path())
+    wrong = [t for t in PROSE if secrets.guess_spans(f"Note: {t}.", words)]
+    assert wrong == []
+    # long or rare enough, or not of words only: still secrets
+    for v in ("Zq7-kM2p-x9Lw-44tR", "correct-horse-battery-staple-velvet-galaxy-molecule-dungeon", "monkey-8fK2qLx9-tree", "gX9_pQ4_vN2_hJ7"):
+        assert secrets.is_secret(v, words), v
+    assert secrets.wordy_bits("user-name-8", words) < secrets.guess_bits("user-name-8", words) + 6 and secrets.wordy_bits("a1b2c3", words) is None
+
+
+def test_precision_on_the_given_texts():
+    """No value is found of its own in documents whose fixed patterns find none."""
+    words = secrets.ranks(secrets.vocabulary_path())
+    texts = [t for (t,) in duckdb.sql("select text from read_parquet('/root/testdata/sf0.01/documents.parquet')").fetchall() if t and not secrets.base_spans(t)]
+    assert len(texts) > 500 and sum(len(secrets.guess_spans(t, words)) for t in texts) == 0
+
+
+def test_many_languages_stay_within_memory():
+    """The tables of the forward sums hold HELD numbers at most, and scores don't depend on how words are cut into blocks."""
+    import tracemalloc
+
+    pieces = langid.Pieces(None)
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(3000)] + ["ab" * 3000]
+    many = np.repeat(rng.random((pieces.size + 2, 1)) * 1e-3, 300, axis=1)
+    langid.word_scores(pieces, many[:, :4], words[:50])
+    tracemalloc.start()
+    got = langid.word_scores(pieces, many, words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20
+    assert np.allclose(got[:, 17], langid.word_scores(pieces, many[:, :1], words)[:, 0])
+
+
+def test_words_that_all_tie_still_make_a_vocabulary(spark):
+    d = spark.createDataFrame([(k, f"word{k} other{k}") for k in range(50)], "doc_id long, text string")
+    assert len(lm_scoring._vocabulary(d, 30)) == 30 and len(lm_scoring._vocabulary(d, 100)) == 100 and len(lm_scoring._vocabulary(d.limit(0), 5)) == 0
+
+
 def test_one_vector_id_with_several_vectors(spark):
     rng = np.random.default_rng(5)
     v = [(rng.normal(size=8) * 0.15 + np.eye(8)[k % 2] * 2).tolist() for k in range(14)]

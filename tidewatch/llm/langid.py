@@ -40,6 +40,8 @@ FIT_DOCS, ROUNDS = 1500, 3
 KEPT_WORDS = 500_000
 LONGEST = 16
 STRETCH = 4096
+#: Places times languages that the forward sums hold at once, in each of their LONGEST + 1 tables.
+HELD = 1 << 20
 MOST_LANGUAGES = 500
 FLOOR = 1e-9
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -128,8 +130,9 @@ def _long_score(pieces: Pieces, table: np.ndarray, word: str) -> np.ndarray:
     past = np.zeros((LONGEST, table.shape[1]))  # sums at the last LONGEST places; the last one is the place reached
     past[-1] = 1.0
     log = np.zeros(table.shape[1])
-    for start in range(0, n, STRETCH):
-        end, back = min(start + STRETCH, n), min(start, LONGEST - 1)
+    stretch = max(LONGEST, min(STRETCH, HELD // max(1, table.shape[1])))
+    for start in range(0, n, stretch):
+        end, back = min(start + stretch, n), min(start, LONGEST - 1)
         found = pieces.find(points[:, start - back : end])
         alpha = np.concatenate([past, np.zeros((end - start, table.shape[1]))])
         steps = [table[f[0]] for f in found]
@@ -147,7 +150,8 @@ def _long_score(pieces: Pieces, table: np.ndarray, word: str) -> np.ndarray:
 def word_scores(pieces: Pieces, table: np.ndarray, words: list[str]) -> np.ndarray:
     out = np.zeros((len(words), table.shape[1]))
     short = [k for k, w in enumerate(words) if len(w) < STRETCH]
-    for some, points in _blocks([words[k] for k in short]) if short else ():
+    # fewer words at once where there are more languages: memory is bounded by HELD, not by their number
+    for some, points in _blocks([words[k] for k in short], HELD // max(4, table.shape[1])) if short else ():
         out[np.array(short)[some]] = _forward(pieces.find(points), table, points.shape[1])
     if len(short) < len(words):
         for k, w in enumerate(words):

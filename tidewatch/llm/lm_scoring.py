@@ -85,13 +85,17 @@ def _word_counter(batches: Iterator) -> Iterator:
 
 
 def _vocabulary(texts: DataFrame, size: int) -> np.ndarray:
-    """Sorted hashes of at most ``size`` words, all that are as frequent as the least of them."""
+    """Sorted hashes of at most ``size`` words, all that are as frequent as the least of them.
+
+    If more words than that tie at the top count, those with the least hashes are taken.
+    """
     words = store.saved(texts.select("text").mapInArrow(_word_counter, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     # a row per distinct count: a few thousand for any corpus
     sizes = words.groupBy("n").count().withColumn("upto", F.sum("count").over(Window.orderBy(F.desc("n"))))
     least = sizes.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
     if least is None:
-        return np.zeros(0, np.uint64)
+        first = words.orderBy(F.desc("n"), "word").limit(size)
+        return np.sort(first.select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
     return np.sort(words.where(F.col("n") >= least).select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
 
 

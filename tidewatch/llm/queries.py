@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm import (filter_audit, fingerprints, langid, lm_scoring, manifest, mixing, near_dedup, packing, quality, secrets, sharding,
                            vector_dedup, warc)
@@ -69,6 +70,30 @@ def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op5_embedding_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5 where links are common: each vector, a slightly bent copy, and one whose cosine with it is about the limit."""
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    bent = F.transform("embedding", lambda x, i: x * (1000 + (i * 7 + F.col("vec_id")) % 13) / 1000)
+    far = F.transform("embedding", lambda x, i: x * ((i * (F.col("vec_id") % 5 + 1)) % 7 + 1) / 7)
+    # the new id last: within one select the lambda would see it
+    copies = [v.withColumn("embedding", x).withColumn("vec_id", F.col("vec_id") + k * COPY) for k, x in enumerate((bent, far), 1)]
+    return vector_dedup.linked_vectors(v.unionByName(copies[0]).unionByName(copies[1]))
+
+
+def op6_few_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6 with a limit of five documents, so that lines go and documents are rejected on small tables as well."""
+    return quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_docs=5)
+
+
+def op7_warc_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7 where each page is there twice, so that half of the long ones are revisits."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return warc.round_trip(pages.unionByName(pages.withColumn("page_id", F.col("page_id") + COPY)))
+
+
+#: Added to the ids of copies.
+COPY = 10_000_000
+
 QUERIES = {
     "op4_lm_scoring": op4_lm_scoring,
     "op3_language_id": op3_language_id,
@@ -84,6 +109,9 @@ QUERIES = {
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_filter_audit": op12_filter_audit,
     "op13_document_fingerprints": op13_document_fingerprints,
+    "op5_embedding_copies": op5_embedding_copies,
+    "op6_few_lines": op6_few_lines,
+    "op7_warc_copies": op7_warc_copies,
 }
 
 _OP6 = r"""
@@ -291,7 +319,33 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
 FROM c
 """
 
+_OP5 = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), ok AS (
+  SELECT * FROM e WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), p AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), r AS (
+  SELECT vec_id AS id, vec_id AS c FROM ok UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.id
+), c AS (
+  SELECT id, min(c) AS c FROM r GROUP BY id
+), n AS (
+  SELECT a, count(*) AS n FROM p GROUP BY a
+)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.c, e.vec_id) AS component_id, coalesce(coalesce(c.c, e.vec_id) = e.vec_id, false) AS kept
+FROM e LEFT JOIN c ON c.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+_BENT = f"""(SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS embedding FROM embeddings UNION ALL
+  SELECT vec_id + {COPY}, list_transform(embedding, lambda x, i: x::DOUBLE * (1000 + ((i - 1) * 7 + vec_id) % 13) / 1000) FROM embeddings UNION ALL
+  SELECT vec_id + {2 * COPY}, list_transform(embedding, lambda x, i: x::DOUBLE * (((i - 1) * (vec_id % 5 + 1)) % 7 + 1) / 7) FROM embeddings)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_embedding_near_dedup": _OP5,
+    "op5_embedding_copies": _OP5.replace("FROM embeddings", f"FROM {_BENT}"),
+    "op6_few_lines": _OP6.replace("n > 20", "n > 5"),
+    "op7_warc_copies": _OP7.replace("FROM pages", f"FROM (SELECT page_id, html FROM pages UNION ALL SELECT page_id + {COPY}, html FROM pages)"),
     "op11_merkle_manifest": _OP11,
     "op12_filter_audit": _OP12,
     "op7_warc_reassembly": _OP7,

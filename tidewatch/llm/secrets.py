@@ -4,7 +4,9 @@ The fixed patterns (assign, access, hex) are always reported. Beside them, value
 a credential context ("password is ...", "pwd: ...", "Authorization: Bearer ...") are priced: the
 least base-2 logarithm of guesses over all segmentations of the value into dictionary words,
 dates, repeats, keyboard walks and brute-force spans. A value that is at least as hard to
-guess as ``MIN_BITS`` is reported with the kind ``guess``; prose after such a word is cheap and is not.
+guess as ``MIN_BITS`` is reported with the kind ``guess``; prose after such a word is cheap and is not. A value made of
+dictionary words and short numbers alone, bare or joined by one repeated sign ("enter-your-username-here"), is prose until it
+costs ``WORDY_BITS``, its sign counted once.
 Any run of spaces and tabs and one line break may stand before and after the separator. Values are words,
 quoted runs of words, and after "passphrase:" all words up to the end of the clause or line; unquoted
 words after "passphrase is" are priced one word only, as they can't be told from prose.
@@ -33,7 +35,7 @@ from tidewatch.llm import store
 
 KINDS = ("assign", "access", "hex", "guess")
 VOCABULARY = "word_bpe_49k.json"
-MIN_BITS = 36.0
+MIN_BITS, WORDY_BITS = 36.0, 72.0
 MIN_VALUE, LONGEST_PIECE = 8, 40
 
 ASSIGN = re.compile(
@@ -168,6 +170,54 @@ def guess_bits(value: str, words: dict[str, int]) -> float:
     return best[n]
 
 
+_JOINED = re.compile(r"([A-Za-z0-9]+)(?:([-_./+:~])[A-Za-z0-9]+(?:\2[A-Za-z0-9]+)*)?")
+
+
+#: Endings of English words, and what stands there in the dictionary's form.
+_ENDINGS = (("s", ""), ("es", ""), ("ed", ""), ("ed", "e"), ("ing", ""), ("ing", "e"), ("ly", ""), ("ily", "y"), ("able", ""), ("able", "e"), ("ness", ""))
+
+
+def _rank_bits(word: str, words: dict[str, int]) -> float | None:
+    """Bits of a dictionary word, or of one with a usual ending."""
+    if word in words:
+        return math.log2(words[word] + 1)
+    stems = [words[x] for end, form in _ENDINGS if word.endswith(end) and (x := word[: len(word) - len(end)] + form) in words]
+    return math.log2(min(stems) + 1) + math.log2(len(_ENDINGS)) if stems else None
+
+
+def _word_sum(part: str, words: dict[str, int]) -> float | None:
+    """The least bits of ``part`` as dictionary words in a row; a number of four digits at most and one or two letters count as words."""
+    if part.isdigit():
+        return len(part) * math.log2(10) if len(part) <= 4 else None
+    if len(part) <= 2 and part.isalpha():
+        return 1 + len(part) * math.log2(26) / 2
+    if not part.isalpha():
+        return None
+    best = [0.0] + [math.inf] * len(part)
+    for e in range(3, len(part) + 1):
+        for s in range(max(0, e - LONGEST_PIECE), e - 2):
+            if best[s] < math.inf and (bits := _rank_bits(part[s:e].lower(), words)) is not None:
+                best[e] = min(best[e], best[s] + 1 + bits)
+    return best[-1] if best[-1] < math.inf else None
+
+
+def wordy_bits(value: str, words: dict[str, int]) -> float | None:
+    """What a value made of words and short numbers costs, a repeated sign between them counted once; None for other values."""
+    m = _JOINED.fullmatch(value)
+    if not m:
+        return None
+    parts = [_word_sum(p, words) for p in (value.split(m[2]) if m[2] else [value])]
+    return None if None in parts else sum(parts) + (math.log2(33) if m[2] else 0)
+
+
+def is_secret(value: str, words: dict[str, int], min_bits: float = MIN_BITS) -> bool:
+    """Whether a value of one word is too hard to guess to be prose."""
+    if guess_bits(value, words) < min_bits:
+        return False
+    wordy = wordy_bits(value, words)
+    return wordy is None or wordy >= max(min_bits, WORDY_BITS)
+
+
 def _hinted(text: str) -> bool:
     low = text.lower()
     return any(h in low for h in _HINTS)
@@ -212,7 +262,7 @@ def guess_spans(text: str, words: dict[str, int], min_bits: float = MIN_BITS) ->
             j += 1
         if j < len(held) and held[j][0] <= start:
             at = held[j][2]
-        elif len(value) >= MIN_VALUE and not value.startswith(("http://", "https://")) and guess_bits(value, words) >= min_bits:
+        elif len(value) >= MIN_VALUE and not value.startswith(("http://", "https://")) and is_secret(value, words, min_bits):
             out.append((start, 3, start + len(value)))
             at = m.end()
         else:

@@ -1,13 +1,14 @@
 """Near-duplicate vectors by int8 tile products with error bounds.
 
-Equal vectors form a class. Classes are dealt into tiles of about ``TILE`` vectors; each pair of
-tiles is one group of bounded size. In a group every vector v (scaled to length 1) is rounded to
-int8 codes q with scale s, and e = |v - s q| is kept. For two vectors
+Equal vectors form a class. Every class's vector v (scaled to length 1) is rounded once to int8 codes q with scale s, and
+e = |v - s q| is kept. Classes are dealt into tiles of about ``TILE`` vectors; each pair of tiles is one group of bounded
+size, and only codes, scales and errors are sent there, a byte a dimension. For two vectors
 
     |v.w - s_v s_w (q_v.q_w)|  <=  e_v + (1 + e_v) e_w  (+ a slack for rounding),
 
 so a code product below the limit minus that bound cannot be a link, one above the limit plus
-it must be, and only what lies between is computed again in double precision. The code products
+it must be, and only what lies between is computed again in double precision: the pair of tiles names the vectors that are in
+such a pair, and a second pass gets these in full, groups them by pair of tiles and decides. The code products
 are run as float32 matrix products: codes are at most 127, so sums stay exact integers there up to
 1,040 dimensions; more dimensions are cut into parts of 1,024 and summed as float64.
 
@@ -38,19 +39,44 @@ TILE = 8192
 _SUB = 1024
 _PART = 1024
 _SLACK = 1e-9
-COUNT, EDGE, NAMED = range(3)
+COUNT, EDGE, NAMED, ASK = range(4)
+
+
+def _unit(flat: np.ndarray, dim: int) -> np.ndarray:
+    """Rows scaled by the largest component first, so that no square over- or underflows, then to length 1."""
+    v = flat.reshape(-1, dim).astype(np.float64)
+    v /= np.abs(v).max(axis=1)[:, None]
+    return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
 def _codes(v: np.ndarray):
-    """(int8-valued float32 codes, scales, error bounds) of unit rows."""
+    """(int8 codes, scales, error bounds) of unit rows."""
     top = np.abs(v).max(axis=1)
     scale = top / 127.0
     q = np.rint(v / scale[:, None])
     err = np.sqrt(((v - q * scale[:, None]) ** 2).sum(axis=1)) + _SLACK
-    return q.astype(np.float32), scale, err
+    return q.astype(np.int8), scale, err
+
+
+def _quantised(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+
+    for batch in batches:
+        codes, scales, errors = [], [], []
+        for x in batch.column("vector"):
+            one = np.array(x.as_py(), np.float64)
+            q, s, e = _codes(_unit(one, len(one)))
+            codes.append(q.tobytes())
+            scales.append(float(s[0]))
+            errors.append(float(e[0]))
+        kept = [batch.column(c) for c in ("id", "copies", "listed", "vector")]
+        sizes = pa.array([len(c) for c in codes], pa.int32())
+        yield pa.record_batch([*kept, sizes, pa.array(codes, pa.binary()), pa.array(scales, pa.float64()), pa.array(errors, pa.float64())],
+                              names=["id", "copies", "listed", "vector", "dim", "codes", "scale", "error"])
 
 
 def _code_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = a.astype(np.float32), b.astype(np.float32)
     if a.shape[1] <= _PART:
         return a @ b.T
     return sum((a[:, k : k + _PART] @ b[:, k : k + _PART].T).astype(np.float64) for k in range(0, a.shape[1], _PART))
@@ -89,30 +115,24 @@ def _merge(parent: np.ndarray, i: np.ndarray, j: np.ndarray):
     return np.concatenate(joined, axis=1) if joined else np.zeros((2, 0), np.int64)
 
 
-def _tile_pair(limit: float):
+def _tile_pair(limit: float, in_full: bool):
+    """Links of a pair of tiles: those the codes prove, and the vectors of pairs they leave open; or, ``in_full``, the open pairs."""
+
     def run(key, table):
         import pyarrow as pa
 
-        t, u = key[0].as_py(), key[1].as_py()
-        dim = key[2].as_py()
-        ids = table.column("id").to_numpy()
-        tile = table.column("tile").to_numpy()
-        weight = table.column("copies").to_numpy()
-        listed = table.column("listed").to_numpy(zero_copy_only=False)
-        flat = table.column("vector").combine_chunks()
-        vectors = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim).astype(np.float64)
-        order = np.lexsort((ids, tile))
-        ids, tile, weight, listed, vectors = ids[order], tile[order], weight[order], listed[order], vectors[order]
-        # scaled by the largest component first, so that no square over- or underflows
-        vectors /= np.abs(vectors).max(axis=1)[:, None]
-        vectors /= np.sqrt((vectors * vectors).sum(axis=1))[:, None]
-        q, scale, err = _codes(vectors)
+        t, u, dim = (k.as_py() for k in key)
+        column = {c: table.column(c).combine_chunks() for c in table.column_names}
+        order = np.lexsort((column["id"].to_numpy(), column["tile"].to_numpy()))
+        ids, tile, weight, scale, err = (column[c].to_numpy()[order] for c in ("id", "tile", "copies", "scale", "error"))
+        listed = column["listed"].to_numpy(zero_copy_only=False)[order]
+        q = np.frombuffer(b"".join(column["codes"].to_pylist()), np.int8).reshape(len(ids), dim)[order]
+        exact = _unit(column["vector"].flatten().to_numpy(zero_copy_only=False), dim)[order] if in_full else None
         n = len(ids)
-        links, parent = np.zeros(n, np.int64), np.arange(n)
+        links, parent, asked = np.zeros(n, np.int64), np.arange(n), np.zeros(n, bool)
         edges, named = [], []
         cut = int(np.searchsorted(tile, u)) if t != u else n
-        left = range(0, cut if t != u else n, _SUB)
-        for a in left:
+        for a in range(0, cut, _SUB):
             ae = min(a + _SUB, cut)
             for b in range(a if t == u else cut, n, _SUB):
                 be = min(b + _SUB, n)
@@ -125,20 +145,25 @@ def _tile_pair(limit: float):
                 if not len(i):
                     continue
                 sure = near[i, j] >= limit + bound[i, j]
-                ask = np.flatnonzero(~sure)
-                sure[ask] = _exact(vectors[a:ae], vectors[b:be], i[ask], j[ask]) >= limit
+                if in_full:
+                    i, j = i[~sure], j[~sure]
+                    sure = _exact(exact[a:ae], exact[b:be], i, j) >= limit
+                else:
+                    asked[i[~sure] + a] = asked[j[~sure] + b] = True
                 i, j = i[sure] + a, j[sure] + b
                 links += np.bincount(i, weight[j], n).astype(np.int64) + np.bincount(j, weight[i], n).astype(np.int64)
                 edges.append(_merge(parent, i, j))
                 tell = listed[i] | listed[j]
                 named += [np.stack([i[tell], j[tell]]), np.stack([j[tell], i[tell]])]
-        hit = np.flatnonzero(links)
+        hit, ask = np.flatnonzero(links), np.flatnonzero(asked)
         e, m = (np.concatenate(x, axis=1) if x else np.zeros((2, 0), np.int64) for x in (edges, named))
+        size = len(hit) + e.shape[1] + m.shape[1] + len(ask)
         return pa.table({
-            "kind": pa.array(np.repeat([COUNT, EDGE, NAMED], [len(hit), e.shape[1], m.shape[1]]), pa.int32()),
-            "id": pa.array(ids[np.r_[hit, e[0], m[0]]], pa.int64()),
-            "other": pa.array(ids[np.r_[hit, e[1], m[1]]], pa.int64()),
-            "links": pa.array(np.r_[links[hit], np.zeros(e.shape[1] + m.shape[1], np.int64)], pa.int64()),
+            "kind": pa.array(np.repeat([COUNT, EDGE, NAMED, ASK], [len(hit), e.shape[1], m.shape[1], len(ask)]), pa.int32()),
+            "id": pa.array(ids[np.r_[hit, e[0], m[0], ask]], pa.int64()),
+            "other": pa.array(ids[np.r_[hit, e[1], m[1], ask]], pa.int64()),
+            "links": pa.array(np.r_[links[hit], np.zeros(size - len(hit), np.int64)], pa.int64()),
+            "t": pa.array(np.full(size, t), pa.int64()), "u": pa.array(np.full(size, u), pa.int64()),
         })
 
     return run
@@ -156,27 +181,31 @@ def linked_vectors(vectors: DataFrame, limit: float = 0.9, tile: int = TILE) ->
     flagged = members.join(store.hinted(several, n_several).withColumn("many", F.lit(True)), "vec_id", "left") if n_several else (
         members.withColumn("many", F.lit(None).cast("boolean")))
     # a class: equal vectors; ``copies`` counts its members with one vector only, ``listed`` tells that there are others
-    classes = store.saved(
+    grouped = (
         flagged.groupBy("embedding")
         .agg(F.min("vec_id").alias("low"), F.count_if(F.col("many").isNull()).alias("copies"), (F.count_if("many") > 0).alias("listed"))
-        .withColumn("id", F.monotonically_increasing_id()),
-        "vectors",
+        .withColumn("id", F.monotonically_increasing_id())
     )
+    classes = store.saved(grouped, "vectors")
     n = classes.count()
     tiles = max(1, -(-n // tile))
     own = F.pmod(F.xxhash64("id"), F.lit(tiles))
+    schema = "id long, copies long, listed boolean, vector array<float>, dim int, codes binary, scale double, error double".replace(
+        "array<float>", classes.schema["embedding"].dataType.simpleString())
+    coded = store.saved(classes.select("id", "copies", "listed", F.col("embedding").alias("vector")).mapInArrow(_quantised, schema), "codes")
+    tiled = coded.select("id", "copies", "listed", "dim", "codes", "scale", "error", own.alias("tile"))
     dealt = (
-        classes.select("id", "copies", "listed", F.col("embedding").alias("vector"), own.alias("tile"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-        .select(F.least("tile", "other").alias("t"), F.greatest("tile", "other").alias("u"), F.size("vector").alias("dim"),
-                "id", "copies", "listed", "vector", "tile")
+        tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+        .withColumn("t", F.least("tile", "other")).withColumn("u", F.greatest("tile", "other")).drop("other")
     )
     parts = min(tiles * (tiles + 1) // 2, 4096)
-    found = store.saved(
-        dealt.repartition(parts, "t", "u").groupBy("t", "u", "dim").applyInArrow(
-            _tile_pair(limit), "kind int, id long, other long, links long"),
-        "vector-links",
-    )
+    out = "kind int, id long, other long, links long, t long, u long"
+    proved = store.saved(dealt.repartition(parts, "t", "u").groupBy("t", "u", "dim").applyInArrow(_tile_pair(limit, False), out), "vector-links")
+    found = proved.where(f"kind <> {ASK}")
+    if not (open_ := proved.where(f"kind = {ASK}").select("id", "t", "u")).isEmpty():
+        in_full = open_.join(coded.withColumn("tile", own), "id")
+        decided = in_full.repartition(parts, "t", "u").groupBy("t", "u", "dim").applyInArrow(_tile_pair(limit, True), out)
+        found = found.unionByName(store.saved(decided, "vector-links-in-full"))
     edges = found.where(f"kind = {EDGE}").select("id", "other")
     again = None
     if n_several:
