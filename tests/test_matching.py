@@ -167,3 +167,77 @@ def test_export_is_the_same_bytes_twice(spark, tmp_path):
 def test_jaro_winkler_of_known_pairs():
     for a, b, want in (("dwayne", "duane", 0.84), ("dixon", "dicksonx", 0.813333), ("martha", "marhta", 0.961111), ("jones", "johnson", 0.832381), ("abc", "xyz", 0.0)):
         assert abs(T.jaro_winkler(a, b) - want) < 1e-5 and T.jaro_winkler(a, b) == T.jaro_winkler(b, a)
+
+
+def plain_clusters(pairs, every, review, size):
+    """Complete linkage with every pair known beforehand."""
+    band = {(a, b): x for a, b, _, x, _ in pairs}
+    group = {k: frozenset([k]) for e in every for k in e}
+    key = lambda x, y: (min(x, y), max(x, y))
+    bad = lambda g, h: any(every[key(x, y)][1] for x in g for y in h)
+    ok = lambda g, h: not bad(g, h) and all(every[key(x, y)][0] >= review for x in g for y in h)
+    over = set()
+    for a, b in sorted((e for e in band if band[e] == "auto" and not every[e][1]), key=lambda e: (-every[e][0], e)):
+        g, h = group[a], group[b]
+        if g == h:
+            continue
+        if len(g) + len(h) > size:
+            over |= min(g, h, key=lambda s: (len(s), min(s)))
+        elif ok(g, h):
+            for x in g | h:
+                group[x] = g | h
+
+    def leave(x):
+        rest = group[x] - {x}
+        group.update({y: rest for y in rest})
+        group[x] = frozenset([x])
+
+    for x in sorted(over):
+        if len(group[x]) > 1:
+            leave(x)
+    near = {x: {y for y in group if key(x, y) in band and every[key(x, y)][0] >= review and not every[key(x, y)][1]} for x in group}
+    for _ in range(10):
+        before = dict(group)
+        for x in sorted(group):
+            if len(group[x]) > 1 and any(bad(group[x], group[y]) for y in near[x] if group[y] != group[x]):
+                leave(x)
+        if before == group:
+            break
+    return {frozenset(g) for g in group.values()}
+
+
+def test_pairs_outside_blocks_are_scored_on_demand(spark):
+    rng = random.Random(21)
+    every, pairs = {}, []
+    for c in range(40):
+        ids = range(10 * c, 10 * c + rng.randrange(2, 10))
+        for a, b in itertools.combinations(ids, 2):
+            p = rng.choice([0.2, 0.6, 0.97, 0.98, 0.99, 0.999])
+            every[a, b] = (p, rng.random() < 0.04)
+            if rng.random() < 0.5:
+                pairs.append((a, b, p, "auto" if p >= 0.95 else "review" if p >= 0.5 else "none", ["domain_differs"] if every[a, b][1] else []))
+    scores = spark.createDataFrame(pairs, "a long, b long, p double, band string, cannot array<string>")
+    ids = sorted({k for e in every for k in e})
+    published = spark.createDataFrame([(i, D(i % 7)) for i in [*ids, 9999]], "id long, pub date")
+    table = spark.createDataFrame([(a, b, p, ["x"] if bar else []) for (a, b), (p, bar) in every.items()], "a long, b long, p double, cannot array<string>")
+    asked = []
+
+    def score(d):
+        asked.append(d.count())
+        return d.join(table, ["a", "b"])
+
+    got, _ = matching.clusters_noted(scores, published, 0.5, 6, score)
+    groups = collections.defaultdict(set)
+    for r in got.collect():
+        groups[r["cluster"]].add(r["id"])
+    want = plain_clusters(pairs, every, 0.5, 6)
+    assert {frozenset(g) for g in groups.values()} == want | {frozenset([9999])}
+    assert sum(asked) > 20 and len(asked) >= 2
+    strict, _ = matching.clusters_noted(scores, published, 0.5, 6)
+    assert len({r["cluster"] for r in strict.collect()}) > len(groups)  # without scores on demand fewer merge
+
+
+def test_random_pairs_grow_with_the_records(spark):
+    pairs = lambda n: matching.random_pairs(spark.range(n).select(F.col("id").alias("iid")), 8, "u").count()
+    few, many = pairs(1_500), pairs(15_000)
+    assert 8 < many / few < 12 and 6 * 15_000 < many < 10 * 15_000

@@ -6,13 +6,15 @@ domain, country, sector, people, ev (event day), pub (public day), cls (source c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.graph import components
-from tidewatch.operators.linkage import by_component
+from tidewatch.operators.linkage import beside, by_component
 from tidewatch.operators.scratch import cut
 
 #: The levels of each feature.
@@ -27,11 +29,29 @@ LEVELS = {
     "sector": ("agree", "missing", "differ"),
     "people": ("same", "other"),
 }
+#: Classes of source pairs; the event's levels are counted for each of them.
+DATE_CLASSES = ("reg_reg", "reg_hibp", "reg_press", "press_press", "sec_any", "other")
+CLASS_RANK = ("reg", "sec", "hibp", "press", "other")
 CANNOT_DAYS = 180
 #: Limits of the exact-name adjustment, pseudo-matches that pull m towards u.
 TF_CLAMP, SMOOTH = (-6.0, 4.0), 4.0
 
 
+#: What levels are counted by: a feature, or the event beside the class of the pair.
+KEYS = {k: vs for f, vs in LEVELS.items() for k in ([f"event:{c}" for c in DATE_CLASSES] if f == "event" else [f])}
+
+
+def date_class(a: Column, b: Column) -> Column:
+    """The class of a pair of sources, the better one first; a filing of the second kind beside anything is sec_any."""
+    rank = lambda c: F.array_position(F.array(*[F.lit(x) for x in CLASS_RANK]), c)
+    both = F.when(rank(a) <= rank(b), F.concat_ws("_", a, b)).otherwise(F.concat_ws("_", b, a))
+    return F.when((a == "sec") | (b == "sec"), "sec_any").when(both.isin(*DATE_CLASSES), both).otherwise("other")
+
+
+def _key(feature: str) -> Column:
+    return F.concat(F.lit("event:"), "date_class") if feature == "event" else F.lit(feature)
+
+
 def _steps(days: Column, limits: list[tuple[int, str]], beyond: str) -> Column:
     out = F
     for limit, name in limits:
@@ -66,31 +86,32 @@ def compared(pairs: DataFrame) -> DataFrame:
     reasons = F.array_compact(F.array(
         F.when(F.col("domain") == "different", "domain_differs"), F.when(F.col("name") == "conflict", "tokens_conflict"),
         F.when((gap > CANNOT_DAYS) & ~year_off, "event_dates_gt_180d"), F.when(F.col("country") == "conflict", "country_differs")))
-    return out.withColumn("cannot", reasons)
+    return out.withColumn("date_class", date_class(l("cls"), r("cls"))).withColumn("cannot", reasons)
 
 
 def level_counts(pairs: DataFrame, weight: Column | None = None) -> DataFrame:
     """(feature, level, n, w, w2) over compared pairs: one pass, a row per level that occurs."""
     w = F.lit(1.0) if weight is None else weight
-    stack = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in LEVELS]))
+    stack = F.explode(F.array(*[F.struct(_key(f).alias("feature"), F.col(f).alias("level")) for f in LEVELS]))
     return pairs.select(w.alias("w"), stack.alias("x")).groupBy("x.feature", "x.level").agg(
         F.count("*").alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("w")).alias("w2"))
 
 
 def _all_levels(spark) -> DataFrame:
-    return spark.createDataFrame([(f, v, len(vs)) for f, vs in LEVELS.items() for v in vs], "feature string, level string, levels int")
+    return spark.createDataFrame([(f, v, len(vs)) for f, vs in KEYS.items() for v in vs], "feature string, level string, levels int")
 
 
-def random_pairs(records: DataFrame, draws: int, buckets: int, seed: str) -> DataFrame:
+def random_pairs(records: DataFrame, draws: int, seed: str) -> DataFrame:
     """(l, r): each record is dealt into ``draws`` hashed buckets; those that meet in one are uniformly random pairs.
 
-    An equi-join on the bucket: with about two records a bucket the pairs are as many as records times draws.
+    There is a bucket for every two records (they are counted once), so pairs are as many as records times draws at every size. Only ids are
+    dealt and joined; the records come in last.
     """
+    buckets = max(1, -(-records.count() // 2))
     number = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.col("k").cast("string"), F.lit(":"), F.col("iid").cast("string"))), 1, 8), 16, 10).cast("long")
-    dealt = records.select(F.struct(*records.columns).alias("rec"), "iid", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("k"))
-    dealt = dealt.select("rec", "k", F.pmod(number, F.lit(buckets)).alias("b"))
-    left, right = dealt.withColumnRenamed("rec", "l"), dealt.withColumnRenamed("rec", "r")
-    return left.join(right, ["k", "b"]).where("l.iid < r.iid").select("l", "r")
+    dealt = records.select("iid", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("k")).select("iid", "k", F.pmod(number, F.lit(buckets)).alias("slot"))
+    ids = dealt.withColumnRenamed("iid", "a").join(dealt.withColumnRenamed("iid", "b"), ["k", "slot"]).where("a < b").select("a", "b")
+    return beside(ids, records, "iid")
 
 
 def estimate_u(pairs: DataFrame) -> DataFrame:
@@ -122,8 +143,9 @@ def scored(pairs: DataFrame, model: DataFrame, name_share: DataFrame, prior: flo
     w = F.lit(float(np.log2(prior / (1 - prior))))
     for f, levels in LEVELS.items():
         step = F
-        for v in levels:
-            step = step.when(F.col(f) == v, float(table[f, v]))
+        for k in [k for k in KEYS if k.split(":")[0] == f]:
+            for v in levels:
+                step = step.when((F.col(f) == v) & (_key(f) == k), float(table[k, v]))
         w = w + step.otherwise(0.0)
     d = pairs.withColumn("nn", F.col("l.nn")).join(name_share, "nn", "left")
     tf = F.greatest(F.lit(TF_CLAMP[0]), F.least(F.lit(TF_CLAMP[1]), F.log2(F.lit(u_exact) / F.col("share"))))
@@ -147,10 +169,10 @@ def decided(scores: DataFrame, notes: DataFrame) -> DataFrame:
     return d.select("a", "b", decision.alias("decision"))
 
 
-def level_em(patterns: DataFrame, rounds: int = 50, match: float = 0.1) -> DataFrame:
-    """(feature, level, m, u): both estimated without labels from counts of level patterns (features..., n).
+def level_em(patterns: DataFrame, known_u: dict | None = None, rounds: int = 50, match: float = 0.1) -> DataFrame:
+    """(feature, level, m, u) estimated without labels from counts of level patterns (features..., n).
 
-    Patterns are summed up first: their number is bounded by the product of the levels, whatever the number of pairs.
+    With ``known_u`` (by feature and level, as from random pairs) u stays as it is; else it is estimated as well. Patterns are summed up first: their number is bounded by the product of the levels, whatever the number of pairs.
     """
     names = list(LEVELS)
 
@@ -160,12 +182,14 @@ def level_em(patterns: DataFrame, rounds: int = 50, match: float = 0.1) -> DataF
         codes = {f: pd.Categorical(pdf[f], LEVELS[f]).codes for f in names}
         start = lambda vs: np.linspace(2, 1, len(vs)) / np.linspace(2, 1, len(vs)).sum()
         m, u, share = {f: start(LEVELS[f]) for f in names}, {f: start(LEVELS[f])[::-1] for f in names}, match
+        if known_u:
+            u = {f: np.array([known_u[f, v] for v in LEVELS[f]]) for f in names}
         for _ in range(rounds):
             log = np.log(share) - np.log(1 - share) + sum(np.log(m[f][codes[f]]) - np.log(u[f][codes[f]]) for f in names)
             post = 1 / (1 + np.exp(-np.clip(log, -500, 500)))
             share = float(np.clip((n @ post) / n.sum(), 1e-6, 1 - 1e-6))
             for f in names:
-                for side, w in ((m, n * post), (u, n * (1 - post))):
+                for side, w in ((m, n * post), (u, n * (1 - post)))[: 1 if known_u else 2]:
                     c = np.bincount(codes[f], w, len(LEVELS[f])) + 1e-3
                     side[f] = c / c.sum()
         return pd.DataFrame([(f, v, m[f][k], u[f][k]) for f in names for k, v in enumerate(LEVELS[f])], columns=["feature", "level", "m", "u"])
@@ -174,43 +198,54 @@ def level_em(patterns: DataFrame, rounds: int = 50, match: float = 0.1) -> DataF
     return counts.groupBy(F.lit(0).alias("g")).applyInPandas(lambda pdf: fit(pdf[[*names, "n"]]), "feature string, level string, m double, u double")
 
 
-def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size: int = 10) -> tuple[DataFrame, DataFrame]:
+def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size: int = 10, score: Callable[[DataFrame], DataFrame] | None = None,
+                   max_rounds: int = 40) -> tuple[DataFrame, DataFrame]:
     """((id, cluster), (a, b, note)): complete-linkage clusters over scored pairs (a, b, p, band, cannot).
 
     Automatic edges merge from the most probable down, if every pair across reaches ``review`` and none is barred. What
     would outgrow ``size`` leaves its smaller side for review; a member that also reaches review level in a rival
-    cluster, one that a barred pair keeps apart, leaves too. The name of a cluster is its earliest published member
-    (``published``: id, pub). One component of pairs at review level is worked on at a time; notes tell why an
-    automatic edge was not taken.
+    cluster, one that a barred pair keeps apart, leaves too, until nobody leaves (ten passes at most). The name of a cluster is its
+    earliest published member (``published``: id, pub; ids without a pair are clusters of their own). Notes tell why an automatic edge was not taken.
+
+    A pair across that is in no block is scored on demand: a component that needs such pairs names those of all merges that can be
+    tried by then, ``score`` ((a, b) to (a, b, p, cannot)) scores them for all components at once, and only these components are worked on
+    again. Without ``score`` such a pair counts as 0. A component's pairs at review level are in one task, its clusters are at most ``size``.
     """
     scores = cut(scores)
     label = components(scores.where(F.col("p") >= review), "a", "b")
     at_b = label.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
     days = published.select(F.col("id"), F.col("pub").cast("string").alias("pub"))
-    work = (
+    work = cut(
         scores.select("a", "b", "p", "band", (F.size("cannot") > 0).alias("barred")).join(label.select(F.col("id").alias("a"), "component"), "a")
         .join(at_b, "b").where("component = _cb").drop("_cb")
         .join(days.select(F.col("id").alias("a"), F.col("pub").alias("pa")), "a").join(days.select(F.col("id").alias("b"), F.col("pub").alias("pb")), "b")
     )
+    on_demand = score is not None
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        blocked = pdf["band"].notna().tolist()
         p = {(x, y): v for x, y, v in zip(pdf["a"], pdf["b"], pdf["p"])}
         barred = {(x, y) for x, y, v in zip(pdf["a"], pdf["b"], pdf["barred"]) if v}
         auto = sorted(((x, y) for x, y, v in zip(pdf["a"], pdf["b"], pdf["band"]) if v == "auto" and (x, y) not in barred), key=lambda e: (-p[e], e))
-        pub = dict(zip(pdf["a"], pdf["pa"])) | dict(zip(pdf["b"], pdf["pb"]))
+        pub = {k: v for k, v in [*zip(pdf["a"], pdf["pa"]), *zip(pdf["b"], pdf["pb"])] if v is not None}
         group = {x: {x} for x in pub}
         near: dict = {x: set() for x in pub}
-        for x, y in p:
-            if p[x, y] >= review and (x, y) not in barred:
+        for (x, y), here in zip(zip(pdf["a"], pdf["b"]), blocked):
+            if here and p[x, y] >= review and (x, y) not in barred:
                 near[x].add(y)
                 near[y].add(x)
         notes: dict = {}
+        missing: set = set()
         pair = lambda x, y: (min(x, y), max(x, y))
 
         def against(one_, two_):
             cross = [pair(x, y) for x in one_ for y in two_]
             if any(c in barred for c in cross):
                 return "barred"
+            unknown = [c for c in cross if c not in p]
+            if unknown and on_demand:
+                missing.update(unknown)
+                return "unknown"
             return "complete_linkage" if any(p.get(c, 0.0) < review for c in cross) else None
 
         def leave(x, note):
@@ -222,31 +257,61 @@ def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size:
                 if pair(x, y) in auto_set:
                     notes[pair(x, y)] = note
 
-        auto_set, over = set(auto), set()
+        auto_set, over, held = set(auto), set(), set()
         for x, y in auto:
             one_, two_ = group[x], group[y]
             if one_ is two_:
                 continue
+            if held & one_ or held & two_:
+                held |= one_ | two_  # what comes after an open merge is open as well
+                continue
             if len(one_) + len(two_) > size:
                 notes[x, y] = "cluster_size_cap"
                 over |= min(one_, two_, key=lambda s: (len(s), min(s)))
                 continue
             why = against(one_, two_)
-            if why:
+            if why == "unknown":
+                held |= one_ | two_
+            elif why:
                 notes[x, y] = why
-                continue
-            both = one_ | two_
-            for z in both:
-                group[z] = both
-        for x in sorted(over):
-            if len(group[x]) > 1:
-                leave(x, "cluster_size_cap")
-        for x in sorted(group):
-            if len(group[x]) > 1 and any(against(group[x], group[y]) == "barred" for y in near[x] if y not in group[x]):
-                leave(x, "ambiguous")
-        rows = [(x, min(g, key=lambda z: (pub[z], z)), None, None, None) for x, g in group.items()]
-        rows += [(None, None, x, y, n) for (x, y), n in notes.items()]
-        return pd.DataFrame(rows, columns=["id", "cluster", "a", "b", "note"], dtype=object)
-
-    out = cut(by_component(work, one, "id long, cluster long, a long, b long, note string"))
-    return out.where("id is not null").select("id", "cluster"), out.where("note is not null").select("a", "b", "note")
+            else:
+                both = one_ | two_
+                for z in both:
+                    group[z] = both
+        if not held:
+            for x in sorted(over):
+                if len(group[x]) > 1:
+                    leave(x, "cluster_size_cap")
+            for _ in range(10):
+                going = False
+                for x in sorted(group):
+                    rivals = {id(group[y]): group[y] for y in near[x] if group[y] is not group[x]} if len(group[x]) > 1 else {}
+                    if any([against(group[x], g) == "barred" for g in rivals.values()]):
+                        leave(x, "ambiguous")
+                        going = True
+                if not going or missing:
+                    break
+        if missing:
+            rows = [(None, None, x, y, None, True) for x, y in sorted(missing)]
+        else:
+            rows = [(x, min(g, key=lambda z: (pub[z], z)), None, None, None, False) for x, g in group.items()]
+            rows += [(None, None, x, y, n, False) for (x, y), n in notes.items()]
+        out = pd.DataFrame(rows, columns=["id", "cluster", "a", "b", "note", "asked"], dtype=object)
+        return out.assign(component=pdf["component"].iloc[0])
+
+    done = None
+    for _ in range(max_rounds):
+        out = cut(by_component(work, one, "id long, cluster long, a long, b long, note string, asked boolean, component long"))
+        settled = out.where("not asked")
+        done = settled if done is None else done.unionByName(settled)
+        asked = out.where("asked").select("a", "b", "component")
+        if not on_demand or asked.isEmpty():
+            break
+        fresh = score(asked.select("a", "b")).select("a", "b", "p", F.lit(None).cast("string").alias("band"), (F.size("cannot") > 0).alias("barred"))
+        none = F.lit(None).cast("string")
+        again = work.join(asked.select("component").distinct(), "component", "left_semi")
+        work = cut(again.unionByName(asked.join(fresh, ["a", "b"]).select(*[c for c in again.columns if c not in ("pa", "pb")], none.alias("pa"), none.alias("pb"))))
+    else:
+        raise RuntimeError("clusters did not settle")
+    named = published.select("id").join(done.where("id is not null").select("id", "cluster"), "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+    return named, done.where("note is not null").select("a", "b", "note")

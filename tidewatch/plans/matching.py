@@ -83,7 +83,9 @@ _COMPARED = """levels AS (SELECT *, CASE WHEN lnn = rnn THEN 'exact' WHEN llk =
   CASE WHEN lcls IN ('reg', 'sec') AND rcls IN ('reg', 'sec') THEN CASE WHEN lcls = rcls THEN 'same_reg' ELSE 'diff_reg' END ELSE 'other' END AS source,
   CASE WHEN lcountry IS NULL OR rcountry IS NULL THEN 'missing' WHEN lcountry = rcountry THEN 'agree' ELSE 'conflict' END AS country,
   CASE WHEN lsector IS NULL OR rsector IS NULL THEN 'missing' WHEN lsector = rsector THEN 'agree' ELSE 'differ' END AS sector,
-  CASE WHEN lpeople = rpeople THEN 'same' ELSE 'other' END AS people
+  CASE WHEN lpeople = rpeople THEN 'same' ELSE 'other' END AS people,
+  CASE WHEN lcls = 'sec' OR rcls = 'sec' THEN 'sec_any' WHEN lcls = 'reg' AND rcls = 'reg' THEN 'reg_reg' WHEN lcls = 'press' AND rcls = 'press' THEN 'press_press'
+    WHEN (lcls = 'reg' AND rcls = 'hibp') OR (lcls = 'hibp' AND rcls = 'reg') THEN 'reg_hibp' WHEN (lcls = 'reg' AND rcls = 'press') OR (lcls = 'press' AND rcls = 'reg') THEN 'reg_press' ELSE 'other' END AS date_class
   FROM (SELECT *, len(list_intersect(ltoks, rtoks)) AS common, least(len(ltoks), len(rtoks)) AS small, abs(lev - rev) AS gap, abs(lpub - rpub) AS pgap,
     strftime(lev, '%m-%d') = strftime(rev, '%m-%d') AND abs(year(lev) - year(rev)) = 1 AS year_off FROM pairs)),
 cmp AS (SELECT *, list_filter([CASE WHEN domain = 'different' THEN 'domain_differs' END, CASE WHEN name = 'conflict' THEN 'tokens_conflict' END,
@@ -126,22 +128,23 @@ def record_features(spark, sf_dir):
 
 _PAIRS = f"pairs AS (SELECT {_SIDES} FROM blocked JOIN recs l ON l.iid = a JOIN recs r ON r.iid = b)"
 _FEATURES_SQL = f"WITH {_RECORDS}, {_BLOCKS}, {_PAIRS}, {_COMPARED} SELECT liid AS a, riid AS b, {', '.join(_FEATURES)}, array_to_string(cannot, ',') AS cannot FROM cmp"
-DRAWS, BUCKETS = 8, 4096
+DRAWS = 8
 
 
 def _u(spark, sf_dir):
-    return matching.estimate_u(matching.compared(matching.random_pairs(records(spark, sf_dir), DRAWS, BUCKETS, "u")))
+    return matching.estimate_u(matching.compared(matching.random_pairs(cut(records(spark, sf_dir)), DRAWS, "u")))
 
 
 def level_u(spark, sf_dir):
-    """Shares of the levels among random pairs of records."""
+    """Shares of the levels among random pairs of records, those of the event by class of sources."""
     return _u(spark, sf_dir).withColumn("u", F.round("u", 9))
 
 
-_RANDOM = f"""dealt AS (SELECT recs.*, k, ('0x' || substr(md5('u:' || k || ':' || iid), 1, 8))::UBIGINT % {BUCKETS} AS bucket FROM recs, range(1, {DRAWS + 1}) t(k)),
+_RANDOM = f"""dealt AS (SELECT recs.*, k, ('0x' || substr(md5('u:' || k || ':' || iid), 1, 8))::UBIGINT % greatest(1, (SELECT (count(*) + 1) // 2 FROM recs)) AS bucket FROM recs, range(1, {DRAWS + 1}) t(k)),
 pairs AS (SELECT {_SIDES} FROM dealt l JOIN dealt r ON l.k = r.k AND l.bucket = r.bucket AND l.iid < r.iid)"""
-_VALUES = ", ".join(f"('{f}', '{v}', {len(vs)})" for f, vs in matching.LEVELS.items() for v in vs)
-_STACK = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS level, * FROM cmp" for f in _FEATURES)
+_VALUES = ", ".join(f"('{f}', '{v}', {len(vs)})" for f, vs in matching.KEYS.items() for v in vs)
+_KEY = lambda f: "'event:' || date_class" if f == "event" else f"'{f}'"
+_STACK = " UNION ALL ".join(f"SELECT {_KEY(f)} AS feature, {f} AS level, * FROM cmp" for f in _FEATURES)
 _U = f"""SELECT feature, level, (coalesce(c.n, 0) + 1) / (sum(coalesce(c.n, 0)) OVER (PARTITION BY feature) + levels) AS u
   FROM (VALUES {_VALUES}) v(feature, level, levels) LEFT JOIN (SELECT feature, level, count(*) AS n FROM ({_STACK}) GROUP BY ALL) c USING (feature, level)"""
 _U_SQL = f"WITH {_RECORDS}, {_RANDOM}, {_COMPARED}, u AS ({_U}) SELECT feature, level, round(u, 9) AS u FROM u"
@@ -169,12 +172,19 @@ model AS (SELECT *, log2(m / u) AS bf FROM (SELECT uu.feature, uu.level, (coales
 _M_SQL = f"WITH {_M} SELECT feature, level, round(m, 9) AS m, round(u, 9) AS u, round(bf, 9) AS bf FROM model"
 
 
-def _scores(spark, sf_dir):
+def _scorer(spark, sf_dir):
+    """(compared blocked pairs, a function that scores compared pairs)."""
     pairs, model = _model(spark, sf_dir)
     r = records(spark, sf_dir)
     n = r.agg(F.count("*").alias("n"))
     share = r.groupBy("nn").agg(F.count("*").alias("c")).crossJoin(F.broadcast(n)).select("nn", (F.col("c") / F.col("n")).alias("share"))
-    return matching.scored(pairs, model, share, PRIOR, AUTO, REVIEW)
+    model = cut(model)
+    return pairs, lambda d: matching.scored(d, model, share, PRIOR, AUTO, REVIEW)
+
+
+def _scores(spark, sf_dir):
+    pairs, score = _scorer(spark, sf_dir)
+    return score(pairs)
 
 
 def record_scores(spark, sf_dir):
@@ -182,7 +192,7 @@ def record_scores(spark, sf_dir):
     return _scores(spark, sf_dir).select("a", "b", F.round("weight", 6).alias("weight"), F.round("p", 6).alias("p"), F.concat_ws(",", "caps").alias("caps"), "band")
 
 
-_BF = " + ".join(f"(SELECT bf FROM model WHERE feature = '{f}' AND level = cmp.{f})" for f in _FEATURES)
+_BF = " + ".join(f"(SELECT bf FROM model WHERE feature = {_KEY(f)} AND level = cmp.{f})" for f in _FEATURES)
 _S = f"""{_M}, sh AS (SELECT nn, count(*) / (SELECT count(*) FROM recs) AS share FROM recs GROUP BY nn), ue AS (SELECT u FROM uu WHERE feature = 'name' AND level = 'exact'),
 sw AS (SELECT liid AS a, riid AS b, cannot, log2({PRIOR} / (1 - {PRIOR})) + {_BF} + CASE WHEN name = 'exact' THEN greatest(-6.0, least(4.0, log2((SELECT u FROM ue) / share))) ELSE 0 END AS weight,
   list_filter([CASE WHEN (len(ltoks) = 1 OR len(rtoks) = 1) AND event NOT IN ('d0', 'd3', 'd14') AND domain <> 'equal' THEN 'single_token' END,
@@ -193,8 +203,10 @@ _S_SQL = f"WITH {_S} SELECT a, b, round(weight, 6) AS weight, round(p, 6) AS p,
 
 
 def _clustered(spark, sf_dir):
-    s = _scores(spark, sf_dir)
-    return s, *matching.clusters_noted(s, records(spark, sf_dir).select(F.col("iid").alias("id"), "pub"), REVIEW)
+    pairs, score = _scorer(spark, sf_dir)
+    s, r = cut(score(pairs)), cut(records(spark, sf_dir))
+    on_demand = lambda ids: score(matching.compared(linkage.beside(ids, r, "iid")))
+    return s, *matching.clusters_noted(s, r.select(F.col("iid").alias("id"), "pub"), REVIEW, score=on_demand)
 
 
 def record_clusters(spark, sf_dir):
@@ -209,9 +221,11 @@ def record_decisions(spark, sf_dir):
 
 
 def level_em(spark, sf_dir):
-    """m and u without labels, from the level patterns of all blocked pairs (an iteration; no SQL)."""
+    """m without labels, from the level patterns of all blocked pairs, with u as random pairs have it (an iteration; no SQL)."""
     d = matching.compared(_blocked(spark, sf_dir)[0]).groupBy(*_FEATURES).agg(F.count("*").alias("n"))
-    return matching.level_em(d).select("feature", "level", F.round("m", 6).alias("m"), F.round("u", 6).alias("u"))
+    u = matching.estimate_u(matching.compared(matching.random_pairs(cut(records(spark, sf_dir)), DRAWS, "u")).withColumn("date_class", F.lit("other")))
+    known = {(r["feature"].removesuffix(":other"), r["level"]): r["u"] for r in u.collect()}  # a row per level
+    return matching.level_em(d, known).select("feature", "level", F.round("m", 6).alias("m"), F.round("u", 6).alias("u"))
 
 
 def name_frequencies(spark, sf_dir):
