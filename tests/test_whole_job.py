@@ -21,17 +21,17 @@ def test_linkage_takes_all_dates_and_lists_dropped_blocks(spark, tmp_path):
     day = lambda n: dt.date(1998, 2, 1) + dt.timedelta(days=n)
     rows = [(k, k // 2, "1-URGENT", day(k % 2)) for k in range(20)] + [(100 + k, 99, "2-HIGH", day(k)) for k in range(30)]
     sf = orders(spark, tmp_path, rows)
-    assert {tuple(r) for r in Q["blocked_pairs_all"](spark, sf).collect()} == {(2 * k, 2 * k + 1) for k in range(10)}
+    assert {tuple(r) for r in Q["blocked_pairs"](spark, sf).collect()} == {(2 * k, 2 * k + 1) for k in range(10)}
     assert {(r["rule"], r["block"], r["n"]) for r in Q["blocks_dropped"](spark, sf).collect()} == {
         ("pairs", "s|99|2-HIGH", 30), ("pairs", "q|99|1998-01-01", 30), ("weights", "99|1998-01-01", 30)}
-    assert {r["level"] for r in Q["linkage_weights_all"](spark, sf).collect()} == {"near", "same"}
+    assert {r["level"] for r in Q["linkage_weights"](spark, sf).collect()} == {"near", "same"}
     assert {r["id"] for r in Q["linkage_clusters"](spark, sf).collect()} == set(range(20))
 
 
 def test_rates_come_from_all_entries(spark, tmp_path):
     day = dt.date(1995, 5, 1)
     sf = orders(spark, tmp_path, [(1, 1, "1-URGENT", day), (3, 2, "1-URGENT", day), (8, 3, "2-HIGH", day), (9, 3, "5-LOW", day)])
-    assert {r["entry"]: r["rate"] for r in Q["asof_rate_all"](spark, sf).collect()} == {1: 103.0, 3: 103.0, 8: 101.0, 9: 1.0}
+    assert {r["entry"]: r["rate"] for r in Q["asof_rate"](spark, sf).collect()} == {1: 103.0, 3: 103.0, 8: 101.0, 9: 1.0}
 
 
 def test_event_units_as_brute_force(spark, tmp_path):

@@ -9,27 +9,17 @@ from tidewatch.operators import joins
 from tidewatch.plans.tables import ASSERTIONS, OBSERVATIONS, assertions, observations, table
 
 
-def _at_rate(spark, sf_dir, quoted):
-    a = assertions(spark, sf_dir).select("entry", "source", "added")
-    rates = quoted.groupBy("source", "added").agg(F.max("price").alias("rate"))
-    out = joins.asof_backward(a, rates, ["source"], "added", "rate", 9)
-    return out.select("entry", "source", "added", F.when(F.col("source") == "5-LOW", 1.0).otherwise(F.col("rate")).alias("rate"))
-
-
 def asof_rate(spark, sf_dir):
-    """Orders at the last rate of their list within nine days before, from entries that are multiples of 7 only; USD-like list 5-LOW is one."""
-    return _at_rate(spark, sf_dir, assertions(spark, sf_dir).where("entry % 7 = 0"))
-
-
-def asof_rate_all(spark, sf_dir):
     """Orders at the last daily rate of their list within nine days before, from all entries; USD-like list 5-LOW is one."""
-    return _at_rate(spark, sf_dir, assertions(spark, sf_dir))
+    a = assertions(spark, sf_dir)
+    rates = a.groupBy("source", "added").agg(F.max("price").alias("rate"))
+    out = joins.asof_backward(a.select("entry", "source", "added"), rates, ["source"], "added", "rate", 9)
+    return out.select("entry", "source", "added", F.when(F.col("source") == "5-LOW", 1.0).otherwise(F.col("rate")).alias("rate"))
 
 
-_ASOF = f"""WITH {ASSERTIONS}, x AS (SELECT source, added AS d, max(price) AS rate FROM a WHERE entry % 7 = 0 GROUP BY ALL)
+_ASOF = f"""WITH {ASSERTIONS}, x AS (SELECT source, added AS d, max(price) AS rate FROM a GROUP BY ALL)
 SELECT entry, a.source, a.added, CASE WHEN a.source = '5-LOW' THEN 1.0 WHEN a.added - x.d <= 9 THEN x.rate END AS rate
 FROM a ASOF LEFT JOIN x ON a.source = x.source AND a.added >= x.d"""
-_ASOF_ALL = _ASOF.replace(" WHERE entry % 7 = 0", "")
 
 
 def interval_claim_link(spark, sf_dir):
@@ -229,4 +219,3 @@ QUERIES = {f.__name__: f for f in (
     dominant_per_bucket, or_join_lookup, one_to_one_join, set_differences, orphans, work_queue, monotonic_self_join)}
 ORACLE_SQL = dict(zip(QUERIES, (
     _ASOF, _INTERVAL, _CORROBORATION, _COARSE, _RANGE, _ROUTED, _MOAS, _DOMINANT, _OR, _ONE, _SETS, _ORPHANS, _QUEUE, _MONOTONIC)))
-QUERIES["asof_rate_all"], ORACLE_SQL["asof_rate_all"] = asof_rate_all, _ASOF_ALL

@@ -128,11 +128,6 @@ SELECT * FROM (SELECT a.t, b.t AS u, round(len(list_intersect(a.g, b.g)) / len(l
 WHERE similarity >= 0.5"""
 
 
-def _early(a):
-    """The part that the SQL of blocked_pairs and linkage_weights takes; the queries ending in _all take all dates."""
-    return a.where("added < date '1998-01-01'")
-
-
 def _blocked(a):
     keys = [F.concat_ws("|", F.lit("s"), "vuln", "source"), F.concat_ws("|", F.lit("q"), "vuln", F.date_format(F.trunc("added", "quarter"), "yyyy-MM-dd"))]
     pairs, dropped = linkage.blocked_pairs(a.select("entry", "vuln", "source", "added", "price"), "entry", keys, F.abs(F.datediff("l.added", "r.added")) <= 365)
@@ -140,29 +135,21 @@ def _blocked(a):
 
 
 def blocked_pairs(spark, sf_dir):
-    """Assertion pairs that share (customer, list) or (customer, quarter) within a year; too large blocks dropped. Only orders before 1998."""
-    return _blocked(_early(assertions(spark, sf_dir)))[0]
-
-
-def blocked_pairs_all(spark, sf_dir):
-    """As blocked_pairs, from the orders of all dates; ``blocks_dropped`` lists what is in no pair."""
+    """Assertion pairs that share (customer, list) or (customer, quarter) within a year; ``blocks_dropped`` lists what is in no pair."""
     return _blocked(assertions(spark, sf_dir))[0]
 
 
 def blocks_dropped(spark, sf_dir):
-    """The blocks over 300 pairs that blocked_pairs_all (rule 'pairs') and linkage_weights_all and linkage_clusters (rule 'weights') leave out."""
+    """The blocks over 300 pairs that blocked_pairs (rule 'pairs') and linkage_weights and linkage_clusters (rule 'weights') leave out."""
     a = assertions(spark, sf_dir)
     return _blocked(a)[1].withColumn("rule", F.lit("pairs")).unionByName(_compared_of(a)[1].withColumn("rule", F.lit("weights")))
 
 
-_BLOCKED = f"""WITH {ASSERTIONS}, x AS (SELECT * FROM a WHERE added < DATE '1998-01-01'),
+_BLOCKED = f"""WITH {ASSERTIONS}, x AS (SELECT * FROM a),
 k AS (SELECT entry, added, 's|' || vuln || '|' || source AS key FROM x UNION ALL SELECT entry, added, 'q|' || vuln || '|' || date_trunc('quarter', added)::DATE FROM x),
 z AS (SELECT key FROM k GROUP BY key HAVING count(*) * (count(*) - 1) / 2 BETWEEN 1 AND 300)
 SELECT DISTINCT l.entry AS a, r.entry AS b FROM k l JOIN k r USING (key) SEMI JOIN z USING (key) WHERE l.entry < r.entry AND abs(l.added - r.added) <= 365"""
 
-
-_BLOCKED_ALL = _BLOCKED.replace(" WHERE added < DATE '1998-01-01'", "")
-
 _DROPPED = f"""WITH {ASSERTIONS}, k AS (SELECT 'pairs' AS rule, 's|' || vuln || '|' || source AS block FROM a
 UNION ALL SELECT 'pairs', 'q|' || vuln || '|' || date_trunc('quarter', added)::DATE FROM a
 UNION ALL SELECT 'weights', vuln || '|' || date_trunc('year', added)::DATE FROM a)
@@ -179,7 +166,7 @@ def _compared_of(a):
     return compared, dropped
 
 
-_COMPARED = f"""{ASSERTIONS}, x AS (SELECT *, vuln || '|' || year(added) AS key FROM a WHERE added < DATE '1998-01-01'),
+_COMPARED = f"""{ASSERTIONS}, x AS (SELECT *, vuln || '|' || year(added) AS key FROM a),
 z AS (SELECT key FROM x GROUP BY key HAVING count(*) * (count(*) - 1) / 2 BETWEEN 1 AND 300),
 p AS (SELECT l.entry AS a, r.entry AS b, abs(l.added - r.added) AS gap, greatest(l.price, r.price) / least(l.price, r.price) AS ratio, l.source = r.source AS truth
   FROM x l JOIN x r USING (key) SEMI JOIN z USING (key) WHERE l.entry < r.entry),
@@ -193,12 +180,7 @@ def _weights(c):
 
 
 def linkage_weights(spark, sf_dir):
-    """Weights of date and price levels, from pairs of one customer and year. Only orders before 1998."""
-    return _weights(_compared_of(_early(assertions(spark, sf_dir)))[0])
-
-
-def linkage_weights_all(spark, sf_dir):
-    """As linkage_weights, from the orders of all dates; ``blocks_dropped`` lists what is in no pair."""
+    """Weights of date and price levels, from pairs of one customer and year; ``blocks_dropped`` lists what is in no pair."""
     return _weights(_compared_of(assertions(spark, sf_dir))[0])
 
 
@@ -208,9 +190,6 @@ s AS (SELECT feature, level, (km + 1) / (sum(km) OVER w + count(*) OVER w) AS m,
 SELECT feature, level, round(m, 9) AS m, round(u, 9) AS u, round(log2(m / u), 9) AS weight FROM s"""
 
 
-_WEIGHTS_ALL = _WEIGHTS.replace(" WHERE added < DATE '1998-01-01'", "")
-
-
 def _clusters(c):
     p = linkage.scored(c, ["a", "b"], ["date_level", "price_level"], linkage.weights(c, ["date_level", "price_level"], "truth"), 1.0)
     marked = p.join(c.select("a", "b", (F.col("price_level") == "other").alias("cannot")), ["a", "b"])
@@ -326,5 +305,4 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL = dict(zip(QUERIES, (
     _BOILERPLATE, _WITHOUT, _IDF, _FACTS, _KIND, _PRECISION, _DOMAINS, _TURNS, _TRIGRAM, _BLOCKED, _WEIGHTS, _COMPONENTS, _PRECEDENCE,
     _DISAGREE, _TIER, _INCIDENT, _IDENTITY, _BUSY)))
-QUERIES |= {f.__name__: f for f in (blocked_pairs_all, blocks_dropped, linkage_weights_all)}
-ORACLE_SQL |= {"blocked_pairs_all": _BLOCKED_ALL, "blocks_dropped": _DROPPED, "linkage_weights_all": _WEIGHTS_ALL}
+QUERIES["blocks_dropped"], ORACLE_SQL["blocks_dropped"] = blocks_dropped, _DROPPED
