@@ -4,6 +4,11 @@ Quality rules reject documents and take frequent lines out; of each group of nea
 shingles, similarity 0.8) one document stays; secrets are replaced by a mark; sources are
 mixed to their target weights within 90 per cent of the tokens, without repeating any; and what
 is left is packed into sequences. Stages but the last return the columns of ``documents``.
+
+Defined cases, stage by stage: a null text counts as empty, and so fails the quality rules; null ids and repeated rows are rows of their own
+(of equal texts one stays); a null source or language is one of its own; very long texts are read whole and are cut only into pieces of a
+sequence; ties are broken by id, then text; an empty table gives an empty result of the last stage's columns; extra columns, also with names that the stages
+use themselves, pass through to the last stage, which returns pieces only.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("catalogue", "merges", "cohorts", "joining", "statistics", "textual", "quality_gates", "monitoring", "bookkeeping", "scoring", "matching", "incidents", "networks", "facts", "feeds", "suites", "judging", "reading", "naming", "running")
+MODULES = ("catalogue", "merges", "cohorts", "joining", "statistics", "textual", "quality_gates", "monitoring", "bookkeeping", "scoring", "matching", "incidents", "networks", "facts", "feeds", "suites", "judging", "reading", "naming", "running", "verdicts")
 
 
 def _all(name: str) -> dict:
