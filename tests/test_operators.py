@@ -36,6 +36,8 @@ def test_text_functions(spark):
     assert T.negated("They said data was not stolen.", "stolen") and not T.negated("It was not us. Data was stolen.", "stolen")
     assert T.numbers_in("1億2000万人、2万5千件と3,000件、1.5万") == [120_000_000, 25_000, 3000, 15_000] and T.numbers_in("") == []
     assert T.negated("データの流出は確認されていません。", "流出") and not T.negated("流出しました。影響はありません。", "流出") and T.negated("Stolen data it was never", "stolen") and T.negated("It wasn't stolen", "stolen")
+    for t, denied in (("流出件数は少ない", False), ("間もない時期に流出した", False), ("流出は危ない", False), ("流出していない", True), ("流出はないと発表した", True), ("流出は確認されておらず、調査中", True), ("「流出は無かった、ない」", False), ("流出の事実はない」", True)):
+        assert T.negated(t, "流出") is denied, t
     assert T.grounded("affected 1,200 people", "It affected 1,200   people.", 1200) is None
     assert T.grounded("affected 1,200 people", "nothing", 1200) == "quote not in document" and T.grounded("affected some people", "affected some people", 5) == "number not in quote"
     assert T.is_acronym("U.C.L.A.", "University of California Los Angeles") and not T.is_acronym("IT", "Italian Trade")

@@ -23,7 +23,9 @@ QUALIFIERS = ("of north america", "of america", "north america", "u s a", "u s",
 #: Words that turn a clause around.
 NEGATIONS = ("no", "not", "never", "none", "without", "denied", "denies", "neither")
 #: Japanese endings and words that turn a clause around.
-JAPANESE_NEGATIONS = ("ない", "ません", "なかった", "いません", "否定", "確認されておらず")
+JAPANESE_NEGATIONS = ("ません", "なかった", "おらず", "否定")
+#: Adjectives that end like a negation and negate nothing; what may follow a negation within a clause.
+NOT_NEGATIONS, AFTER_NEGATION = ("少ない", "間もない", "危ない"), ("と", "こと", "もの", "よう")
 #: Multipliers written after a number.
 SCALES = {"thousand": 10**3, "k": 10**3, "million": 10**6, "m": 10**6, "billion": 10**9, "bn": 10**9, "千": 10**3, "万": 10**4, "億": 10**8}
 #: Byte units.
@@ -44,10 +46,12 @@ _LEGAL = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(LEGAL_FORMS_RE, key=le
 _JAPANESE = re.compile("|".join(re.escape(w) for w in sorted(JAPANESE_FORMS, key=len, reverse=True)))
 
 
+#: Code points of Han, hiragana, katakana and their repeat marks, first and last; the middle dot is none.
+CJK = ((0x3005, 0x3007), (0x3041, 0x3096), (0x309D, 0x309F), (0x30A1, 0x30FA), (0x30FC, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2FA1F))
+
+
 def is_cjk(c: str) -> bool:
-    """Han, hiragana, katakana and their repeat marks; the middle dot is none."""
-    return "\u3005" <= c <= "\u3007" or "\u3041" <= c <= "\u3096" or "\u309d" <= c <= "\u309f" or "\u30a1" <= c <= "\u30fa" or "\u30fc" <= c <= "\u30ff" or \
-        "\u31f0" <= c <= "\u31ff" or "\u3400" <= c <= "\u4dbf" or "\u4e00" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" or "\U00020000" <= c <= "\U0002fa1f"
+    return any(first <= ord(c) <= last for first, last in CJK)
 
 
 def normal_name(name: str | None) -> str | None:
@@ -143,10 +147,17 @@ def sizes_in(text: str | None) -> list[float]:
     return [float(m[1].replace(",", ".")) * SIZES[m[2].lower() + "b"] for m in _SIZE.finditer(text or "")]
 
 
+def _denied(clause: str) -> bool:
+    """Whether a Japanese clause ends in a negation, or holds one before a particle."""
+    for word in NOT_NEGATIONS:
+        clause = clause.replace(word, " ")
+    return any(n in clause for n in JAPANESE_NEGATIONS) or clause.rstrip(" 」』)）").endswith("ない") or any("ない" + x in clause for x in AFTER_NEGATION)
+
+
 def negated(text: str | None, cue: str) -> bool:
     """Whether the clause that holds ``cue`` also holds a negation, before or after it, in English or Japanese."""
     for clause in re.split(r"[.;:!?。！？、]|,\s+(?:but|while|although)\b", (text or "").lower()):
-        if cue.lower() in clause and (set(re.findall(r"[a-z']+", clause.replace("n't", " not"))) & set(NEGATIONS) or any(n in clause for n in JAPANESE_NEGATIONS)):
+        if cue.lower() in clause and (set(re.findall(r"[a-z']+", clause.replace("n't", " not"))) & set(NEGATIONS) or _denied(clause)):
             return True
     return False
 
