@@ -54,3 +54,18 @@ def test_verdicts_reach_every_claim(spark):
     v = R.group_verdicts(spark.createDataFrame([("x", "Acme", ["acme"], False, False, 1), ("y", "N/A", ["na"], False, False, 1)], GROUPS), spark.createDataFrame([listed("x")], EVIDENCE))
     got = R.fanned_out(claims, v).collect()
     assert {r["claim"]: r["label"] for r in got} == {k: "real_org" if k % 3 else "not_org" for k in range(30)} and "grp" not in got[0].asDict()
+
+
+def test_similar_names_as_brute_force(spark):
+    """Among all pairs that begin alike, exactly those above the limit come out."""
+    import itertools
+
+    from tidewatch import plans
+    from tidewatch.functions import text as T
+    from tidewatch.plans import matching
+
+    sf = "/root/testdata/sf0.001"
+    names = sorted(r["nn"] for r in matching.organisation_names(spark, sf).select("nn").distinct().collect())
+    want = {(a, b) for a, b in itertools.combinations(names, 2) if a[:4] == b[:4] and abs(len(a) - len(b)) <= 4 and round(T.jaro_winkler(a, b), 6) >= 0.9}
+    got = plans.queries()["similar_names"](spark, sf).collect()
+    assert {(r["nn"], r["other"]) for r in got} == want and len(got) == len(want) > 5

@@ -197,6 +197,12 @@ def grounded_udf(quote: pd.Series, document: pd.Series, value: pd.Series) -> pd.
     return pd.Series([grounded(q, d, None if pd.isna(v) else float(v)) for q, d, v in zip(quote, document, value)], dtype=object)
 
 
+@F.pandas_udf(StringType())
+def refused_udf(quote: pd.Series, document: pd.Series, value: pd.Series, cue: pd.Series) -> pd.Series:
+    """:func:`grounded` with the word whose clause must not be negated."""
+    return pd.Series([grounded(q, d, None if pd.isna(v) else float(v), c or "") for q, d, v, c in zip(quote, document, value, cue)], dtype=object)
+
+
 def domain_of(url: Column) -> Column:
     """Host of a url or bare domain: lower case, no scheme, port, path or leading www; null if it has no dot."""
     host = F.regexp_extract(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/@]*@)?([^/:?#]+)", 1)

@@ -55,6 +55,19 @@ def _spark(condition: str) -> str:
     return condition.replace("strpos(", "instr(").replace("varchar(20)", "string")
 
 
+def claim_verdicts(spark, sf_dir):
+    """Each claim with the reason for which it is refused, or accepted: grounded in its document by quote and number, not negated, then not hedged and plausible."""
+    d = _claims(spark, sf_dir)
+    refused = T.refused_udf("quote", "document", F.col("value").cast("double"), F.lit("records"))
+    later = F
+    for name, condition in REASONS[4:]:
+        later = later.when(F.expr(_spark(condition)), name)
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "value", F.coalesce(refused, later.otherwise("accepted")).alias("verdict"))
+
+
+_GROUNDED = [("quote too short", "length(quote) < 12"), ("quote not in document", "strpos(document, quote) = 0"),
+             ("number not in quote", r"NOT list_contains(list_transform(regexp_extract_all(quote, '\d+'), lambda x: x::BIGINT), value)"), ("negated", "strpos(quote, ' not ') > 0"), *REASONS[4:]]
+_EACH = f"WITH {_CLAIMS} SELECT l_orderkey, l_linenumber, l_partkey, value, CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in _GROUNDED) + " ELSE 'accepted' END AS verdict FROM cl"
 _JUDGE = f"WITH {_CLAIMS} SELECT CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in REASONS) + " ELSE 'accepted' END AS reason, count(*) AS claims, count(DISTINCT l_orderkey) AS documents, sum(value)::BIGINT AS total FROM cl GROUP BY 1"
 
 
@@ -164,7 +177,7 @@ SELECT p_partkey, bs.n AS by_sic, bn.n AS by_naics, CASE WHEN p_size * 200 < 250
 
 
 def similar_names(spark, sf_dir):
-    """Pairs of distinct organisation names of one first letter and nearly one length whose Jaro-Winkler similarity is 0.9 or more.
+    """Pairs of distinct organisation names of the same first four letters and nearly one length whose Jaro-Winkler similarity is 0.9 or more.
 
     No SQL: DuckDB's function halves an odd number of transpositions downwards.
     """
@@ -177,3 +190,4 @@ def similar_names(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (fact_judge, coarse_dates, vulnerability_links, victim_reality, guessed_hosts, filing_classes)}
 ORACLE_SQL = dict(zip(QUERIES, (_JUDGE, _COARSE, _LINKS, _REALITY, _GUESSED, _FILINGS)))
 QUERIES["similar_names"] = similar_names
+QUERIES["claim_verdicts"], ORACLE_SQL["claim_verdicts"] = claim_verdicts, _EACH

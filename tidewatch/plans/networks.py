@@ -83,8 +83,7 @@ def network_months(spark, sf_dir):
     floors = d.groupBy("month").agg(*[(F.min(F.when(F.col(f"s{f}") > 0, F.col(f"s{f}"))) / 2).alias(f"f{f}") for f in FEEDS])
     d = d.join(floors, "month")
     ratio = {f: F.coalesce(F.when(F.col(f"s{f}") > 0, F.col(f"s{f}")), F.col(f"f{f}"), F.lit(0.0)) / (F.col("size") / F.col("ts")) for f in FEEDS}
-    d = d.select("l_suppkey", "month", F.sum(F.lit(1)).over(Window.partitionBy("month")).alias("networks"),
-                 *[F.round(ratio[f], 6).alias(f"ratio_{f.lower()}") for f in FEEDS], sum(F.col(f) for f in FEEDS).alias("hits"))
+    d = d.select("l_suppkey", "month", *[F.round(ratio[f], 6).alias(f"ratio_{f.lower()}") for f in FEEDS], sum(F.col(f) for f in FEEDS).alias("hits"))
     seen = _overlap(spark, sf_dir)
     d = d.join(seen, ["l_suppkey", "month"], "left")
     over = sum((F.col(f"ratio_{f.lower()}") >= 2).cast("int") for f in FEEDS)
