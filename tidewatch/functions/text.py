@@ -98,7 +98,7 @@ def registrable_label(domain: Column) -> Column:
 
 
 def jaro_winkler(a: str, b: str) -> float:
-    """Similarity of two strings by matching characters, transpositions and a common start of up to four."""
+    """Similarity of two strings by matching characters, whole transpositions and, above 0.7, a common start of up to four."""
     if a == b:
         return 1.0
     if not a or not b:
@@ -116,8 +116,11 @@ def jaro_winkler(a: str, b: str) -> float:
     if not m:
         return 0.0
     other = sorted(j for _, j in met)
-    swapped = sum(a[i] != b[j] for (i, _), j in zip(met, other)) / 2
+    # characters out of place make a transposition by twos; a third one adds none
+    swapped = sum(a[i] != b[j] for (i, _), j in zip(met, other)) // 2
     base = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+    if base <= 0.7:
+        return base
     start = 0
     while start < min(4, len(a), len(b)) and a[start] == b[start]:
         start += 1
