@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.operators import gates
-from tidewatch.operators.scratch import cut
+from tidewatch.operators.scratch import stored
 
 _RUN = "run string, seq long, part string, ok boolean, blocked array<string>, tables array<string>, rows long"
 
@@ -175,12 +175,12 @@ def checked_plan(plan: DataFrame, current: DataFrame) -> DataFrame:
     d = plan.join(now.withColumn("here", F.lit(True)), plan["row"] == F.col("_id"), "left").drop("_id").join(
         now.select(F.col("_id").alias("_t"), F.lit(True).alias("there")), F.col("target") == F.col("_t"), "left").drop("_t")
     links = d.where("action = 'duplicate' and _dup is null and here and there").select(F.col("row").alias("a"), F.col("target").alias("b"))
-    every = cut(links.unionByName(now.where("_dup is not null").select(F.col("_id").alias("a"), F.col("_dup").alias("b"))))
+    every = stored(links.unionByName(now.where("_dup is not null").select(F.col("_id").alias("a"), F.col("_dup").alias("b"))))
     # each row has one link at most. Pointers are doubled until chains of any length have ended: those that are left lead into circles, and
     # what they point at by then are all the rows of circles
     step = every
     for _ in range(every.count().bit_length() + 1):
-        step = cut(step.join(step.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b")))
+        step = stored(step.join(step.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b")))
         if step.isEmpty():
             break
     circle = step.select(F.col("b").alias("a")).distinct()

@@ -31,3 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` as a reliable checkpoint."""
     _folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` as a scratch table: columns are packed, unlike a checkpoint's rows, and its size is that of its files.
+
+    A checkpoint keeps the size that was estimated for its plan, which a self join squares: after twenty rounds that is a number of megabytes.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
