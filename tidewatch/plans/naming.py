@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import naming
-from tidewatch.operators.scratch import cut
+from tidewatch.operators.scratch import cut, stored
 from tidewatch.plans import matching
 from tidewatch.plans.tables import table
 
@@ -67,11 +67,11 @@ def _posts(spark, sf_dir):
 def post_names(spark, sf_dir):
     """The name that each post is about, by stored answers on its candidates, in one spelling per source (no SQL; tested on cases and against plain votes)."""
     known = matching.organisations(spark, sf_dir).select(F.col("raw").alias("name")).distinct()
-    offered = cut(naming.offered(_posts(spark, sf_dir), known))
+    offered = stored(naming.offered(_posts(spark, sf_dir), known))
     # stored answers are derived from the ids
     p = F.conv(F.substring(F.md5(F.concat_ws("|", "post", "place")), 1, 6), 16, 10).cast("long") % 1000 / 1000
     made = naming.decisions(offered, offered.select("post", "place", F.when(F.col("place") == 1, F.greatest(p, F.lit(0.75))).otherwise(p * 0.72).alias("p")))
-    made = cut(made)
+    made = stored(made)
     named = naming.canonical(made.select("post", "grp", "chosen"))
     return made.select("post", "grp", "reason", "chosen").join(named.select("post", "name"), "post", "left")
 
