@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import naming
+from tidewatch.operators import likeness, naming
 from tidewatch.operators.scratch import cut, stored
 from tidewatch.plans import matching
 from tidewatch.plans.tables import table
@@ -19,16 +19,10 @@ def _names(spark, sf_dir):
         "name", F.col("name").alias("nn"), "lk", F.split("lk", " ").alias("toks"), "aliases", "orgs")
 
 
-def _beside(names):
-    """Pairs of names that share their first two words and the first three letters of the last one."""
-    key = F.concat_ws(" ", F.array_join(F.slice("toks", 1, 2), " "), F.substring(F.element_at("toks", -1), 1, 3))
-    k = names.select("name", key.alias("k"))
-    return k.select(F.col("name").alias("l"), "k").join(k.select(F.col("name").alias("r"), "k"), "k").where("l < r").select("l", "r").distinct()
-
-
 def _levels(spark, sf_dir):
-    n = cut(_names(spark, sf_dir))
-    return naming.name_levels(_beside(n), naming.weighed(n))
+    """Of all pairs that share their first two words and the first three letters of the last one."""
+    key = F.concat_ws(" ", F.array_join(F.slice("toks", 1, 2), " "), F.substring(F.element_at("toks", -1), 1, 3))
+    return likeness.levels_within(naming.weighed(cut(_names(spark, sf_dir))), key)
 
 
 def name_levels(spark, sf_dir):
