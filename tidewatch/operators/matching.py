@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.graph import components
-from tidewatch.operators.linkage import beside, by_component
-from tidewatch.operators.scratch import cut
+from tidewatch.operators.linkage import by_component
+from tidewatch.operators.scratch import stored
 
 #: The levels of each feature.
 LEVELS = {
@@ -101,17 +101,46 @@ def _all_levels(spark) -> DataFrame:
     return spark.createDataFrame([(f, v, len(vs)) for f, vs in KEYS.items() for v in vs], "feature string, level string, levels int")
 
 
+def packed(records: DataFrame) -> DataFrame:
+    """Records for pairing: without what follows from the link key (its tokens, and the normal name where it is the same)."""
+    return records.select("iid", "org", F.when(~F.col("nn").eqNullSafe(F.col("lk")), F.col("nn")).alias("nn"), "lk", "domain", "country", "sector", "people", "ev", "pub", "cls")
+
+
+def unpacked(pairs: DataFrame) -> DataFrame:
+    """Pairs (l, r) of :func:`packed` records as whole ones."""
+    def side(x: str) -> Column:
+        c = F.col(x)
+        return F.struct(c["iid"].alias("iid"), c["org"].alias("org"), F.coalesce(c["nn"], c["lk"]).alias("nn"), c["lk"].alias("lk"), F.array_distinct(F.split(c["lk"], " ")).alias("toks"),
+                        *[c[k].alias(k) for k in ("domain", "country", "sector", "people", "ev", "pub", "cls")]).alias(x)
+
+    return pairs.select(side("l"), side("r"))
+
+
+def short(pairs: DataFrame) -> DataFrame:
+    """Compared pairs with what :func:`level_counts` and :func:`scored` need of their records: ids, the first name, two tokens."""
+    side = lambda x, *more: F.struct(F.col(f"{x}.iid"), F.col(f"{x}.org"), F.slice(F.col(f"{x}.toks"), 1, 2).alias("toks"), *more).alias(x)
+    return pairs.select(side("l", F.col("l.nn")), side("r"), *LEVELS, "date_class", "cannot")
+
+
+#: Fixed value: dealt records per task.
+DEALT = 200_000
+
+
 def random_pairs(records: DataFrame, draws: int, seed: str) -> DataFrame:
     """(l, r): each record is dealt into ``draws`` hashed buckets; those that meet in one are uniformly random pairs.
 
-    There is a bucket for every two records (they are counted once), so pairs are as many as records times draws at every size. Only ids are
-    dealt and joined; the records come in last.
+    There is a bucket for every two records (they are counted once), so pairs are as many as records times draws at every size. Records are shuffled
+    to their buckets, once for each draw; pairs are made there and not shuffled.
     """
-    buckets = max(1, -(-records.count() // 2))
-    number = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.col("k").cast("string"), F.lit(":"), F.col("iid").cast("string"))), 1, 8), 16, 10).cast("long")
-    dealt = records.select("iid", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("k")).select("iid", "k", F.pmod(number, F.lit(buckets)).alias("slot"))
-    ids = dealt.withColumnRenamed("iid", "a").join(dealt.withColumnRenamed("iid", "b"), ["k", "slot"]).where("a < b").select("a", "b")
-    return beside(ids, records, "iid")
+    n = records.count()
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.col("k").cast("string"), F.lit(":"), F.col("l.iid").cast("string"))), 1, 8), 16, 10).cast("long")
+    dealt = records.select(F.struct(*records.columns).alias("l"), F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("k"))
+    tasks = max(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * draws // DEALT))
+    dealt = dealt.select("l", (F.pmod(number, F.lit(max(1, -(-n // 2)))) * draws + F.col("k")).alias("slot")).repartition(tasks, "slot")
+    # a bucket has two records on average
+    met = dealt.groupBy("slot").agg(F.collect_list("l").alias("of")).where("size(of) > 1")
+    pairs = F.flatten(F.transform("of", lambda x: F.transform(F.filter("of", lambda y: y["iid"] > x["iid"]), lambda y: F.struct(x.alias("l"), y.alias("r")))))
+    return met.select(F.explode(pairs).alias("p")).select("p.l", "p.r")
 
 
 def estimate_u(pairs: DataFrame) -> DataFrame:
@@ -211,11 +240,11 @@ def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size:
     tried by then, ``score`` ((a, b) to (a, b, p, cannot)) scores them for all components at once, and only these components are worked on
     again. Without ``score`` such a pair counts as 0. A component's pairs at review level are in one task, its clusters are at most ``size``.
     """
-    scores = cut(scores)
+    scores = stored(scores)
     label = components(scores.where(F.col("p") >= review), "a", "b")
     at_b = label.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
     days = published.select(F.col("id"), F.col("pub").cast("string").alias("pub"))
-    work = cut(
+    work = stored(
         scores.select("a", "b", "p", "band", (F.size("cannot") > 0).alias("barred")).join(label.select(F.col("id").alias("a"), "component"), "a")
         .join(at_b, "b").where("component = _cb").drop("_cb")
         .join(days.select(F.col("id").alias("a"), F.col("pub").alias("pa")), "a").join(days.select(F.col("id").alias("b"), F.col("pub").alias("pb")), "b")
@@ -301,7 +330,7 @@ def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size:
 
     done = None
     for _ in range(max_rounds):
-        out = cut(by_component(work, one, "id long, cluster long, a long, b long, note string, asked boolean, component long"))
+        out = stored(by_component(work, one, "id long, cluster long, a long, b long, note string, asked boolean, component long"))
         settled = out.where("not asked")
         done = settled if done is None else done.unionByName(settled)
         asked = out.where("asked").select("a", "b", "component")
@@ -310,7 +339,7 @@ def clusters_noted(scores: DataFrame, published: DataFrame, review: float, size:
         fresh = score(asked.select("a", "b")).select("a", "b", "p", F.lit(None).cast("string").alias("band"), (F.size("cannot") > 0).alias("barred"))
         none = F.lit(None).cast("string")
         again = work.join(asked.select("component").distinct(), "component", "left_semi")
-        work = cut(again.unionByName(asked.join(fresh, ["a", "b"]).select(*[c for c in again.columns if c not in ("pa", "pb")], none.alias("pa"), none.alias("pb"))))
+        work = stored(again.unionByName(asked.join(fresh, ["a", "b"]).select(*[c for c in again.columns if c not in ("pa", "pb")], none.alias("pa"), none.alias("pb"))))
     else:
         raise RuntimeError("clusters did not settle")
     named = published.select("id").join(done.where("id is not null").select("id", "cluster"), "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import text as T
 from tidewatch.operators import linkage, matching
-from tidewatch.operators.scratch import cut
+from tidewatch.operators.scratch import cut, stored
 from tidewatch.plans.tables import table
 
 AUTO, REVIEW, PRIOR = 0.95, 0.5, 0.01
@@ -97,18 +97,23 @@ ok AS (SELECT k FROM keys GROUP BY k HAVING count(*) * (count(*) - 1) / 2 BETWEE
 blocked AS (SELECT DISTINCT x.iid AS a, y.iid AS b FROM keys x JOIN keys y ON x.k = y.k AND x.iid < y.iid SEMI JOIN ok ON ok.k = x.k)"""
 
 
-def _blocked(spark, sf_dir):
-    r = records(spark, sf_dir)
+def _kept(spark, sf_dir):
+    return stored(matching.packed(records(spark, sf_dir)), "records")
+
+
+def _blocked(r):
+    """(pairs, blocks dropped) of packed records."""
     keys = [F.when(F.col("domain").isNotNull(), F.concat_ws("|", F.lit("d"), "domain", F.date_format(F.trunc("pub", "month"), "yyyy-MM-dd"))),
-            F.concat_ws("|", F.lit("n"), F.array_join(F.slice(F.split("nn", " "), 1, 2), " "), F.date_format(F.trunc("pub", "week"), "yyyy-MM-dd")),
+            F.concat_ws("|", F.lit("n"), F.array_join(F.slice(F.split(F.coalesce("nn", "lk"), " "), 1, 2), " "), F.date_format(F.trunc("pub", "week"), "yyyy-MM-dd")),
             F.concat_ws("|", F.lit("o"), "org", F.year("pub"))]
-    return linkage.blocked_pairs(r, "iid", keys)
+    pairs, dropped = linkage.blocked_pairs(r, "iid", keys)
+    return matching.compared(matching.unpacked(pairs)), dropped
 
 
 def record_blocks(spark, sf_dir):
     """Blocks of records by domain and month, first two words and week, organisation and year: their size, and whether they are over 300 pairs."""
     r = records(spark, sf_dir)
-    over = _blocked(spark, sf_dir)[1].select(F.col("block").alias("k"), F.lit(True).alias("over"))
+    over = _blocked(matching.packed(r))[1].select(F.col("block").alias("k"), F.lit(True).alias("over"))
     k = r.select(F.explode(F.array_compact(F.array(
         F.when(F.col("domain").isNotNull(), F.concat_ws("|", F.lit("d"), "domain", F.date_format(F.trunc("pub", "month"), "yyyy-MM-dd"))),
         F.concat_ws("|", F.lit("n"), F.array_join(F.slice(F.split("nn", " "), 1, 2), " "), F.date_format(F.trunc("pub", "week"), "yyyy-MM-dd")),
@@ -122,7 +127,7 @@ _FEATURES = list(matching.LEVELS)
 
 def record_features(spark, sf_dir):
     """All blocked pairs with their nine levels and the reasons against a link."""
-    d = matching.compared(_blocked(spark, sf_dir)[0])
+    d = _blocked(_kept(spark, sf_dir))[0]
     return d.select(F.col("l.iid").alias("a"), F.col("r.iid").alias("b"), *_FEATURES, F.concat_ws(",", "cannot").alias("cannot"))
 
 
@@ -131,13 +136,13 @@ _FEATURES_SQL = f"WITH {_RECORDS}, {_BLOCKS}, {_PAIRS}, {_COMPARED} SELECT liid
 DRAWS = 8
 
 
-def _u(spark, sf_dir):
-    return matching.estimate_u(matching.compared(matching.random_pairs(cut(records(spark, sf_dir)), DRAWS, "u")))
+def _random(r):
+    return matching.compared(matching.unpacked(matching.random_pairs(r, DRAWS, "u")))
 
 
 def level_u(spark, sf_dir):
     """Shares of the levels among random pairs of records, those of the event by class of sources."""
-    return _u(spark, sf_dir).withColumn("u", F.round("u", 9))
+    return matching.estimate_u(_random(_kept(spark, sf_dir))).withColumn("u", F.round("u", 9))
 
 
 _RANDOM = f"""dealt AS (SELECT recs.*, k, ('0x' || substr(md5('u:' || k || ':' || iid), 1, 8))::UBIGINT % greatest(1, (SELECT (count(*) + 1) // 2 FROM recs)) AS bucket FROM recs, range(1, {DRAWS + 1}) t(k)),
@@ -150,16 +155,16 @@ _U = f"""SELECT feature, level, (coalesce(c.n, 0) + 1) / (sum(coalesce(c.n, 0))
 _U_SQL = f"WITH {_RECORDS}, {_RANDOM}, {_COMPARED}, u AS ({_U}) SELECT feature, level, round(u, 9) AS u FROM u"
 
 
-def _model(spark, sf_dir):
+def _model(r):
     """Matches: blocked pairs of one organisation within 45 days; pairs far apart stand for three, as their stratum is sampled less."""
-    pairs = cut(matching.compared(_blocked(spark, sf_dir)[0]))
+    pairs = stored(matching.short(_blocked(r)[0]), "pairs")
     same = pairs.where("l.org = r.org and public in ('p14', 'p45')")
-    return pairs, matching.estimate_m(same, F.when(F.col("public") == "p14", 1.0).otherwise(3.0), _u(spark, sf_dir))
+    return pairs, matching.estimate_m(same, F.when(F.col("public") == "p14", 1.0).otherwise(3.0), matching.estimate_u(_random(r)))
 
 
 def level_weights(spark, sf_dir):
     """m, u and the factor of each level: weighted matches, pulled towards u by their effective number."""
-    return _model(spark, sf_dir)[1].select("feature", "level", *[F.round(c, 9).alias(c) for c in ("m", "u", "bf")])
+    return _model(_kept(spark, sf_dir))[1].select("feature", "level", *[F.round(c, 9).alias(c) for c in ("m", "u", "bf")])
 
 
 _U_OF = f"uu AS (WITH {_RANDOM}, {_COMPARED} {_U})"
@@ -172,18 +177,17 @@ model AS (SELECT *, log2(m / u) AS bf FROM (SELECT uu.feature, uu.level, (coales
 _M_SQL = f"WITH {_M} SELECT feature, level, round(m, 9) AS m, round(u, 9) AS u, round(bf, 9) AS bf FROM model"
 
 
-def _scorer(spark, sf_dir):
-    """(compared blocked pairs, a function that scores compared pairs)."""
-    pairs, model = _model(spark, sf_dir)
-    r = records(spark, sf_dir)
+def _scorer(r):
+    """(compared blocked pairs, a function that scores compared pairs) of packed records."""
+    pairs, model = _model(r)
     n = r.agg(F.count("*").alias("n"))
-    share = r.groupBy("nn").agg(F.count("*").alias("c")).crossJoin(F.broadcast(n)).select("nn", (F.col("c") / F.col("n")).alias("share"))
+    share = r.groupBy(F.coalesce("nn", "lk").alias("nn")).agg(F.count("*").alias("c")).crossJoin(F.broadcast(n)).select("nn", (F.col("c") / F.col("n")).alias("share"))
     model = cut(model)
     return pairs, lambda d: matching.scored(d, model, share, PRIOR, AUTO, REVIEW)
 
 
 def _scores(spark, sf_dir):
-    pairs, score = _scorer(spark, sf_dir)
+    pairs, score = _scorer(_kept(spark, sf_dir))
     return score(pairs)
 
 
@@ -203,9 +207,10 @@ _S_SQL = f"WITH {_S} SELECT a, b, round(weight, 6) AS weight, round(p, 6) AS p,
 
 
 def _clustered(spark, sf_dir):
-    pairs, score = _scorer(spark, sf_dir)
-    s, r = cut(score(pairs)), cut(records(spark, sf_dir))
-    on_demand = lambda ids: score(matching.compared(linkage.beside(ids, r, "iid")))
+    r = _kept(spark, sf_dir)
+    pairs, score = _scorer(r)
+    s = stored(score(pairs), "scores")
+    on_demand = lambda ids: score(matching.compared(matching.unpacked(linkage.beside(ids, r, "iid"))))
     return s, *matching.clusters_noted(s, r.select(F.col("iid").alias("id"), "pub"), REVIEW, score=on_demand)
 
 
@@ -222,8 +227,9 @@ def record_decisions(spark, sf_dir):
 
 def level_em(spark, sf_dir):
     """m without labels, from the level patterns of all blocked pairs, with u as random pairs have it (an iteration; no SQL)."""
-    d = matching.compared(_blocked(spark, sf_dir)[0]).groupBy(*_FEATURES).agg(F.count("*").alias("n"))
-    u = matching.estimate_u(matching.compared(matching.random_pairs(cut(records(spark, sf_dir)), DRAWS, "u")).withColumn("date_class", F.lit("other")))
+    r = _kept(spark, sf_dir)
+    d = _blocked(r)[0].groupBy(*_FEATURES).agg(F.count("*").alias("n"))
+    u = matching.estimate_u(_random(r).withColumn("date_class", F.lit("other")))
     known = {(r["feature"].removesuffix(":other"), r["level"]): r["u"] for r in u.collect()}  # a row per level
     return matching.level_em(d, known).select("feature", "level", F.round("m", 6).alias("m"), F.round("u", 6).alias("u"))
 
